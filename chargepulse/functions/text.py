@@ -24,9 +24,9 @@ def java_split_tokens(col, sep: str = " ") -> Column:
     esc = re.escape(sep)
     return (
         F.when(c == "", F.array(F.lit("")))
-        .when(F.regexp_replace(c, f"{esc}+$", "") == "",
+        .when(F.regexp_replace(c, f"{esc}+\\z", "") == "",
               F.array().cast("array<string>"))
-        .otherwise(F.split(F.regexp_replace(c, f"{esc}+$", ""), esc))
+        .otherwise(F.split(F.regexp_replace(c, f"{esc}+\\z", ""), esc))
     )
 
 

@@ -53,6 +53,35 @@ _PAYMENTS = """
   FROM orders
 """
 
+_BROWSE = """
+  SELECT s.s_nationkey AS area_code, l.l_returnflag AS os, l.l_linestatus AS network_type,
+         l.l_partkey % 3 AS category_id,
+         CASE WHEN o.o_custkey % 7 <> 0 THEN o.o_custkey % 7 END AS user_id,
+         strftime(l.l_shipdate, '%Y') || '0101' AS bdp_day
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+"""
+
+_REGION = """
+  SELECT n_nationkey AS region_code, r_name AS region_province_desc, n_name AS region_city_desc
+  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 20
+"""
+
+_LINES = "SELECT unnest(string_split(text, chr(10))) AS line FROM documents"
+
+_TOKENS = f"""
+  SELECT unnest(CASE WHEN line = '' THEN ['']
+                     WHEN rtrim(line, ' ') = '' THEN []::VARCHAR[]
+                     ELSE string_split(rtrim(line, ' '), ' ') END) AS value
+  FROM ({_LINES})
+"""
+
+
+def _dotted(x: str) -> str:
+    return (f"CAST(({x}) >> 24 AS VARCHAR) || '.' || CAST((({x}) >> 16) & 255 AS VARCHAR) || '.' "
+            f"|| CAST((({x}) >> 8) & 255 AS VARCHAR) || '.' || CAST(({x}) & 255 AS VARCHAR)")
+
+
 ORACLE: dict[str, str] = {
     "daily_overview": f"""
       SELECT day, CAST(count(*) AS BIGINT) AS total, CAST(sum(succ) AS BIGINT) AS succ,
@@ -88,6 +117,25 @@ ORACLE: dict[str, str] = {
     "monthly_phone_avg": f"""
       SELECT month, phone, CAST(sum(money) AS DOUBLE) / count(*) AS avg_amount
       FROM ({_PAYMENTS}) GROUP BY 1, 2""",
+    "browse_stats": f"""
+      SELECT area_code, os, network_type, category_id AS category,
+             count(user_id) AS user_count, count(*) AS view_count, bdp_day
+      FROM ({_BROWSE}) GROUP BY area_code, os, network_type, category_id, bdp_day""",
+    "browse_region_stats": f"""
+      SELECT rd.region_province_desc AS region_province, rd.region_city_desc AS region_city,
+             count(DISTINCT f.user_id) AS user_count, count(*) AS view_count, f.bdp_day
+      FROM ({_BROWSE}) f LEFT JOIN ({_REGION}) rd ON rd.region_code = f.area_code
+      GROUP BY 1, 2, f.bdp_day""",
+    "word_count": f"SELECT value, count(*) AS count FROM ({_TOKENS}) GROUP BY value",
+    "ip_containment": f"""
+      WITH r AS ({_RANGES}), o AS ({_ORDERS})
+      SELECT r.province, CAST(sum(o.money) AS BIGINT) AS amount
+      FROM o LEFT JOIN r ON o.ip BETWEEN r.lo AND r.hi GROUP BY 1""",
+    "city_dim_parse": _CITY,
+    "ip_range_parse": f"""
+      SELECT {_dotted('lo')} AS start_ip, {_dotted('hi')} AS end_ip, province,
+             lo AS start_num, hi AS end_num
+      FROM ({_RANGES})""",
 }
 
 

@@ -11,9 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from ..operators import browse as B
 from ..operators import metrics as M
+from ..operators.lookup import containment_join
 from ..operators.parse import orders_base, parse_topups, payments_base
-from ..sources.dims import parse_code_dim, parse_ip_ranges
+from ..session import scratch_path
+from ..sources.dims import parse_code_dim, parse_ip_ranges, read_code_dim, read_ip_ranges
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +57,45 @@ def daily_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _topup(M.DAILY_OVERVIEW)(spark, sf_dir)
 
 
+def browse_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG12 through the named SQL catalogue over the browse fact view."""
+    return B.browse_stats_sql(spark, fx.browse_fact(spark, sf_dir))
+
+
+def browse_region_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN4 + AGG13 through the named SQL catalogue."""
+    return B.browse_region_stats_sql(spark, fx.browse_fact(spark, sf_dir),
+                                     fx.region_dim(spark, sf_dir))
+
+
+def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ10 + AGG14 in batch over every line of every document."""
+    return M.WORD_COUNT.batch(M.tokens(fx.text_lines(spark, sf_dir)))
+
+
+def ip_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN3: amount per province by closed-interval containment (NULL = miss)."""
+    base = orders_base(fx.order_lines(spark, sf_dir))
+    ranges = parse_ip_ranges(fx.ip_range_lines(spark, sf_dir))
+    located = containment_join(base, "ip_num", ranges)
+    return located.groupBy("province").agg(F.sum("money").cast("bigint").alias("amount"))
+
+
+def city_dim_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC4: write the city code file as text, read it back with the reader."""
+    path = scratch_path(spark, "dims", "city")
+    fx.city_lines(spark, sf_dir).write.text(path)
+    return read_code_dim(spark, path)
+
+
+def ip_range_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC5: write the IP range file as text, read it back with the reader."""
+    path = scratch_path(spark, "dims", "ip")
+    fx.ip_range_lines(spark, sf_dir).write.text(path)
+    return read_ip_ranges(spark, path).select("start_ip", "end_ip", "province",
+                                              "start_num", "end_num")
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for spec in M.TOPUP_METRICS.values():
@@ -60,4 +104,7 @@ def queries() -> dict[str, Query]:
         q[spec.name] = _orders(spec)
     for spec in M.PAYMENT_METRICS.values():
         q[spec.name] = _payments(spec)
+    for fn in (browse_stats, browse_region_stats, word_count, ip_containment,
+               city_dim_parse, ip_range_parse):
+        q[fn.__name__] = fn
     return q
