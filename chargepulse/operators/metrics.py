@@ -39,6 +39,11 @@ class MetricSpec:
     delta: Callable[[DataFrame, Ctx], DataFrame]
     result: Callable[[DataFrame, Ctx], DataFrame]
     combine: dict[str, str] = field(default_factory=dict)   # column -> "sum"|"max"
+    state_name: str | None = None    # metrics with the same delta share one state
+
+    @property
+    def store(self) -> str:
+        return self.state_name or self.name
 
     def combiner(self, col: str) -> str:
         return self.combine.get(col, "sum")
@@ -133,7 +138,7 @@ def _top10_result(s: DataFrame, ctx: Ctx) -> DataFrame:
 
 PROVINCE_TOP10 = MetricSpec(
     "province_top10", ("province_code",), {"orders": "bigint", "succ_orders": "bigint"},
-    _province_delta, _top10_result)
+    _province_delta, _top10_result, state_name="province_success")
 
 
 def _hourly_amount_delta(base: DataFrame, ctx: Ctx) -> DataFrame:
@@ -163,7 +168,8 @@ ORDER_BY_CATEGORY = MetricSpec(
 
 def _order_province_delta(b: DataFrame, ctx: Ctx) -> DataFrame:
     located = floor_range_join(b, "ip_num", ctx["ip_ranges"], out_col="province",
-                               below_first=ctx.get("below_first", "clamp"))
+                               below_first=ctx.get("below_first", "clamp"),
+                               n_ranges=ctx.get("n_ranges"))
     return located.groupBy("province").agg(_sum("money", "bigint", "amount"))
 
 
@@ -195,7 +201,8 @@ MONTHLY_PHONE_AVG = MetricSpec(
     "monthly_phone_avg", ("month", "phone"), {"amount": "bigint", "orders": "bigint"},
     _phone_delta,
     lambda s, ctx: s.select("month", "phone",
-                            (F.col("amount").cast("double") / F.col("orders")).alias("avg_amount")))
+                            (F.col("amount").cast("double") / F.col("orders")).alias("avg_amount")),
+    state_name="monthly_phone_sum")
 
 
 # --------------------------------------------------------------------------

@@ -21,8 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # F1 -- top-up notifications as JSON text
-def topup_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def _topup_value():
     et = F.col("event_type")
     k = F.get_json_object("props", "$.k").try_cast("bigint")
     receive = F.timestamp_millis(F.unix_millis(F.col("ts").cast("timestamp")) + k * 100)
@@ -37,7 +36,25 @@ def topup_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(receive, STAMP).alias("receiveNotifyTime"),
         (F.col("user_id") % 30).cast("string").alias("provinceCode"),
     )
-    return e.select(F.to_json(rec).alias("value"), F.col("ts").cast("timestamp").alias("ts"))
+    return F.to_json(rec).alias("value")
+
+
+def _positions(topic: str):
+    return [F.lit(topic).alias("topic"),
+            (F.col("event_id") % 4).cast("int").alias("partition"),
+            F.floor(F.col("event_id") / 4).cast("bigint").alias("offset")]
+
+
+def topup_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select(_topup_value(), F.col("ts").cast("timestamp").alias("ts"))
+
+
+def topup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 as topic records: ``topic, partition, offset, value`` (+ ``ts``)."""
+    e = table(spark, sf_dir, "events")
+    return e.select(*_positions("topup"), _topup_value(),
+                    F.col("ts").cast("timestamp").alias("ts"))
 
 
 # F2 -- city code file lines "code name"
@@ -117,9 +134,7 @@ def region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 # F8 -- topic records with positions
 def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    return e.select(F.lit("events").alias("topic"),
-                    (F.col("event_id") % 4).cast("int").alias("partition"),
-                    F.floor(F.col("event_id") / 4).cast("bigint").alias("offset"),
+    return e.select(*_positions("events"),
                     F.to_json(F.struct("event_id", "event_type", "value")).alias("value"))
 
 

@@ -139,5 +139,61 @@ ORACLE: dict[str, str] = {
 }
 
 
+_COUNTERS = f"""
+  WITH t AS ({_TOPUP}),
+  d AS (SELECT day, count(*) AS total, sum(succ) AS succ, sum(fee) AS money,
+               sum(cost_ms) AS cost FROM t GROUP BY day),
+  m AS (SELECT day, hour, minute, count(*) AS total, sum(succ) AS succ
+        FROM t GROUP BY day, hour, minute)
+  SELECT 'A-' || day AS key, 'total' AS field, CAST(total AS DOUBLE) AS value, day FROM d
+  UNION ALL SELECT 'A-' || day, 'succ', CAST(succ AS DOUBLE), day FROM d
+  UNION ALL SELECT 'A-' || day, 'money', CAST(money AS DOUBLE), day FROM d
+  UNION ALL SELECT 'A-' || day, 'cost', CAST(cost AS DOUBLE), day FROM d
+  UNION ALL SELECT 'B-' || day, 'T:' || hour || minute, CAST(total AS DOUBLE), day FROM m
+  UNION ALL SELECT 'B-' || day, 'S:' || hour || minute, CAST(succ AS DOUBLE), day FROM m
+"""
+
+# Three windows of whole days over all events; the last one survives a 48 h
+# expiry when each batch's clock is its window's end.
+_LAST_WINDOW_DAYS = """
+  WITH b AS (SELECT CAST(min(ts) AS DATE) AS d0, CAST(max(ts) AS DATE) AS d1 FROM events),
+  s AS (SELECT d0, CAST(ceil((d1 - d0 + 1) / 3.0) AS BIGINT) AS span FROM b)
+  SELECT DISTINCT strftime(CAST(e.ts AS DATE), '%Y%m%d') AS day
+  FROM events e, s WHERE (CAST(e.ts AS DATE) - s.d0) // s.span = 2
+"""
+
+_LEDGER = """
+  SELECT 'events' AS topic, CAST(event_id % 4 AS INTEGER) AS partition,
+         CAST(max(event_id // 4) + 1 AS BIGINT) AS until_offset
+  FROM events GROUP BY 2
+"""
+
+_PAYMENT_JSON = """
+  SELECT strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS date,
+         CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS money,
+         '138' || lpad(CAST(o_custkey % 100 AS VARCHAR), 8, '0') AS phoneNum
+  FROM orders
+"""
+
+ORACLE.update({
+    "stream_overview": ORACLE["daily_overview"],
+    "upsert_failures": ORACLE["hourly_province_failures"],
+    "upsert_province": ORACLE["province_success"],
+    "upsert_hour": ORACLE["hourly_amount"],
+    "word_count_stream": ORACLE["word_count"],
+    "catalog_overwrite": ORACLE["browse_stats"],
+    "counter_merge": f"SELECT key, field, value FROM ({_COUNTERS})",
+    "counter_ttl": f"""
+      SELECT key, field, value FROM ({_COUNTERS}) WHERE day IN ({_LAST_WINDOW_DAYS})""",
+    "offset_ledger": f"SELECT 'chargepulse' AS group_id, * FROM ({_LEDGER})",
+    "offset_restore": f"""
+      SELECT topic, '{{"' || topic || '":{{'
+             || string_agg('"' || CAST(partition AS VARCHAR) || '":' || CAST(until_offset AS VARCHAR),
+                           ',' ORDER BY partition) || '}}}}' AS starting_offsets
+      FROM ({_LEDGER}) GROUP BY topic""",
+    "json_append": f"SELECT * FROM ({_PAYMENT_JSON}) UNION ALL SELECT * FROM ({_PAYMENT_JSON})",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

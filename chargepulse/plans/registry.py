@@ -107,4 +107,10 @@ def queries() -> dict[str, Query]:
     for fn in (browse_stats, browse_region_stats, word_count, ip_containment,
                city_dim_parse, ip_range_parse):
         q[fn.__name__] = fn
+    from . import stream_queries as S
+
+    for fn in (S.stream_overview, S.upsert_failures, S.upsert_province, S.upsert_hour,
+               S.counter_merge, S.counter_ttl, S.offset_ledger, S.offset_restore,
+               S.word_count_stream, S.json_append, S.catalog_overwrite):
+        q[fn.__name__] = fn
     return q
