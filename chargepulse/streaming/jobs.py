@@ -62,23 +62,34 @@ class IndicatorJob:
 
     # -------------------------------------------------------------- handler
     def handle(self, batch: DataFrame, batch_id: int) -> None:
-        """The ``foreachBatch`` function."""
-        if batch.isEmpty():
-            return
+        """The ``foreachBatch`` function.
+
+        The batch is read and parsed once (persisted), then every indicator
+        state is merged; the merges are independent Spark jobs and are
+        submitted concurrently from driver threads so small merges overlap
+        instead of queueing.  The offset ledger is written only after all
+        indicator merges succeeded.
+        """
         now = self.clock(batch_id)
         records = batch.persist()
-        base = self.parse(records).persist()
+        base = None
         try:
-            done = set()
+            if records.isEmpty():
+                return
+            base = self.parse(records).persist()
+            stores, tasks = set(), []
             for spec in self.metrics:
-                if spec.store in done:
-                    continue
-                self.states[spec.store].merge(spec.delta(base, self.ctx), batch_id, now)
-                done.add(spec.store)
+                if spec.store not in stores:
+                    stores.add(spec.store)
+                    tasks.append((self.states[spec.store], spec))
+            run_concurrently([
+                (lambda st=st, spec=spec: st.merge(spec.delta(base, self.ctx), batch_id, now))
+                for st, spec in tasks])
             if self.ledger and POSITION_COLS <= set(records.columns):
                 self.ledger_state.merge(M.OFFSET_LEDGER.delta(records, {}), batch_id, now)
         finally:
-            base.unpersist()
+            if base is not None:
+                base.unpersist()
             records.unpersist()
         self.batches_seen.append(batch_id)
 
@@ -106,6 +117,22 @@ class IndicatorJob:
         return None if led is None else led.drop("last_update")
 
 
+def run_concurrently(tasks: Sequence[Callable[[], object]], max_workers: int = 8) -> list:
+    """Run independent Spark actions from a small driver thread pool and
+    re-raise the first failure after all have finished."""
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        errors = [f.exception() for f in futures]
+    for e in errors:
+        if e is not None:
+            raise e
+    return [f.result() for f in futures]
+
+
 # ---------------------------------------------------------------- factories
 
 def topup_job(spark: SparkSession, state_root: str, city_dim: DataFrame,
