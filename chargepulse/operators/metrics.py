@@ -40,6 +40,7 @@ class MetricSpec:
     result: Callable[[DataFrame, Ctx], DataFrame]
     combine: dict[str, str] = field(default_factory=dict)   # column -> "sum"|"max"
     state_name: str | None = None    # metrics with the same delta share one state
+    partition_by: str | None = None  # time-like key: a batch rewrites only its partitions
 
     @property
     def store(self) -> str:
@@ -195,14 +196,14 @@ def _phone_delta(b: DataFrame, ctx: Ctx) -> DataFrame:
 
 MONTHLY_PHONE_SUM = MetricSpec(
     "monthly_phone_sum", ("month", "phone"), {"amount": "bigint", "orders": "bigint"},
-    _phone_delta, lambda s, ctx: s.select("month", "phone", "amount"))
+    _phone_delta, lambda s, ctx: s.select("month", "phone", "amount"), partition_by="month")
 
 MONTHLY_PHONE_AVG = MetricSpec(
     "monthly_phone_avg", ("month", "phone"), {"amount": "bigint", "orders": "bigint"},
     _phone_delta,
     lambda s, ctx: s.select("month", "phone",
                             (F.col("amount").cast("double") / F.col("orders")).alias("avg_amount")),
-    state_name="monthly_phone_sum")
+    state_name="monthly_phone_sum", partition_by="month")
 
 
 # --------------------------------------------------------------------------

@@ -33,6 +33,19 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _one_json_parse(df: DataFrame) -> None:
+    """Keep one ``from_json`` per record.
+
+    Catalyst's JSON expression optimisation rewrites every ``from_json(v).f``
+    into its own single-field ``from_json``, so reading six fields parses
+    each record six times (more when a filter is pushed below the parse).
+    Our schemas already list only the fields used, so the rule gains nothing
+    here; with it off, the identical ``from_json`` calls are evaluated once
+    per record by common-subexpression elimination (about 2-3x faster).
+    """
+    df.sparkSession.conf.set("spark.sql.optimizer.enableJsonExpressionOptimization", "false")
+
+
 # --------------------------------------------------------------------------
 # Top-up notifications (PRJ1, FLT1, PRJ4-PRJ6, PRJ8)
 # --------------------------------------------------------------------------
@@ -44,6 +57,7 @@ def parse_topup_json(df: DataFrame, value_col: str = "value") -> DataFrame:
     DOUBLE field would turn a quoted number into NULL) and converted with
     ``try_cast``.  Only the six used fields are parsed.
     """
+    _one_json_parse(df)
     j = F.from_json(_c(value_col), TOPUP_JSON_SCHEMA)
     rid = j["requestId"]
     req_ms = compact_ts_millis(rid)
@@ -150,6 +164,7 @@ def orders_quarantine(df: DataFrame, value_col: str = "value") -> DataFrame:
 def parse_payment_json(df: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON ``{date, phoneNum, money}`` -> month (7 chars), day (10 chars),
     phone, money BIGINT, and ``ok``."""
+    _one_json_parse(df)
     j = F.from_json(_c(value_col), PAYMENT_JSON_SCHEMA)
     d = j["date"]
     money = F.trim(j["money"]).try_cast("bigint")

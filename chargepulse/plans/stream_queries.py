@@ -81,7 +81,8 @@ def _replay_topups(spark: SparkSession, sf_dir: str, metrics, counters: bool,
     win, ends = _day_windows(spark, rec)
     job = topup_job(spark, scratch_path(spark, "state", "topup_replay"),
                     parse_code_dim(fx.city_lines(spark, sf_dir)), metrics=metrics,
-                    counters=counters, counter_ttl=counter_ttl, clock=lambda b: ends[b])
+                    counters=counters, counter_ttl=counter_ttl, clock=lambda b: ends[b],
+                    ledger=False)
     for b in range(len(ends)):
         job.handle(rec.where(win == b), b)
     last = len(ends) - 1

@@ -22,8 +22,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # one from_json per record (see operators.parse._one_json_parse)
+    "spark.sql.optimizer.enableJsonExpressionOptimization": "false",
     "spark.ui.enabled": "false",
+    # streaming aggregation state off-heap in RocksDB (large key counts)
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

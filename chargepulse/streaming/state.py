@@ -13,6 +13,12 @@ counter store that increments in place would double-count a replay.  Every
 version is a written table, so lineage never grows across batches and a lost
 executor only loses work of the current batch.
 
+With ``partition_by`` (a time-like key such as a month) a version folder
+holds only the partitions its batch touched (``batch_<id>/_p=<value>/``) and
+the current state of a partition is its newest committed version, so a
+batch costs in proportion to the months it touches rather than the whole
+history.
+
 Expiry is per *key group* (e.g. a whole day's hash): a group dies when the
 newest ``last_update`` of any of its rows is older than the TTL, so quiet
 fields of a live group survive.  The clock is passed in; nothing here reads
@@ -29,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _VERSION = re.compile(r"^batch_(\d+)$")
+_PART = re.compile(r"^_p=([A-Za-z0-9_.\-]+)$")
 
 
 class _FS:
@@ -66,7 +73,7 @@ class KeyedState:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
                  measures: dict[str, str], combine: dict[str, str] | None = None,
                  ttl: dt.timedelta | None = None, ttl_keys: Sequence[str] | None = None,
-                 keep_versions: int = 3):
+                 keep_versions: int = 3, partition_by: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
@@ -75,11 +82,17 @@ class KeyedState:
         self.ttl = ttl
         self.ttl_keys = list(ttl_keys) if ttl_keys else list(keys)
         self.keep_versions = max(2, keep_versions)
+        self.partition_by = partition_by
+        if partition_by and partition_by not in self.keys:
+            raise ValueError("partition_by must be one of the keys")
+        if partition_by and ttl is not None:
+            raise ValueError("expiry needs the whole state; use it without partition_by")
         self._fs = _FS(spark, self.path)
 
     @classmethod
     def for_metric(cls, spark: SparkSession, root: str, spec, **kw) -> "KeyedState":
         """State for a :class:`chargepulse.operators.metrics.MetricSpec`."""
+        kw.setdefault("partition_by", getattr(spec, "partition_by", None))
         return cls(spark, f"{root.rstrip('/')}/{spec.store}", spec.keys, spec.measures,
                    spec.combine, **kw)
 
@@ -103,14 +116,34 @@ class KeyedState:
     def read(self, version: int | None = None, now: dt.datetime | None = None) -> DataFrame | None:
         """State as of ``version`` (default newest), or None if there is none.
         With ``now`` and a TTL, expired groups are filtered out on read."""
-        v = self.latest() if version is None else version
-        if v is None:
-            return None
-        df = self.spark.read.parquet(self._vpath(v))
+        if self.partition_by:
+            paths = list(self._partition_paths(before=None if version is None else version + 1).values())
+            if not paths:
+                return None
+            df = self.spark.read.parquet(*paths)
+        else:
+            v = self.latest() if version is None else version
+            if v is None:
+                return None
+            df = self.spark.read.parquet(self._vpath(v))
         if now is not None and self.ttl is not None:
             df = self._expire(df, now)
         return df
 
+    def _partition_paths(self, before: int | None = None) -> dict[str, str]:
+        """Partition value -> folder of its newest committed version below
+        ``before`` (driver-side listing: versions x partitions entries)."""
+        out: dict[str, tuple[int, str]] = {}
+        for v in self.versions():
+            if before is not None and v >= before:
+                continue
+            vdir = self._vpath(v)
+            for name in _FS(self.spark, vdir).list_names():
+                m = _PART.match(name)
+                if m and (m.group(1) not in out or out[m.group(1)][0] < v):
+                    out[m.group(1)] = (v, f"{vdir}/{name}")
+        return {k: p for k, (_, p) in out.items()}
+
     def read_or_empty(self, version: int | None = None, now: dt.datetime | None = None,
                       key_types: dict[str, str] | None = None) -> DataFrame:
         df = self.read(version, now)
@@ -145,10 +178,12 @@ class KeyedState:
         d = delta.select(*[F.col(k) for k in self.keys],
                          *[F.col(m).cast(t).alias(m) for m, t in self.measures.items()],
                          F.lit(_aware(now)).cast("timestamp").alias("last_update"))
-        base = self.latest(before=batch_id)
-        u = d if base is None else self.read(base).select(*d.columns).unionByName(d)
         aggs = [self._agg(m, t) for m, t in self.measures.items()]
         aggs.append(F.max("last_update").alias("last_update"))
+        if self.partition_by:
+            return self._merge_partitioned(d, aggs, batch_id)
+        base = self.latest(before=batch_id)
+        u = d if base is None else self.read(base).select(*d.columns).unionByName(d)
         merged = u.groupBy(*self.keys).agg(*aggs) if self.keys else u.agg(*aggs)
         if self.ttl is not None:
             merged = self._expire(merged, now)
@@ -156,6 +191,47 @@ class KeyedState:
         self._vacuum(batch_id)
         return batch_id
 
+    def _merge_partitioned(self, d: DataFrame, aggs, batch_id: int) -> int:
+        # The partitions one batch touches (e.g. its months) are few.
+        touched = [r[0] for r in d.select(self.partition_by).distinct().collect()]
+        bad = [t for t in touched if t is None or not _PART.match(f"_p={t}")]
+        if bad:
+            raise ValueError(f"unsafe partition values for state: {bad[:3]}")
+        if not touched:
+            return batch_id
+        prev = self._partition_paths(before=batch_id)
+        paths = [prev[t] for t in touched if t in prev]
+        u = d
+        if paths:
+            u = self.spark.read.parquet(*paths).select(*d.columns).unionByName(d)
+        merged = u.groupBy(*self.keys).agg(*aggs)
+        # static overwrite of a fresh version folder (writes _SUCCESS)
+        (merged.withColumn("_p", F.col(self.partition_by)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static")
+         .partitionBy("_p").parquet(self._vpath(batch_id)))
+        self._vacuum_partitioned(batch_id)
+        return batch_id
+
+    def _vacuum_partitioned(self, newest: int) -> None:
+        """Per partition keep its newest ``keep_versions`` versions; drop
+        older partition folders, and version folders left without any."""
+        seen: dict[str, list[int]] = {}
+        committed = [v for v in self.versions() if v <= newest]
+        for v in committed:
+            for name in _FS(self.spark, self._vpath(v)).list_names():
+                if _PART.match(name):
+                    seen.setdefault(name, []).append(v)
+        live: set[int] = set(committed[-self.keep_versions:])
+        for name, vs in seen.items():
+            keep = set(sorted(vs)[-self.keep_versions:])
+            live |= keep
+            for v in vs:
+                if v not in keep:
+                    self._fs.delete(self._fs._Path(self._vpath(v) + "/" + name))
+        for v in committed:
+            if v not in live:
+                self._fs.delete(self._fs._Path(self._vpath(v)))
+
     def _vacuum(self, newest: int) -> None:
         """Keep the newest ``keep_versions`` committed versions up to
         ``newest``; drop older ones and uncommitted leftovers below them."""

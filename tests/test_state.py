@@ -63,3 +63,23 @@ def test_keyless_state(spark, tmpdir_str):
     st.merge(spark.range(5).select(F.col("id").alias("amount")), 0, T0)
     st.merge(spark.range(3).select(F.col("id").alias("amount")), 1, T0)
     assert st.read().first().amount == 13
+
+
+def test_partitioned_state_rewrites_touched_partitions_only(spark, tmpdir_str):
+    st = KeyedState(spark, tmpdir_str + "/m", ["month", "phone"],
+                    {"amount": "bigint", "orders": "bigint"}, partition_by="month")
+
+    def d(rows):
+        return spark.createDataFrame(rows, "month string, phone string, amount long, orders long")
+
+    st.merge(d([("2024-01", "p1", 10, 1), ("2024-02", "p1", 5, 1)]), 0, T0)
+    st.merge(d([("2024-02", "p1", 7, 1), ("2024-02", "p2", 1, 1)]), 1, T0)
+    st.merge(d([("2024-02", "p1", 7, 1), ("2024-02", "p2", 1, 1)]), 1, T0)   # replay
+    st.merge(d([("2024-03", "p3", 2, 1)]), 2, T0)
+    got = {(r.month, r.phone): (r.amount, r.orders) for r in st.read().collect()}
+    assert got == {("2024-01", "p1"): (10, 1), ("2024-02", "p1"): (12, 2),
+                   ("2024-02", "p2"): (1, 1), ("2024-03", "p3"): (2, 1)}
+    # batch 2 wrote only March; January still comes from batch 0
+    import os
+    assert sorted(os.listdir(st._vpath(2).replace("file:", ""))) == ["._SUCCESS.crc", "_SUCCESS", "_p=2024-03"]
+    assert os.path.isdir(st._vpath(0) + "/_p=2024-01")
