@@ -16,23 +16,24 @@ from pyspark.sql import functions as F
 STAMP = "yyyyMMddHHmmssSSS"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a test table.  The test files are single row groups, which Spark
-    scans as one task; when a scan yields fewer tasks than the cluster has
-    cores it is spread round-robin (after column pruning) so per-record
-    parsing runs in parallel, as it would over a partitioned topic.  Large
-    tables made of many files never take this path."""
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read a test table.
+
+    The test files are single row groups, which Spark scans as one task.
+    With ``spread`` (used where every record is then serialised and parsed,
+    as records of a partitioned topic would be) a scan with fewer tasks than
+    cores is spread round-robin after column pruning.  Tables made of many
+    files never take this path, and inputs that are joined or aggregated
+    right away are not spread: their key shuffle already parallelises.
+    """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _SPREAD and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
     return df
 
 
-# Tables whose records go through per-record parsing or large joins.
-_SPREAD = {"events", "orders", "lineitem", "documents"}
-
-
 # F1 -- top-up notifications as JSON text
 def _topup_value():
     et = F.col("event_type")
@@ -59,13 +60,13 @@ def _positions(topic: str):
 
 
 def topup_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", spread=True)
     return e.select(_topup_value(), F.col("ts").cast("timestamp").alias("ts"))
 
 
 def topup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 as topic records: ``topic, partition, offset, value`` (+ ``ts``)."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", spread=True)
     return e.select(*_positions("topup"), _topup_value(),
                     F.col("ts").cast("timestamp").alias("ts"))
 
@@ -78,7 +79,7 @@ def city_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # F3 -- order lines "time ip goods_type detail money"
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", spread=True)
     ip = F.concat_ws(".", F.lit("10"), (F.col("user_id") % 64).cast("string"),
                      (F.col("event_id") % 256).cast("string"),
                      (F.col("event_id") % 7).cast("string"))
@@ -106,7 +107,7 @@ def ip_range_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # F5 -- payments as JSON text
 def payment_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=True)
     rec = F.struct(
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("date"),
         F.concat(F.lit("138"), F.lpad((F.col("o_custkey") % 100).cast("string"), 8, "0"))
@@ -146,12 +147,12 @@ def region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # F8 -- topic records with positions
 def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", spread=True)
     return e.select(*_positions("events"),
                     F.to_json(F.struct("event_id", "event_type", "value")).alias("value"))
 
 
 # F9 -- text lines
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", spread=True)
     return d.select(F.explode(F.split("text", "\n")).alias("value"))

@@ -207,3 +207,18 @@ class WordCountJob:
         if st is None:
             st = self.state.read_or_empty()
         return st.select("value", "count")
+
+
+# ---------------------------------------------------------------- offsets only
+
+def offset_tracking_job(spark: SparkSession, state_root: str, clock: Clock = utc_now,
+                        show_rows: int = 0, **kw) -> IndicatorJob:
+    """Consume a topic, optionally print the first ``show_rows`` values of
+    each batch (SNK9, bounded), and record the offset ledger (SNK10)."""
+
+    def parse(records: DataFrame) -> DataFrame:
+        if show_rows:
+            records.select("value").show(show_rows, truncate=False)
+        return records
+
+    return IndicatorJob(spark, state_root, parse, [], clock=clock, ledger=True, **kw)

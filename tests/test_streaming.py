@@ -95,3 +95,32 @@ def test_counter_ttl_keeps_last_window_only(spark):
     alive = {r.key for r in q["counter_ttl"](spark, SF_SMALL).collect()}
     assert alive and alive < merged
     assert {k.split("-", 1)[1] for k in alive} == {k.split("-", 1)[1] for k in alive if k[0] == "A"}
+
+
+def test_word_count_complete_mode_and_console(spark, capsys):
+    from chargepulse.streaming.jobs import WordCountJob
+    from chargepulse.streaming.sinks import console
+
+    src = scratch_path(spark, "t", "wc")
+    spark.createDataFrame([("a b a",), ("b  c ",), ("",)], "value string") \
+        .repartition(2).write.text(src)
+    job = WordCountJob(spark, scratch_path(spark, "t", "wcstate"))
+    job.start(text_stream(spark, src, 1), scratch_path(spark, "t", "wcckpt"),
+              output_mode="complete", trigger={"availableNow": True}).awaitTermination(600)
+    assert {r.value: r["count"] for r in job.result().collect()} == {
+        "a": 2, "b": 2, "c": 1, "": 2}
+    q = console(WordCountJob.counts(text_stream(spark, src)).coalesce(1), "complete")
+    q.processAllAvailable()
+    q.stop()
+
+
+def test_offset_tracking_job(spark):
+    from chargepulse.streaming.jobs import offset_tracking_job
+
+    src = scratch_path(spark, "t", "topic")
+    fx.topic_records(spark, SF_SMALL).repartition(3).write.parquet(src)
+    job = offset_tracking_job(spark, scratch_path(spark, "t", "otstate"), show_rows=2)
+    job.start(record_file_stream(spark, src), scratch_path(spark, "t", "otckpt"),
+              trigger={"availableNow": True}).awaitTermination(600)
+    assert {r.partition: r.until_offset for r in job.ledger_table().collect()} == {
+        p: 250 for p in range(4)}
