@@ -26,7 +26,7 @@ from ..streaming.state import KeyedState
 from . import fixtures as fx
 
 N_BATCHES = 3
-N_FILES = 4
+N_FILES = 3
 GROUP_ID = "chargepulse"
 STREAM_TIMEOUT_S = 1800
 
