@@ -89,7 +89,8 @@ def _minute_delta(base: DataFrame, ctx: Ctx) -> DataFrame:
 
 MINUTE_TREND = MetricSpec(
     "minute_trend", ("day", "hour", "minute"), {"total": "bigint", "succ": "bigint"},
-    _minute_delta, lambda s, ctx: s.select("day", "hour", "minute", "total", "succ"))
+    _minute_delta, lambda s, ctx: s.select("day", "hour", "minute", "total", "succ"),
+    partition_by="day")
 
 
 def _by_city(s: DataFrame, ctx: Ctx, keys: list[str], measures: list[str]) -> DataFrame:

@@ -13,11 +13,13 @@ counter store that increments in place would double-count a replay.  Every
 version is a written table, so lineage never grows across batches and a lost
 executor only loses work of the current batch.
 
-With ``partition_by`` (a time-like key such as a month) a version folder
-holds only the partitions its batch touched (``batch_<id>/_p=<value>/``) and
-the current state of a partition is its newest committed version, so a
-batch costs in proportion to the months it touches rather than the whole
-history.
+With ``partition_by`` (a time-like key such as a month or a day) a version
+folder holds only the partitions its batch touched (``batch_<id>/_p=<value>/``)
+plus a small manifest ``_partitions.json`` mapping every partition to the
+version folder holding its current rows.  The manifest is written after the
+data and marks the version committed; a merge reads one manifest instead of
+listing folders, and a batch costs in proportion to the partitions it
+touches rather than the whole history.
 
 Expiry is per *key group* (e.g. a whole day's hash): a group dies when the
 newest ``last_update`` of any of its rows is older than the TTL, so quiet
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 
 _VERSION = re.compile(r"^batch_(\d+)$")
 _PART = re.compile(r"^_p=([A-Za-z0-9_.\-]+)$")
+_MANIFEST = "_partitions.json"
 
 
 class _FS:
@@ -43,6 +46,7 @@ class _FS:
 
     def __init__(self, spark: SparkSession, path: str):
         jvm = spark._jvm
+        self._jvm = jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self.root = self._Path(path)
         self.fs = self.root.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -61,6 +65,20 @@ class _FS:
     def delete(self, p) -> None:
         self.fs.delete(p, True)
 
+    def write_text(self, p, text: str) -> None:
+        out = self.fs.create(p, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
+    def read_text(self, p) -> str:
+        stream = self.fs.open(p)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
 
 class KeyedState:
     """A keyed table of additive measures with versioned, replay-safe merges.
@@ -98,11 +116,13 @@ class KeyedState:
 
     # ------------------------------------------------------------------ read
     def versions(self) -> list[int]:
-        """Committed versions (folders with ``_SUCCESS``), ascending."""
+        """Committed versions, ascending: folders with ``_SUCCESS`` (and, for
+        partitioned state, the manifest written after it)."""
+        marker = _MANIFEST if self.partition_by else "_SUCCESS"
         out = []
         for name in self._fs.list_names():
             m = _VERSION.match(name)
-            if m and self._fs.exists(self._fs._Path(self._fs.child(name), "_SUCCESS")):
+            if m and self._fs.exists(self._fs._Path(self._fs.child(name), marker)):
                 out.append(int(m.group(1)))
         return sorted(out)
 
@@ -130,19 +150,18 @@ class KeyedState:
             df = self._expire(df, now)
         return df
 
+    def _manifest(self, v: int | None) -> dict[str, int]:
+        if v is None:
+            return {}
+        import json
+
+        return json.loads(self._fs.read_text(self._fs._Path(self._vpath(v), _MANIFEST)))
+
     def _partition_paths(self, before: int | None = None) -> dict[str, str]:
-        """Partition value -> folder of its newest committed version below
-        ``before`` (driver-side listing: versions x partitions entries)."""
-        out: dict[str, tuple[int, str]] = {}
-        for v in self.versions():
-            if before is not None and v >= before:
-                continue
-            vdir = self._vpath(v)
-            for name in _FS(self.spark, vdir).list_names():
-                m = _PART.match(name)
-                if m and (m.group(1) not in out or out[m.group(1)][0] < v):
-                    out[m.group(1)] = (v, f"{vdir}/{name}")
-        return {k: p for k, (_, p) in out.items()}
+        """Partition value -> folder holding its rows, from the manifest of the
+        newest committed version below ``before``."""
+        man = self._manifest(self.latest(before=before))
+        return {p: f"{self._vpath(v)}/_p={p}" for p, v in man.items()}
 
     def read_or_empty(self, version: int | None = None, now: dt.datetime | None = None,
                       key_types: dict[str, str] | None = None) -> DataFrame:
@@ -192,45 +211,55 @@ class KeyedState:
         return batch_id
 
     def _merge_partitioned(self, d: DataFrame, aggs, batch_id: int) -> int:
+        import json
+
         # The partitions one batch touches (e.g. its months) are few.
-        touched = [r[0] for r in d.select(self.partition_by).distinct().collect()]
-        bad = [t for t in touched if t is None or not _PART.match(f"_p={t}")]
+        touched = sorted(r[0] for r in d.select(self.partition_by).distinct().collect()
+                         if r[0] is not None)
+        bad = [t for t in touched if not _PART.match(f"_p={t}")]
         if bad:
             raise ValueError(f"unsafe partition values for state: {bad[:3]}")
-        if not touched:
-            return batch_id
-        prev = self._partition_paths(before=batch_id)
-        paths = [prev[t] for t in touched if t in prev]
-        u = d
+        base = self.latest(before=batch_id)
+        manifest = self._manifest(base)
+        paths = [f"{self._vpath(manifest[t])}/_p={t}" for t in touched if t in manifest]
+        u = d.where(F.col(self.partition_by).isNotNull())
         if paths:
-            u = self.spark.read.parquet(*paths).select(*d.columns).unionByName(d)
+            u = self.spark.read.parquet(*paths).select(*d.columns).unionByName(u)
         merged = u.groupBy(*self.keys).agg(*aggs)
         # static overwrite of a fresh version folder (writes _SUCCESS)
         (merged.withColumn("_p", F.col(self.partition_by)).write.mode("overwrite")
          .option("partitionOverwriteMode", "static")
          .partitionBy("_p").parquet(self._vpath(batch_id)))
+        manifest.update({t: batch_id for t in touched})
+        self._fs.write_text(self._fs._Path(self._vpath(batch_id), _MANIFEST),
+                            json.dumps(manifest, sort_keys=True))
         self._vacuum_partitioned(batch_id)
         return batch_id
 
     def _vacuum_partitioned(self, newest: int) -> None:
-        """Per partition keep its newest ``keep_versions`` versions; drop
-        older partition folders, and version folders left without any."""
-        seen: dict[str, list[int]] = {}
+        """Keep what the newest ``keep_versions`` manifests reference; drop
+        other partition folders and version folders left without any.  The
+        folder scan runs every ``keep_versions`` batches (amortised)."""
+        if newest % self.keep_versions:
+            return
         committed = [v for v in self.versions() if v <= newest]
-        for v in committed:
-            for name in _FS(self.spark, self._vpath(v)).list_names():
-                if _PART.match(name):
-                    seen.setdefault(name, []).append(v)
-        live: set[int] = set(committed[-self.keep_versions:])
-        for name, vs in seen.items():
-            keep = set(sorted(vs)[-self.keep_versions:])
-            live |= keep
-            for v in vs:
-                if v not in keep:
-                    self._fs.delete(self._fs._Path(self._vpath(v) + "/" + name))
-        for v in committed:
+        recent = committed[-self.keep_versions:]
+        referenced: set[tuple[str, int]] = set()
+        for v in recent:
+            referenced |= {(p, pv) for p, pv in self._manifest(v).items()}
+        live = {pv for _, pv in referenced} | set(recent)
+        for name in self._fs.list_names():
+            m = _VERSION.match(name)
+            if not m or int(m.group(1)) > newest:
+                continue
+            v = int(m.group(1))
             if v not in live:
-                self._fs.delete(self._fs._Path(self._vpath(v)))
+                self._fs.delete(self._fs.child(name))
+                continue
+            for sub in _FS(self.spark, self._vpath(v)).list_names():
+                pm = _PART.match(sub)
+                if pm and (pm.group(1), v) not in referenced and v not in recent:
+                    self._fs.delete(self._fs._Path(self._vpath(v) + "/" + sub))
 
     def _vacuum(self, newest: int) -> None:
         """Keep the newest ``keep_versions`` committed versions up to

@@ -80,6 +80,15 @@ def test_partitioned_state_rewrites_touched_partitions_only(spark, tmpdir_str):
     assert got == {("2024-01", "p1"): (10, 1), ("2024-02", "p1"): (12, 2),
                    ("2024-02", "p2"): (1, 1), ("2024-03", "p3"): (2, 1)}
     # batch 2 wrote only March; January still comes from batch 0
+    import json
     import os
-    assert sorted(os.listdir(st._vpath(2).replace("file:", ""))) == ["._SUCCESS.crc", "_SUCCESS", "_p=2024-03"]
+    assert [n for n in sorted(os.listdir(st._vpath(2))) if n.startswith("_p=")] == ["_p=2024-03"]
+    with open(st._vpath(2) + "/_partitions.json") as f:
+        assert json.load(f) == {"2024-01": 0, "2024-02": 1, "2024-03": 2}
     assert os.path.isdir(st._vpath(0) + "/_p=2024-01")
+    # more batches touching only March: vacuum keeps what manifests reference
+    for b in range(3, 9):
+        st.merge(d([("2024-03", "p3", 1, 1)]), b, T0)
+    got = {(r.month, r.phone): r.amount for r in st.read().collect()}
+    assert got[("2024-01", "p1")] == 10 and got[("2024-03", "p3")] == 8
+    assert not os.path.exists(st._vpath(3))
