@@ -21,6 +21,12 @@ data and marks the version committed; a merge reads one manifest instead of
 listing folders, and a batch costs in proportion to the partitions it
 touches rather than the whole history.
 
+With ``compact_every=C`` (> 1) a batch writes only its aggregated delta
+(``delta_<id>/``, again idempotent per id) and every C-th batch writes a
+full snapshot; reads combine the newest snapshot with the deltas after it.
+This keeps per-batch cost proportional to the batch, not to the state, for
+large key spaces such as a vocabulary.
+
 Expiry is per *key group* (e.g. a whole day's hash): a group dies when the
 newest ``last_update`` of any of its rows is older than the TTL, so quiet
 fields of a live group survive.  The clock is passed in; nothing here reads
@@ -37,6 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _VERSION = re.compile(r"^batch_(\d+)$")
+_DELTA = re.compile(r"^delta_(\d+)$")
 _PART = re.compile(r"^_p=([A-Za-z0-9_.\-]+)$")
 _MANIFEST = "_partitions.json"
 
@@ -91,7 +98,8 @@ class KeyedState:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
                  measures: dict[str, str], combine: dict[str, str] | None = None,
                  ttl: dt.timedelta | None = None, ttl_keys: Sequence[str] | None = None,
-                 keep_versions: int = 3, partition_by: str | None = None):
+                 keep_versions: int = 3, partition_by: str | None = None,
+                 compact_every: int = 1):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
@@ -105,6 +113,9 @@ class KeyedState:
             raise ValueError("partition_by must be one of the keys")
         if partition_by and ttl is not None:
             raise ValueError("expiry needs the whole state; use it without partition_by")
+        if partition_by and compact_every > 1:
+            raise ValueError("use either partition_by or compact_every")
+        self.compact_every = max(1, compact_every)
         self._fs = _FS(spark, self.path)
 
     @classmethod
@@ -133,6 +144,29 @@ class KeyedState:
     def _vpath(self, v: int) -> str:
         return f"{self.path}/batch_{v:020d}"
 
+    def _dpath(self, v: int) -> str:
+        return f"{self.path}/delta_{v:020d}"
+
+    def _deltas(self, after: int | None, before: int | None) -> list[int]:
+        """Committed delta ids in ``(after, before)``."""
+        if self.compact_every <= 1:
+            return []
+        out = []
+        for name in self._fs.list_names():
+            m = _DELTA.match(name)
+            if not m:
+                continue
+            v = int(m.group(1))
+            if (after is None or v > after) and (before is None or v < before) and \
+                    self._fs.exists(self._fs._Path(self._fs.child(name), "_SUCCESS")):
+                out.append(v)
+        return sorted(out)
+
+    def _combine(self, df: DataFrame) -> DataFrame:
+        aggs = [self._agg(m, t) for m, t in self.measures.items()]
+        aggs.append(F.max("last_update").alias("last_update"))
+        return df.groupBy(*self.keys).agg(*aggs) if self.keys else df.agg(*aggs)
+
     def read(self, version: int | None = None, now: dt.datetime | None = None) -> DataFrame | None:
         """State as of ``version`` (default newest), or None if there is none.
         With ``now`` and a TTL, expired groups are filtered out on read."""
@@ -142,10 +176,15 @@ class KeyedState:
                 return None
             df = self.spark.read.parquet(*paths)
         else:
-            v = self.latest() if version is None else version
-            if v is None:
+            upto = None if version is None else version + 1
+            v = self.latest(before=upto)
+            deltas = self._deltas(after=v, before=upto)
+            if v is None and not deltas:
                 return None
-            df = self.spark.read.parquet(self._vpath(v))
+            parts = ([self._vpath(v)] if v is not None else []) + [self._dpath(x) for x in deltas]
+            df = self.spark.read.parquet(*parts)
+            if deltas:
+                df = self._combine(df)
         if now is not None and self.ttl is not None:
             df = self._expire(df, now)
         return df
@@ -201,8 +240,13 @@ class KeyedState:
         aggs.append(F.max("last_update").alias("last_update"))
         if self.partition_by:
             return self._merge_partitioned(d, aggs, batch_id)
-        base = self.latest(before=batch_id)
-        u = d if base is None else self.read(base).select(*d.columns).unionByName(d)
+        if self.compact_every > 1 and batch_id % self.compact_every:
+            # delta only: this batch's rows combined per key
+            delta = d.groupBy(*self.keys).agg(*aggs) if self.keys else d.agg(*aggs)
+            delta.write.mode("overwrite").parquet(self._dpath(batch_id))
+            return batch_id
+        prev = self.read(batch_id - 1) if batch_id > 0 else None
+        u = d if prev is None else prev.select(*d.columns).unionByName(d)
         merged = u.groupBy(*self.keys).agg(*aggs) if self.keys else u.agg(*aggs)
         if self.ttl is not None:
             merged = self._expire(merged, now)
@@ -268,7 +312,7 @@ class KeyedState:
         keep = set(vs[-self.keep_versions:])
         floor = min(keep) if keep else newest
         for name in self._fs.list_names():
-            m = _VERSION.match(name)
+            m = _VERSION.match(name) or _DELTA.match(name)
             if m and int(m.group(1)) < floor and int(m.group(1)) not in keep:
                 self._fs.delete(self._fs.child(name))
 
