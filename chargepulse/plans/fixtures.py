@@ -26,14 +26,25 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     files never take this path, and inputs that are joined or aggregated
     right away are not spread: their key shuffle already parallelises.
     """
+    key = (id(spark), sf_dir.rstrip("/"), name, spread)
+    hit = _TABLES.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread:
         cores = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < cores:
             df = df.repartition(cores)
+    _TABLES[key] = (spark, df)
     return df
 
 
+# Resolved (lazy) table plans per session: the test tables are read-only, and
+# resolving a Parquet schema costs a driver round trip per read.  No data is
+# cached here, only the DataFrame definitions.
+_TABLES: dict = {}
+
+
 # F1 -- top-up notifications as JSON text
 def _topup_value():
     et = F.col("event_type")

@@ -141,8 +141,9 @@ def topup_job(spark: SparkSession, state_root: str, city_dim: DataFrame,
               **kw) -> IndicatorJob:
     """Top-up notifications: the five indicators plus the counter layout
     whose day groups (``A-<day>``, ``B-<day>``) expire 48 h after their last
-    write.  The city dimension's size is checked once, not per batch."""
-    dim, small = broadcast_if_small(city_dim)
+    write.  The city dimension is cached for the job's lifetime and its
+    size is checked once, not per batch."""
+    dim, small = broadcast_if_small(city_dim.persist())
     specs = list(metrics if metrics is not None else M.TOPUP_METRICS.values())
     ttl = {}
     if counters:
