@@ -94,9 +94,17 @@ class IndicatorJob:
         self.batches_seen.append(batch_id)
 
     def start(self, source: DataFrame, checkpoint: str,
-              trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
+              trigger: dict | None = None, query_name: str | None = None,
+              reset_state: bool = False) -> StreamingQuery:
         """Start the stream.  ``trigger`` e.g. ``{"processingTime": "1 second"}``
-        (STR1) or ``{"availableNow": True}`` for a bounded catch-up run."""
+        (STR1) or ``{"availableNow": True}`` for a bounded catch-up run.
+
+        Batch ids restart at 0 with a fresh checkpoint, so state written under
+        another checkpoint cannot be continued: starting a fresh checkpoint on
+        a non-empty state folder raises unless ``reset_state`` clears it.
+        """
+        check_state_generation(self.spark, checkpoint,
+                               list(self.states.values()) + [self.ledger_state], reset_state)
         w = source.writeStream.foreachBatch(self.handle).option("checkpointLocation", checkpoint)
         if query_name:
             w = w.queryName(query_name)
@@ -117,6 +125,24 @@ class IndicatorJob:
         return None if led is None else led.drop("last_update")
 
 
+def check_state_generation(spark: SparkSession, checkpoint: str,
+                           states: Sequence[KeyedState], reset: bool = False) -> None:
+    """Refuse to pair a fresh checkpoint with state from an earlier one."""
+    from .state import _FS
+
+    fs = _FS(spark, checkpoint.rstrip("/") + "/commits")
+    fresh = not fs.list_names()
+    if not fresh:
+        return
+    used = [st for st in states if st._fs.list_names()]
+    if used and not reset:
+        raise ValueError(
+            f"fresh checkpoint {checkpoint} but state exists under {used[0].path}; "
+            "use a new state folder or start with reset_state=True")
+    for st in used:
+        st._fs.delete(st._fs.root)
+
+
 def run_concurrently(tasks: Sequence[Callable[[], object]], max_workers: int = 8) -> list:
     """Run independent Spark actions from a small driver thread pool and
     re-raise the first failure after all have finished."""
@@ -203,7 +229,8 @@ class WordCountJob:
         self.state.merge(batch, batch_id, self.clock(batch_id))
 
     def start(self, lines: DataFrame, checkpoint: str, output_mode: str = "update",
-              trigger: dict | None = None) -> StreamingQuery:
+              trigger: dict | None = None, reset_state: bool = False) -> StreamingQuery:
+        check_state_generation(self.spark, checkpoint, [self.state], reset_state)
         return (self.counts(lines).writeStream.outputMode(output_mode)
                 .foreachBatch(self.handle).option("checkpointLocation", checkpoint)
                 .trigger(**(trigger or {"processingTime": "1 second"})).start())

@@ -124,3 +124,21 @@ def test_offset_tracking_job(spark):
               trigger={"availableNow": True}).awaitTermination(600)
     assert {r.partition: r.until_offset for r in job.ledger_table().collect()} == {
         p: 250 for p in range(4)}
+
+
+def test_fresh_checkpoint_refuses_old_state(spark):
+    import pytest
+
+    src = scratch_path(spark, "t", "gen")
+    state = scratch_path(spark, "t", "genstate")
+    fx.payment_json(spark, SF_SMALL).repartition(2).write.text(src)
+    job = payment_job(spark, state)
+    job.start(text_stream(spark, src, 1), scratch_path(spark, "t", "genckpt1"),
+              trigger={"availableNow": True}).awaitTermination(600)
+    job2 = payment_job(spark, state)
+    with pytest.raises(ValueError):
+        job2.start(text_stream(spark, src, 1), scratch_path(spark, "t", "genckpt2"),
+                   trigger={"availableNow": True})
+    job2.start(text_stream(spark, src, 1), scratch_path(spark, "t", "genckpt3"),
+               trigger={"availableNow": True}, reset_state=True).awaitTermination(600)
+    assert _set(job2.result("daily_payment")) == _set(queries()["daily_payment"](spark, SF_SMALL))
