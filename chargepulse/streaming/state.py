@@ -167,14 +167,20 @@ class KeyedState:
         aggs.append(F.max("last_update").alias("last_update"))
         return df.groupBy(*self.keys).agg(*aggs) if self.keys else df.agg(*aggs)
 
-    def read(self, version: int | None = None, now: dt.datetime | None = None) -> DataFrame | None:
+    def _reader(self, schema=None):
+        r = self.spark.read
+        return r.schema(schema) if schema is not None else r
+
+    def read(self, version: int | None = None, now: dt.datetime | None = None,
+             schema=None) -> DataFrame | None:
         """State as of ``version`` (default newest), or None if there is none.
-        With ``now`` and a TTL, expired groups are filtered out on read."""
+        With ``now`` and a TTL, expired groups are filtered out on read.
+        ``schema`` (the stored columns) skips Parquet schema inference."""
         if self.partition_by:
             paths = list(self._partition_paths(before=None if version is None else version + 1).values())
             if not paths:
                 return None
-            df = self.spark.read.parquet(*paths)
+            df = self._reader(schema).parquet(*paths)
         else:
             upto = None if version is None else version + 1
             v = self.latest(before=upto)
@@ -182,7 +188,7 @@ class KeyedState:
             if v is None and not deltas:
                 return None
             parts = ([self._vpath(v)] if v is not None else []) + [self._dpath(x) for x in deltas]
-            df = self.spark.read.parquet(*parts)
+            df = self._reader(schema).parquet(*parts)
             if deltas:
                 df = self._combine(df)
         if now is not None and self.ttl is not None:
@@ -245,7 +251,7 @@ class KeyedState:
             delta = d.groupBy(*self.keys).agg(*aggs) if self.keys else d.agg(*aggs)
             delta.write.mode("overwrite").parquet(self._dpath(batch_id))
             return batch_id
-        prev = self.read(batch_id - 1) if batch_id > 0 else None
+        prev = self.read(batch_id - 1, schema=d.schema) if batch_id > 0 else None
         u = d if prev is None else prev.select(*d.columns).unionByName(d)
         merged = u.groupBy(*self.keys).agg(*aggs) if self.keys else u.agg(*aggs)
         if self.ttl is not None:
@@ -268,7 +274,7 @@ class KeyedState:
         paths = [f"{self._vpath(manifest[t])}/_p={t}" for t in touched if t in manifest]
         u = d.where(F.col(self.partition_by).isNotNull())
         if paths:
-            u = self.spark.read.parquet(*paths).select(*d.columns).unionByName(u)
+            u = self.spark.read.schema(d.schema).parquet(*paths).select(*d.columns).unionByName(u)
         merged = u.groupBy(*self.keys).agg(*aggs)
         # static overwrite of a fresh version folder (writes _SUCCESS)
         (merged.withColumn("_p", F.col(self.partition_by)).write.mode("overwrite")
