@@ -56,6 +56,6 @@ def test_java_split_rules(spark):
 
 def test_topic_partition_keys_with_dashes(spark):
     t, p = split_topic_partition("k")
-    rows = spark.createDataFrame([("cmcc-pay-3",), ("events-12",), ("bad",)], "k string") \
+    rows = spark.createDataFrame([("top-up-events-3",), ("events-12",), ("bad",)], "k string") \
         .select(t.alias("t"), p.alias("p")).collect()
-    assert [(r.t, r.p) for r in rows] == [("cmcc-pay", 3), ("events", 12), (None, None)]
+    assert [(r.t, r.p) for r in rows] == [("top-up-events", 3), ("events", 12), (None, None)]
