@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import metrics as M
 from ..operators.lookup import broadcast_if_small
-from ..operators.parse import orders_base, parse_topups, payments_base
+from ..operators.parse import (orders_base, orders_quarantine, parse_topup_json, parse_topups,
+                               payments_base, payments_quarantine, topup_quarantine)
 from .state import KeyedState, utc_now
 
 Clock = Callable[[int], dt.datetime]
@@ -40,7 +41,8 @@ class IndicatorJob:
                  parse: Callable[[DataFrame], DataFrame], metrics: Sequence[M.MetricSpec],
                  ctx: dict | None = None, clock: Clock = utc_now,
                  ttl: dict[str, tuple[dt.timedelta, Sequence[str]]] | None = None,
-                 ledger: bool = True, keep_versions: int = 3):
+                 ledger: bool = True, keep_versions: int = 3,
+                 quarantine: Callable[[DataFrame], DataFrame] | None = None):
         self.spark = spark
         self.state_root = state_root.rstrip("/")
         self.parse = parse
@@ -48,6 +50,8 @@ class IndicatorJob:
         self.ctx = dict(ctx or {})
         self.clock = clock
         self.ledger = ledger
+        self.quarantine = quarantine
+        self.quarantine_path = f"{self.state_root}/_quarantine"
         self.states: dict[str, KeyedState] = {}
         for spec in self.metrics:
             if spec.store in self.states:
@@ -81,9 +85,11 @@ class IndicatorJob:
                 if spec.store not in stores:
                     stores.add(spec.store)
                     tasks.append((self.states[spec.store], spec))
-            run_concurrently([
-                (lambda st=st, spec=spec: st.merge(spec.delta(base, self.ctx), batch_id, now))
-                for st, spec in tasks])
+            work = [(lambda st=st, spec=spec: st.merge(spec.delta(base, self.ctx), batch_id, now))
+                    for st, spec in tasks]
+            if self.quarantine is not None:
+                work.append(lambda: self._write_quarantine(records, batch_id))
+            run_concurrently(work)
             if self.ledger and POSITION_COLS <= set(records.columns):
                 self.ledger_state.merge(M.OFFSET_LEDGER.delta(records, {}), batch_id, now)
         finally:
@@ -92,6 +98,20 @@ class IndicatorJob:
             records.unpersist()
         self.batches_seen.append(batch_id)
 
+    def _write_quarantine(self, records: DataFrame, batch_id: int) -> None:
+        """Malformed records of this batch, kept for inspection; overwritten
+        per batch id so a replay does not duplicate them."""
+        (self.quarantine(records).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").parquet(f"{self.quarantine_path}/batch_id={batch_id}"))
+
+    def quarantined(self) -> DataFrame | None:
+        """All quarantined records so far (``batch_id`` column included)."""
+        from .state import _FS
+
+        if not _FS(self.spark, self.quarantine_path).list_names():
+            return None
+        return self.spark.read.option("basePath", self.quarantine_path).parquet(self.quarantine_path)
+
     def start(self, source: DataFrame, checkpoint: str,
               trigger: dict | None = None, query_name: str | None = None,
               reset_state: bool = False) -> StreamingQuery:
@@ -175,6 +195,7 @@ def topup_job(spark: SparkSession, state_root: str, city_dim: DataFrame,
         specs.append(M.COUNTERS)
         if counter_ttl is not None:
             ttl[M.COUNTERS.name] = (counter_ttl, ("key",))
+    kw.setdefault("quarantine", lambda r: topup_quarantine(parse_topup_json(r)))
     return IndicatorJob(spark, state_root, parse_topups, specs,
                         ctx={"city_dim": dim, "city_dim_checked": small},
                         clock=clock, ttl=ttl, **kw)
@@ -187,6 +208,7 @@ def order_job(spark: SparkSession, state_root: str, ip_ranges: DataFrame,
     cached for the job's lifetime."""
     ranges = ip_ranges.select("start_num", "province").persist()
     n = ranges.count()
+    kw.setdefault("quarantine", orders_quarantine)
     return IndicatorJob(spark, state_root, orders_base, list(M.ORDER_METRICS.values()),
                         ctx={"ip_ranges": ranges, "n_ranges": n}, clock=clock, **kw)
 
@@ -194,6 +216,7 @@ def order_job(spark: SparkSession, state_root: str, ip_ranges: DataFrame,
 def payment_job(spark: SparkSession, state_root: str, clock: Clock = utc_now,
                 **kw) -> IndicatorJob:
     """Payments: daily total, monthly sum and average per phone."""
+    kw.setdefault("quarantine", payments_quarantine)
     return IndicatorJob(spark, state_root, payments_base, list(M.PAYMENT_METRICS.values()),
                         clock=clock, **kw)
 

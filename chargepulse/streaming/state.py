@@ -261,18 +261,26 @@ class KeyedState:
         return batch_id
 
     def _merge_partitioned(self, d: DataFrame, aggs, batch_id: int) -> int:
+        # Aggregate the batch once; the partitions it touches (e.g. its
+        # months) are few and are read from the cached aggregate.
+        d = (d.where(F.col(self.partition_by).isNotNull())
+             .groupBy(*self.keys).agg(*aggs).persist())
+        try:
+            return self._merge_partitioned_agg(d, aggs, batch_id)
+        finally:
+            d.unpersist()
+
+    def _merge_partitioned_agg(self, d: DataFrame, aggs, batch_id: int) -> int:
         import json
 
-        # The partitions one batch touches (e.g. its months) are few.
-        touched = sorted(r[0] for r in d.select(self.partition_by).distinct().collect()
-                         if r[0] is not None)
+        touched = sorted(r[0] for r in d.select(self.partition_by).distinct().collect())
         bad = [t for t in touched if not _PART.match(f"_p={t}")]
         if bad:
             raise ValueError(f"unsafe partition values for state: {bad[:3]}")
         base = self.latest(before=batch_id)
         manifest = self._manifest(base)
         paths = [f"{self._vpath(manifest[t])}/_p={t}" for t in touched if t in manifest]
-        u = d.where(F.col(self.partition_by).isNotNull())
+        u = d
         if paths:
             u = self.spark.read.schema(d.schema).parquet(*paths).select(*d.columns).unionByName(u)
         merged = u.groupBy(*self.keys).agg(*aggs)

@@ -142,3 +142,19 @@ def test_fresh_checkpoint_refuses_old_state(spark):
     job2.start(text_stream(spark, src, 1), scratch_path(spark, "t", "genckpt3"),
                trigger={"availableNow": True}, reset_state=True).awaitTermination(600)
     assert _set(job2.result("daily_payment")) == _set(queries()["daily_payment"](spark, SF_SMALL))
+
+
+def test_stream_quarantines_bad_records(spark):
+    src = scratch_path(spark, "t", "payq")
+    good = ['{"date":"2024-03-05 10:00:00","phoneNum":"1","money":"30"}',
+            '{"date":"2024-04-01 00:00:00","phoneNum":"1","money":"5"}']
+    bad = ['{"date":"2024-03-05","phoneNum":"1","money":"x"}', 'not json']
+    for i, chunk in enumerate([good[:1] + bad[:1], good[1:] + bad[1:]]):
+        spark.createDataFrame([(v,) for v in chunk], "value string").coalesce(1) \
+            .write.mode("append").text(src)
+    job = payment_job(spark, scratch_path(spark, "t", "payqstate"))
+    job.start(text_stream(spark, src, 1), scratch_path(spark, "t", "payqckpt"),
+              trigger={"availableNow": True}).awaitTermination(600)
+    assert sorted(map(tuple, job.result("monthly_phone_sum").collect())) == [
+        ("2024-03", "1", 30), ("2024-04", "1", 5)]
+    assert job.quarantined().count() == 2
