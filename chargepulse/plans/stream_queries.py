@@ -156,7 +156,8 @@ def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx.text_lines(spark, sf_dir).repartition(N_FILES).write.mode("overwrite").text(src)
     job = WordCountJob(spark, scratch_path(spark, "state", "words"))
     q = job.start(text_stream(spark, src, max_files_per_trigger=1),
-                  scratch_path(spark, "ckpt", "words"), trigger={"availableNow": True})
+                  scratch_path(spark, "ckpt", "words"), trigger={"availableNow": True},
+                  state_partitions=2 * spark.sparkContext.defaultParallelism)
     _await(q)
     return job.result()
 

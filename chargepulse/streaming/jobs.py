@@ -251,11 +251,25 @@ class WordCountJob:
         self.state.merge(batch, batch_id, self.clock(batch_id))
 
     def start(self, lines: DataFrame, checkpoint: str, output_mode: str = "update",
-              trigger: dict | None = None, reset_state: bool = False) -> StreamingQuery:
+              trigger: dict | None = None, reset_state: bool = False,
+              state_partitions: int | None = None) -> StreamingQuery:
+        """Start the stream.  ``state_partitions`` fixes the number of state
+        store partitions of a *new* checkpoint (Spark takes it from
+        ``spark.sql.shuffle.partitions`` at first start and keeps it);
+        the session setting is restored right after the start."""
         check_state_generation(self.spark, checkpoint, [self.state], reset_state)
-        return (self.counts(lines).writeStream.outputMode(output_mode)
-                .foreachBatch(self.handle).option("checkpointLocation", checkpoint)
-                .trigger(**(trigger or {"processingTime": "1 second"})).start())
+        w = (self.counts(lines).writeStream.outputMode(output_mode)
+             .foreachBatch(self.handle).option("checkpointLocation", checkpoint)
+             .trigger(**(trigger or {"processingTime": "1 second"})))
+        if state_partitions is None:
+            return w.start()
+        key = "spark.sql.shuffle.partitions"
+        prev = self.spark.conf.get(key)
+        self.spark.conf.set(key, str(state_partitions))
+        try:
+            return w.start()
+        finally:
+            self.spark.conf.set(key, prev)
 
     def result(self) -> DataFrame:
         st = self.state.read()
