@@ -183,7 +183,10 @@ def containment_join(fact: DataFrame, ip_col: str, ranges: DataFrame,
                        & (F.col(lo_col) <= F.col(hi_col)))
           .select(F.col(lo_col).alias("lo"), F.col(hi_col).alias("hi"),
                   F.col(value_col).alias("value")))
-    n_rows = iv.agg(F.sum(F.shiftright("hi", bits) - F.shiftright("lo", bits) + 1)).first()[0] or 0
+    # Exact index size; computed on the unfiltered intervals (NULL or inverted
+    # ones count 0) so no filter is pushed into the parsing expressions.
+    width = F.shiftright(F.col(hi_col), bits) - F.shiftright(F.col(lo_col), bits) + 1
+    n_rows = ranges.agg(F.sum(F.greatest(F.coalesce(width, F.lit(0)), F.lit(0)))).first()[0] or 0
     return _bucket_join(fact, ip_col, bucket_ranges(iv, bits), out_col, bits,
                         n_rows <= max_broadcast_rows)
 
