@@ -102,8 +102,9 @@ def _by_city(s: DataFrame, ctx: Ctx, keys: list[str], measures: list[str]) -> Da
 
 
 def _failures_delta(base: DataFrame, ctx: Ctx) -> DataFrame:
+    # ``day`` is implied by ``hour``; it is carried only to partition the state.
     return (base.where(F.col("succ") == 0)
-            .groupBy("province_code", "hour").agg(_sum("orders", "bigint", "fail_count")))
+            .groupBy("day", "province_code", "hour").agg(_sum("orders", "bigint", "fail_count")))
 
 
 def _failures_result(s: DataFrame, ctx: Ctx) -> DataFrame:
@@ -111,8 +112,8 @@ def _failures_result(s: DataFrame, ctx: Ctx) -> DataFrame:
 
 
 HOURLY_PROVINCE_FAILURES = MetricSpec(
-    "hourly_province_failures", ("province_code", "hour"), {"fail_count": "bigint"},
-    _failures_delta, _failures_result)
+    "hourly_province_failures", ("day", "province_code", "hour"), {"fail_count": "bigint"},
+    _failures_delta, _failures_result, partition_by="day")
 
 
 def _province_delta(base: DataFrame, ctx: Ctx) -> DataFrame:
@@ -144,13 +145,15 @@ PROVINCE_TOP10 = MetricSpec(
 
 
 def _hourly_amount_delta(base: DataFrame, ctx: Ctx) -> DataFrame:
-    return base.groupBy("hour").agg(_sum("succ", "bigint", "succ_orders"),
-                                    _sum("fee", FEE_TYPE, "amount"))
+    # ``day`` is implied by ``hour``; it is carried only to partition the state.
+    return base.groupBy("day", "hour").agg(_sum("succ", "bigint", "succ_orders"),
+                                           _sum("fee", FEE_TYPE, "amount"))
 
 
 HOURLY_AMOUNT = MetricSpec(
-    "hourly_amount", ("hour",), {"succ_orders": "bigint", "amount": FEE_TYPE},
-    _hourly_amount_delta, lambda s, ctx: s.select("hour", "succ_orders", _dbl("amount")))
+    "hourly_amount", ("day", "hour"), {"succ_orders": "bigint", "amount": FEE_TYPE},
+    _hourly_amount_delta, lambda s, ctx: s.select("hour", "succ_orders", _dbl("amount")),
+    partition_by="day")
 
 
 # --------------------------------------------------------------------------
