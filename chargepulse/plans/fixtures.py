@@ -72,14 +72,14 @@ def _positions(topic: str):
 
 def topup_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events", spread=True)
-    return e.select(_topup_value(), F.col("ts").cast("timestamp").alias("ts"))
+    return e.select(_topup_value(), F.col("ts"))
 
 
 def topup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 as topic records: ``topic, partition, offset, value`` (+ ``ts``)."""
     e = table(spark, sf_dir, "events", spread=True)
     return e.select(*_positions("topup"), _topup_value(),
-                    F.col("ts").cast("timestamp").alias("ts"))
+                    F.col("ts"))
 
 
 # F2 -- city code file lines "code name"
@@ -97,7 +97,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.concat_ws(
         " ", F.date_format("ts", "yyyyMMddHHmmss"), ip, "event_type",
         F.col("event_id").cast("string"), F.floor("value").cast("string")).alias("value"),
-        F.col("ts").cast("timestamp").alias("ts"))
+        F.col("ts"))
 
 
 def _range_lo():
