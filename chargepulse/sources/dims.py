@@ -20,13 +20,14 @@ def parse_code_dim(lines: DataFrame, value_col: str = "value",
 
     Duplicate codes: the last one in ``order_col`` order wins (a map built
     from the file keeps the last).  Without ``order_col`` the winner is the
-    largest name, which is deterministic.  Lines without a name are dropped.
+    largest name, which is deterministic.  Lines without a code or a name
+    (including an empty one, as ``"3 "``) are dropped.
     """
     parts = F.split(F.col(value_col), " ")
     cols = [F.get(parts, 0).alias("code"), F.get(parts, 1).alias("name")]
     if order_col:
         cols.append(F.col(order_col).alias("_ord"))
-    d = lines.select(*cols).where(F.col("code").isNotNull() & F.col("name").isNotNull())
+    d = lines.select(*cols).where((F.col("code") != "") & (F.col("name") != ""))
     if order_col:
         return d.groupBy("code").agg(F.max_by("name", "_ord").alias("name"))
     return d.groupBy("code").agg(F.max("name").alias("name"))

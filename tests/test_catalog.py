@@ -42,3 +42,26 @@ def test_overwrite_keeps_other_partitions_and_append_doubles(spark, tmpdir_str):
     append_table(df, "t_app", tmpdir_str + "/t_app")
     append_table(df, "t_app", tmpdir_str + "/t_app")
     assert spark.table("t_app").count() == 4
+
+
+def test_sql_catalogue_from_properties_file(spark, tmpdir_str):
+    from chargepulse.sources.catalog import load_sql_catalogue
+
+    path = tmpdir_str + "/shop.properties"
+    with open(path, "w") as f:
+        f.write("q_views=select bdp_day, \\\n count(1) view_count \\\n from mid_actlog_view_goods "
+                "\\\n group by bdp_day\n")
+    cat = load_sql_catalogue(spark, path)
+    fact = fx.browse_fact(spark, SF_SMALL)
+    got = run_named(spark, "q_views", catalogue=cat, views={"mid_actlog_view_goods": fact})
+    assert sum(r.view_count for r in got.collect()) == fact.count()
+
+
+def test_code_dim_file_last_duplicate_wins(spark, tmpdir_str):
+    from chargepulse.sources.dims import read_code_dim
+
+    path = tmpdir_str + "/city.txt"
+    with open(path, "w") as f:
+        f.write("1 Beijing\n2 Shanghai\n1 Tianjin\nbadline\n3 \n")
+    got = {r.code: r.name for r in read_code_dim(spark, path).collect()}
+    assert got == {"1": "Tianjin", "2": "Shanghai"}
