@@ -8,7 +8,6 @@ session so every later call agrees on it.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,7 +85,3 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         segs.append(uuid.uuid4().hex[:12])
     return "/".join(s.strip("/") if i else s for i, s in enumerate(segs))
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.exists(path)

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from chargepulse.functions import (compact_ts_millis, duration_ms, ip_to_long,
                                    java_split_tokens, long_to_ip, pct_one_decimal,

@@ -1,12 +1,8 @@
 """Streaming = batch, replay safety and the ledger (sf 0.001)."""
 
-import datetime as dt
-
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from chargepulse.operators import metrics as M
-from chargepulse.operators.parse import orders_base, payments_base
 from chargepulse.plans import fixtures as fx
 from chargepulse.plans.registry import queries
 from chargepulse.session import scratch_path
