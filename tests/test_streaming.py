@@ -154,3 +154,15 @@ def test_stream_quarantines_bad_records(spark):
     assert sorted(map(tuple, job.result("monthly_phone_sum").collect())) == [
         ("2024-03", "1", 30), ("2024-04", "1", 5)]
     assert job.quarantined().count() == 2
+
+
+def test_starting_offsets_many_partitions_and_topics(spark):
+    from chargepulse.streaming.sinks import ledger_from_legacy
+
+    legacy = spark.createDataFrame(
+        [("top-up-events-10", 7), ("top-up-events-2", 5), ("orders-0", 1), ("orders-1", 3)],
+        "tp_key string, until_offset long")
+    got = starting_offsets(spark, ledger_from_legacy(legacy))
+    import json
+    assert json.loads(got) == {"top-up-events": {"2": 5, "10": 7}, "orders": {"0": 1, "1": 3}}
+    assert '"2":5,"10":7' in got
