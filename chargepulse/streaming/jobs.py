@@ -132,8 +132,13 @@ class IndicatorJob:
 
     # ----------------------------------------------------------------- read
     def result(self, name: str, now: dt.datetime | None = None) -> DataFrame:
+        """Published rows of one indicator.  For an expiring state, groups
+        whose last write is older than the TTL at ``now`` (default: the job's
+        clock at the latest batch) are hidden even if no batch has run since."""
         spec = next(s for s in self.metrics if s.name == name)
         st = self.states[spec.store]
+        if now is None and st.ttl is not None:
+            now = self.clock(self.batches_seen[-1] if self.batches_seen else 0)
         sums = st.read(now=now)
         if sums is None:
             sums = st.read_or_empty()
