@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_fold, simhash
+from . import bpe_fold, decontaminate, simhash, url_rules
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,42 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                      table(spark, sf_dir, "benchmark", "item_id", "text"))
+    names = F.array_sort(F.col("items").cast("array<string>"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
+URL_RULES = (url_rules.Rule("block", "net"), url_rules.Rule("allow", "example.net", "/en/"),
+             url_rules.Rule("block", "example.com", "/de/"), url_rules.Rule("allow", "org", "/fr/"))
+
+
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+
+
+OP4_SQL = r"""
+WITH a AS (
+  SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END, '') AS rest
+  FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+r AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule FROM p)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe_fold.bpe(table(spark, sf_dir, "documents", "doc_id", "text"),
                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -32,8 +68,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_simhash, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_simhash, op3_decontaminate, op4_url_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_url_rules": OP4_SQL}
