@@ -12,12 +12,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_fold, decontaminate, simhash, url_rules
+from . import bpe_fold, decontaminate, simhash, token_count, topk, url_rules
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vecs = (table(spark, sf_dir, "embeddings", "vec_id", "embedding").where(topk.usable(F.col("embedding")))
+            .select("vec_id", topk.quantised(F.col("embedding")).alias("vec")))
+    return topk.top_k(vecs, vecs.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS vec
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(CAST(q.vec AS DOUBLE[]), CAST(c.vec AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -58,6 +79,11 @@ SELECT page_id, host, path, rule,
 """
 
 
+def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                    public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe_fold.bpe(table(spark, sf_dir, "documents", "doc_id", "text"),
                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -68,8 +94,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_simhash, op3_decontaminate, op4_url_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_topk, op2_simhash, op3_decontaminate, op4_url_rules, op6_token_count, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_rules": OP4_SQL}
+    return {"op1_topk": OP1_SQL, "op4_url_rules": OP4_SQL}
