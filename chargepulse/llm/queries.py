@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_fold, decontaminate, simhash, token_count, topk, url_rules
+from . import bpe_fold, decontaminate, quality, secrets_scan, simhash, token_count, topk, url_rules
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,22 @@ def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                 table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = secrets_scan.BASE + secrets_scan.FURTHER
+    out = secrets_scan.find_secrets(table(spark, sf_dir, "documents", "doc_id", "text"), rules)
+    base = F.filter("spans", lambda x: x["kind"] < len(secrets_scan.BASE))
+
+    def count(k: int) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{rules[k].kind}")
+    return out.select("doc_id", *[count(k) for k in range(len(secrets_scan.BASE))], F.sha2(secrets_scan.span_text(base, rules), 256).alias("base_sha256"),
+                      secrets_scan.span_text(F.col("spans"), rules).alias("spans"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe_fold.bpe(table(spark, sf_dir, "documents", "doc_id", "text"),
                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -94,7 +110,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_topk, op2_simhash, op3_decontaminate, op4_url_rules, op6_token_count, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_topk, op2_simhash, op3_decontaminate, op4_url_rules, op6_token_count, op7_quality, op9_secrets,
+                                   op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
