@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_fold, decontaminate, quality, secrets_scan, simhash, token_count, topk, url_rules
+from . import (bpe_fold, chat_format, decontaminate, quality, secrets_scan, simhash, token_count,
+               token_files, topk, url_rules)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +80,11 @@ SELECT page_id, host, path, rule,
 """
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.tokens_to_files(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                       public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"),
                                     public_tokenizers.path("piece_bpe_32k.model"))
@@ -89,6 +95,37 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    further = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                    "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(further)
+    return chat_format.format_and_read(turns)
+
+
+def _escaped(c: str) -> str:
+    c = f"replace({c}, '\\', '\\\\')"
+    for s in chat_format.CONTROL:
+        c = f"replace({c}, '{s}', '{s[0]}\\{s[1:]}')"
+    return c
+
+
+OP8_SQL = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({len(chat_format.BEGIN) + len(chat_format.END) + 2}
+                + length(replace({_escaped("role")}, chr(10), '\\' || chr(10)))
+                + length({_escaped("text")})) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = secrets_scan.BASE + secrets_scan.FURTHER
     out = secrets_scan.find_secrets(table(spark, sf_dir, "documents", "doc_id", "text"), rules)
@@ -110,9 +147,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_topk, op2_simhash, op3_decontaminate, op4_url_rules, op6_token_count, op7_quality, op9_secrets,
+    return {f.__name__: f for f in (op1_topk, op2_simhash, op3_decontaminate, op4_url_rules, op5_token_files,
+                                   op6_token_count, op7_quality, op8_chat_format, op9_secrets,
                                    op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": OP1_SQL, "op4_url_rules": OP4_SQL}
+    return {"op1_topk": OP1_SQL, "op4_url_rules": OP4_SQL, "op8_chat_format": OP8_SQL}
