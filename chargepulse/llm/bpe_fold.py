@@ -1,18 +1,19 @@
 """Byte-level BPE encoding and decoding with higher-order functions.
 
-Encoding folds ranked merges over the byte array of a word: the state is the
-array of symbol ids and the array of the ranks of adjacent pairs; a step joins
-the leftmost pair of the lowest rank and looks up the two ranks it touches.
-The rank map is a literal (a session variable, which the optimizer replaces by
-its value), keyed by pairs of ids and dealt into buckets because Spark
-searches a map from end to end.
-
-Words repeat, so the distinct words that occur most often in the whole table
-(at most ``DICTIONARY`` of them, and each of at most ``DICTIONARY_WORD``
-bytes, so its size is bounded) are folded once into a dictionary that is used
-like the rank map.  Every other word is folded where it stands; the
-dictionary changes cost, never a result.  The dictionary also holds every
-piece that is a word by itself, which is its own id.
+Encoding folds ranked merges over the byte array of a word.  A symbol is a
+number that packs its id and the rank of its pair with the next symbol; a step
+joins the leftmost pair of the lowest rank and looks up the two ranks it
+touches.  The rank map is a literal (a session variable, which the optimizer
+replaces by its value).  Spark searches a map from end to end, so the literal
+is an array addressed by two remainders of the pair of ids.
+
+Words repeat, so distinct words are folded once into a dictionary that is used
+like the rank map: of the words that fall into one of its ``SLOTS`` slots by
+hash, the one that occurs most often in the whole table (of at most
+``DICTIONARY_WORD`` bytes, so its size is bounded).  Every other word is
+folded where it stands; the dictionary changes cost, never a result.  A word
+that is a piece has that piece's id even if the merges do not lead to it; such
+pieces are found when the ranks are read (there are none in usual files).
 
 Decoding looks the ids up in the array of binary pieces and concatenates
 them, in runs of ``RUN`` and then the runs.
@@ -38,14 +39,14 @@ from .common import let, stored
 
 #: Unicode White_Space, as the inside of a Java character class.
 _SPACE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-BUCKETS = 1 << 16
-DICTIONARY = 1 << 18
+SLOTS = 1 << 19
 DICTIONARY_WORD = 32
 MAX_RANK_FILE = 64 << 20
 RUN = 256
-NO_PAIR = 2**31 - 1
-PAIR_MAP = "array<map<bigint,int>>"
-WORD_MAP = "array<map<string,array<int>>>"
+ID_BITS = 20
+NO_PAIR = (1 << 40) - 1
+NUMBERS = "array<bigint>"
+WORDS = "struct<words:array<string>,ids:array<array<int>>>"
 
 
 def java_pattern(pattern: str) -> str:
@@ -72,6 +73,35 @@ def literal(value: DataFrame, kind: str) -> Column:
     return F.expr(f"system.session.{name}")
 
 
+def _is_text(piece: bytes) -> bool:
+    try:
+        piece.decode()
+    except UnicodeDecodeError:  # part of a character: never a word
+        return False
+    return True
+
+
+def two_slots(entries: dict[int, int]) -> tuple[list[int], int, int]:
+    """A table in which the entry of each key is at one of two places, its remainders
+    by m and (behind those) by n; a row packs key and value."""
+    m = 2 * len(entries) + 257
+    while True:
+        m, n = m + 2, m + 4
+        rows: list[int | None] = [None] * (m + n)
+        for key, value in entries.items():
+            row, at = key << ID_BITS | value, key % m
+            for _ in range(500):
+                row, rows[at] = rows[at], row
+                if row is None:
+                    break
+                k = row >> ID_BITS
+                at = m + k % n if at == k % m else k % m
+            if row is not None:
+                break
+        else:
+            return [-1 if r is None else r for r in rows], m, n
+
+
 class Ranks:
     """The literals of one rank file: pairs of ids to the rank of their
     union (which is the id of the piece), byte ids, and the pieces."""
@@ -79,105 +109,115 @@ class Ranks:
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.size = max(ranks.values()) + 1
-        buckets: list[dict[int, int]] = [{} for _ in range(BUCKETS)]
+        if self.size >= 1 << ID_BITS:
+            raise ValueError(f"more than {1 << ID_BITS} pieces")
+        pairs: dict[int, int] = {}
         for piece, rank in ranks.items():
             for k in range(1, len(piece)):
                 a, b = ranks.get(piece[:k]), ranks.get(piece[k:])
                 if a is not None and b is not None:
-                    buckets[(a * self.size + b) % BUCKETS][a * self.size + b] = rank
+                    pairs[a * self.size + b] = rank
         pieces: list[bytes | None] = [None] * self.size
         for piece, rank in ranks.items():
             pieces[rank] = piece
-        self.pairs = literal(spark.createDataFrame([(buckets,)], f"v {PAIR_MAP}"), PAIR_MAP)
+        rows, self.m, self.n = two_slots(pairs)
+        self.pairs = literal(spark.createDataFrame([(rows,)], f"v {NUMBERS}"), NUMBERS)
         self.pieces = literal(spark.createDataFrame([(pieces,)], "v array<binary>"), "array<binary>")
         self.bytes = F.lit([ranks[bytes([i])] for i in range(256)])
+        odd = {piece.decode(): rank for piece, rank in ranks.items()
+               if len(piece) > 1 and not self._reached(piece, pairs) and _is_text(piece)}
+        self.odd = F.create_map(*[F.lit(x) for item in odd.items() for x in item]) if odd else None
+
+    def _reached(self, piece: bytes, pairs: dict[int, int]) -> bool:
+        """Whether the merges of the piece's own bytes end in the piece."""
+        ids = [self.ranks[piece[k:k + 1]] for k in range(len(piece))]
+        while len(ids) > 1:
+            low, at = min((pairs.get(a * self.size + b, NO_PAIR), k)
+                          for k, (a, b) in enumerate(zip(ids, ids[1:], strict=False)))
+            if low == NO_PAIR:
+                return False
+            ids[at:at + 2] = [low]
+        return True
 
     def of(self, a: Column, b: Column) -> Column:
         """Rank of the pair of ids ``a``, ``b``."""
-        key = a.cast("bigint") * self.size + b
-        slot = F.pmod(key, F.lit(BUCKETS)).cast("int")
-        return F.coalesce(F.try_element_at(F.get(self.pairs, slot), key), F.lit(NO_PAIR))
+        key = a * self.size + b
 
+        def at(slot: Column) -> Column:
+            return let(F.get(self.pairs, slot.cast("int")), lambda row: F.when(
+                F.shiftright(row, ID_BITS) == key, row.bitwiseAND(F.lit((1 << ID_BITS) - 1))))
+        return F.coalesce(at(key % self.m), at(key % self.n + self.m), F.lit(NO_PAIR))
 
-def _slot(word: Column) -> Column:
-    return F.pmod(F.hash(word), F.lit(BUCKETS)).cast("int")
+
+def _id(symbol: Column) -> Column:
+    return symbol.bitwiseAND(F.lit((1 << ID_BITS) - 1))
+
+
+def _symbol(own: Column, rank: Column) -> Column:
+    return F.shiftleft(rank, ID_BITS).bitwiseOR(own)
 
 
 def fold_word(word: Column, ranks: Ranks) -> Column:
     """Ids of one non-empty word, by folding ranked merges over its bytes."""
     def start(b: Column) -> Column:
-        n = F.length(b)
-        return let(F.transform(F.sequence(F.lit(1), n), lambda i: F.get(
-            ranks.bytes, F.ascii(F.substring(b, i, F.lit(1))))), lambda ids: F.struct(
-                ids.alias("ids"),
-                F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: ranks.of(
-                    F.get(ids, i - 1), F.get(ids, i))))
-                .otherwise(F.array().cast("array<int>")).alias("ranks")))
+        ids = F.transform(F.sequence(F.lit(1), F.length(b)), lambda i: F.get(
+            ranks.bytes, F.ascii(F.substring(b, i, F.lit(1)))).cast("long"))
+        return let(ids, lambda x: F.transform(x, lambda a, i: _symbol(a, F.coalesce(
+            F.when(i + 1 < F.size(x), ranks.of(a, F.get(x, i + 1))), F.lit(NO_PAIR)))))
 
     def joined(s: Column, low: Column, i: Column) -> Column:
-        # the pair of symbols i and i + 1, from 0; its rank is the new id
-        return F.struct(
-            F.transform(F.filter(s["ids"], lambda x, j: j != i + 1),
-                        lambda x, j: F.when(j == i, low).otherwise(x)).alias("ids"),
-            F.transform(F.filter(s["ranks"], lambda x, j: j != i), lambda x, j:
-                        F.when(j == i - 1, ranks.of(F.get(s["ids"], i - 1), low))
-                        .when(j == i, ranks.of(low, F.get(s["ids"], i + 2)))
-                        .otherwise(x)).alias("ranks"))
+        # symbols i and i + 1, from 0, become one; its id is the rank of the pair
+        after = F.get(s, i + 2)
+        return F.transform(F.filter(s, lambda x, j: j != i + 1), lambda x, j: F.when(
+            j == i - 1, _symbol(_id(x), ranks.of(_id(x), low))).when(
+            j == i, _symbol(low, F.when(after.isNotNull(), ranks.of(low, _id(after))).otherwise(F.lit(NO_PAIR))))
+            .otherwise(x))
 
     def step(s: Column, _i: Column) -> Column:
-        low = F.array_min(s["ranks"])
-        at = (F.array_position(s["ranks"], low) - 1).cast("int")
-        return F.when(low < NO_PAIR, let(F.struct(low.alias("low"), at.alias("at")),
+        low = F.shiftright(F.array_min(s), ID_BITS)
+        at = F.array_position(F.transform(s, lambda x: F.shiftright(x, ID_BITS)), low) - 1
+        return F.when(low < NO_PAIR, let(F.struct(low.alias("low"), at.cast("int").alias("at")),
                                          lambda p: joined(s, p["low"], p["at"]))).otherwise(s)
 
     # one character for each byte, so that substring and ascii see bytes
-    return let(F.decode(word.cast("binary"), "ISO-8859-1"), lambda b: F.aggregate(
-        F.sequence(F.lit(1), F.length(b)), start(b), step, lambda s: s["ids"]))
+    folded = let(F.decode(word.cast("binary"), "ISO-8859-1"), lambda b: F.aggregate(
+        F.sequence(F.lit(1), F.length(b)), start(b), step,
+        lambda s: F.transform(s, lambda x: _id(x).cast("int"))))
+    if ranks.odd is None:
+        return folded
+    own = F.try_element_at(ranks.odd, word)
+    return F.when(own.isNotNull(), F.array(own)).otherwise(folded)
 
 
 def _words(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
 
 
-def dictionary(docs: DataFrame, ranks: Ranks, pattern: str, text_col: str = "text",
-               size: int = DICTIONARY) -> Column:
-    """Ids of the most frequent distinct words, as a literal bucketed map.
+def _slot(word: Column) -> Column:
+    return F.pmod(F.hash(word), F.lit(SLOTS)).cast("int")
+
 
-    Words are counted over all documents; the least count is the smallest
-    power of two that at most ``size`` words reach."""
+def dictionary(docs: DataFrame, ranks: Ranks, pattern: str, text_col: str = "text") -> Column:
+    """Words and their ids by slot, as a literal.  Words are counted over all documents."""
     spark = docs.sparkSession
-    counts = stored(docs.select(F.explode(_words(F.col(text_col), pattern)).alias("word"))
-                    .where(F.octet_length("word") <= DICTIONARY_WORD)
-                    .groupBy("word").count().where(F.col("count") > 1), "bpe-counts")
-    by_size = counts.groupBy(F.floor(F.log2("count")).cast("int").alias("e")).count().collect()
-    least, total = 63, 0
-    for e, n in sorted(by_size, reverse=True):
-        if total + n > size:
-            break
-        least, total = e, total + n
-    own = []
-    for piece, rank in ranks.ranks.items():
-        try:
-            own.append((piece.decode(), [rank]))
-        except UnicodeDecodeError:  # part of a character: never a word
-            continue
-    pieces = spark.createDataFrame(own, "word string, ids array<int>")
-    frequent = (counts.where(F.floor(F.log2("count")) >= least).join(pieces, "word", "left_anti")
-                .select("word", fold_word(F.col("word"), ranks).alias("ids")))
-    kept = stored(frequent.unionByName(pieces).groupBy(_slot(F.col("word")).alias("slot")).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "ids"))).alias("m")), "bpe-dictionary")
-    slots = (spark.range(BUCKETS).select(F.col("id").cast("int").alias("slot"))
-             .join(kept, "slot", "left")
-             .select(F.struct("slot", F.coalesce("m", F.create_map().cast("map<string,array<int>>"))
-                              .alias("m")).alias("x")))
-    return literal(slots.agg(F.transform(
-        F.array_sort(F.collect_list("x"), lambda a, b: a["slot"] - b["slot"]), lambda x: x["m"]).alias("v")), WORD_MAP)
+    counts = (docs.select(F.explode(_words(F.col(text_col), pattern)).alias("word"))
+              .where(F.octet_length("word") <= DICTIONARY_WORD)
+              .groupBy("word").count().where(F.col("count") > 1))
+    counts = stored(counts.groupBy(_slot(F.col("word")).alias("slot"))
+                    .agg(F.max_by("word", F.struct("count", "word")).alias("word")), "bpe-counts")
+    kept = stored(counts.select("slot", "word", fold_word(F.col("word"), ranks).alias("ids")), "bpe-dictionary")
+    slots = (spark.range(SLOTS).select(F.col("id").cast("int").alias("slot")).join(kept, "slot", "left")
+             .select(F.struct("slot", "word", "ids").alias("x")))
+    rows = slots.agg(F.array_sort(F.collect_list("x")).alias("x"))
+    return literal(rows.select(F.struct(F.col("x.word").alias("words"), F.col("x.ids").alias("ids")).alias("v")), WORDS)
 
 
 def encode(text: Column, ranks: Ranks, words: Column, pattern: str) -> Column:
     """Ids of a text: its words' ids one after the other."""
-    return F.flatten(F.transform(_words(text, pattern), lambda w: F.coalesce(
-        F.try_element_at(F.get(words, _slot(w)), w), fold_word(w, ranks))))
+    def one(w: Column) -> Column:
+        return F.coalesce(let(_slot(w), lambda at: F.when(F.get(words["words"], at) == w, F.get(words["ids"], at))),
+                          fold_word(w, ranks))
+    return F.flatten(F.transform(_words(text, pattern), one))
 
 
 def decode(ids: Column, pieces: Column) -> Column:
