@@ -19,16 +19,21 @@ the order read).  Null text counts as empty: only the end id.  An empty table
 gives no document.  Texts are encoded whole.  Only the id and text columns
 are read.
 
-The tokenizer splits at white space and drops it, so the words between spaces
-and line feeds are encoded once each by the library and kept in a table of
-at most ``CACHE`` words a worker, which is emptied when full.
+The tokenizer splits at white space and drops it, and lower-cases, so the
+words between spaces and line feeds are encoded once each by the library and
+kept in a table of about ``CACHE`` words a worker, which is emptied when full.
+This holds for tokenizers of that kind only; the pipeline of the tokenizer is
+checked when it is read.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,9 +55,15 @@ CHECKSUMS = 0x80
 LAST_BYTE = "\u008f"
 CONTAINER = 8 << 20
 FILE_BYTES = 16 << 20
-CACHE = 400_000
+CACHE = 500_000
 CACHED_WORD = 48
+#: First bytes of the combining marks U+0300 to U+037F.
+_MARKS = (b"\xcc", b"\xcd")
+#: An ASCII letter, then ASCII punctuation without apostrophe up to the end.
+_PUNCTUATED = re.compile(rb"(.*[a-z])([!-&(-/:-@\[-`{-~]+)", re.S)
 MAX_TOKENIZER = 64 << 20
+#: What the tokenizer takes as tokens before merging; fixed value.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 FILES_PER_GROUP = 4096
 
 
@@ -102,40 +113,87 @@ def read_documents(data: bytes, wanted: set[int] | None = None) -> Iterator[tupl
 
 
 # ------------------------------------------------------------------- encode
+def check_tokenizer(tokenizer: str) -> None:
+    """Refuse tokenizers whose tokens could depend on more than a lower-cased word."""
+    spec = json.loads(tokenizer)
+    steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+    if steps != ["NFC", "Replace", "Lowercase"] or splits[0].get("type") != "Split" or \
+            splits[0].get("behavior") != "Removed" or not splits[0].get("invert") or \
+            splits[0]["pattern"].get("Regex") != WORD_PATTERN or spec.get("truncation") or spec.get("padding") or \
+            any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"] != t["content"].lower()
+                or set(t["content"]) & set(" \n") for t in spec.get("added_tokens", [])):
+        raise ValueError("this tokenizer does not work word by word")
+
+
 class Encoder:
     """Ids of texts as bytes, with a bounded table of words."""
 
-    def __init__(self, tokenizer: str, end_id: int):
+    def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.end = struct.pack("<I", end_id)
-        self.words: dict[str, bytes] = {}
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.words: dict[bytes, bytes] = {}
+
+    def _learn(self, words: set[bytes], known: dict[bytes, bytes]) -> None:
+        new = list(words)
+        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new],
+                                                              add_special_tokens=False), strict=True):
+            known[w] = array("I", e.ids).tobytes()
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        split, whole = [], {}
+        for k, t in enumerate(texts):
+            raw = (t or "").encode("utf-8", "replace")
+            if any(x in raw.lower() for x in self.added):
+                # strings of added tokens are found in the text as it is
+                whole[k] = array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes()
+                raw = b""
+            # the tokenizer lower-cases; without combining marks A-Z can go first
+            if not any(m in raw for m in _MARKS):
+                raw = raw.lower()
+            split.append(raw.replace(b"\n", b" ").split(b" "))
         known = self.words
         if len(known) > CACHE:
             known.clear()
-        new = list({w for s in split for w in s if w not in known})
-        extra = {}
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            (known if len(w) <= CACHED_WORD else extra)[w] = np.array(e.ids, "<u4").tobytes()
-        if extra:
-            return [b"".join([known[w] if w in known else extra[w] for w in s]) + self.end for s in split]
+        new = {w for s in split for w in set(s) if w not in known}
+        # letters and the punctuation after them are always separate tokens
+        parts = {w: (m[1], m[2]) for w in new if (m := _PUNCTUATED.fullmatch(w))}
+        self._learn({x for w in new for x in parts.get(w, (w,)) if x not in known}, known)
+        for w, (x, y) in parts.items():
+            known[w] = known[x] + known[y]
         get = known.__getitem__
-        return [b"".join(map(get, s)) + self.end for s in split]
+        out = [whole[k] if k in whole else b"".join(map(get, s)) for k, s in enumerate(split)]
+        for w in new:
+            if len(w) > CACHED_WORD:
+                known.pop(w, None)
+                for x in parts.get(w, ()):
+                    if len(x) > CACHED_WORD:
+                        known.pop(x, None)
+        return out
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(tokenizer: str) -> Encoder:
+    """The worker's encoder, kept for its later tasks."""
+    if tokenizer not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[tokenizer] = Encoder(tokenizer)
+    return _ENCODERS[tokenizer]
 
 
 def _encode(shared, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value, end_id)
+        own, end = encoder(shared.value), struct.pack("<I", end_id)
         pack = zstandard.ZstdCompressor(level=1, write_content_size=True)
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                raw = encoder.batch(part.column(1).to_pylist())
+                raw = [r + end for r in own.batch(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([pack.compress(r) for r in raw], pa.binary()),
                     pa.array([len(r) for r in raw], pa.int64()),
@@ -173,6 +231,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out_path: str, end_id: in
         tokenizer = f.read(MAX_TOKENIZER + 1)
     if len(tokenizer) > MAX_TOKENIZER:
         raise ValueError(f"tokenizer over {MAX_TOKENIZER} characters")
+    check_tokenizer(tokenizer)
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     frames = stored(rows.mapInArrow(_encode(shared, end_id), "id long, frame binary, size long, checksum long")
