@@ -64,10 +64,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-def literal(value: DataFrame, kind: str) -> Column:
-    """The single value of ``value`` as a literal."""
+def literal(value: DataFrame, kind: str, names: list[str]) -> Column:
+    """The single value of ``value`` as a literal.  The variable's name goes to ``names``,
+    to be dropped when the plans that use it have been made."""
     spark = value.sparkSession
     name = f"v_{uuid.uuid4().hex}"
+    names.append(name)
     spark.sql(f"DECLARE VARIABLE {name} {kind}")
     spark.sql(f"SET VAR {name} = (SELECT * FROM {{value}})", value=value)
     return F.expr(f"system.session.{name}")
@@ -121,8 +123,10 @@ class Ranks:
         for piece, rank in ranks.items():
             pieces[rank] = piece
         rows, self.m, self.n = two_slots(pairs)
-        self.pairs = literal(spark.createDataFrame([(rows,)], f"v {NUMBERS}"), NUMBERS)
-        self.pieces = literal(spark.createDataFrame([(pieces,)], "v array<binary>"), "array<binary>")
+        self.names: list[str] = []
+        self.pairs = literal(spark.createDataFrame([(rows,)], f"v {NUMBERS}"), NUMBERS, self.names)
+        self.pieces = literal(spark.createDataFrame([(pieces,)], "v array<binary>"),
+                              "array<binary>", self.names)
         self.bytes = F.lit([ranks[bytes([i])] for i in range(256)])
         odd = {piece.decode(): rank for piece, rank in ranks.items()
                if len(piece) > 1 and not self._reached(piece, pairs) and _is_text(piece)}
@@ -209,7 +213,7 @@ def dictionary(docs: DataFrame, ranks: Ranks, pattern: str, text_col: str = "tex
     slots = (spark.range(SLOTS).select(F.col("id").cast("int").alias("slot")).join(kept, "slot", "left")
              .select(F.struct("slot", "word", "ids").alias("x")))
     rows = slots.agg(F.array_sort(F.collect_list("x")).alias("x"))
-    return literal(rows.select(F.struct(F.col("x.word").alias("words"), F.col("x.ids").alias("ids")).alias("v")), WORDS)
+    return literal(rows.select(F.struct(F.col("x.word").alias("words"), F.col("x.ids").alias("ids")).alias("v")), WORDS, ranks.names)
 
 
 def encode(text: Column, ranks: Ranks, words: Column, pattern: str) -> Column:
@@ -236,4 +240,7 @@ def bpe(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",
     ranks = Ranks(docs.sparkSession, read_ranks(rank_path))
     words = dictionary(docs, ranks, pattern, text_col)
     out = docs.select(F.col(id_col), encode(F.col(text_col), ranks, words, pattern).alias("ids"))
-    return out.select(id_col, "ids", decode(F.col("ids"), ranks.pieces).alias("decoded"))
+    out = out.select(id_col, "ids", decode(F.col("ids"), ranks.pieces).alias("decoded"))
+    for name in ranks.names:  # the plan has the values now; the session need not keep them
+        docs.sparkSession.sql(f"DROP TEMPORARY VARIABLE {name}")
+    return out

@@ -260,16 +260,20 @@ def fold(node, filters: Mapping[str, Callable[[str], str]]):
 def fold_block(nodes: list, filters) -> list:
     """A block without constant conditions, empty text or neighbouring text."""
     out: list = []
+
+    def add(node) -> None:
+        if isinstance(node, Output) and isinstance(node.of, Const):
+            text = _text(node.of.value)
+            if out and isinstance(out[-1], Output) and isinstance(out[-1].of, Const):
+                out[-1] = Output(Const(out[-1].of.value + text))
+            elif text:
+                out.append(Output(Const(text)))
+        else:
+            out.append(node)
+
     for node in nodes:
         if isinstance(node, Output):
             node = Output(fold(node.of, filters))
-            if isinstance(node.of, Const):
-                text = _text(node.of.value)
-                if out and isinstance(out[-1], Output) and isinstance(out[-1].of, Const):
-                    out[-1] = Output(Const(out[-1].of.value + text))
-                elif text:
-                    out.append(Output(Const(text)))
-                continue
         elif isinstance(node, For):
             node = For(node.name, fold(node.of, filters), fold_block(node.body, filters))
         elif isinstance(node, Generation):
@@ -286,10 +290,11 @@ def fold_block(nodes: list, filters) -> list:
             if not cases:
                 continue
             if isinstance(cases[0][0], Const):
-                out += cases[0][1]
+                for own in cases[0][1]:
+                    add(own)
                 continue
             node = If(cases)
-        out.append(node)
+        add(node)
     return out
 
 

@@ -1,0 +1,27 @@
+import random
+
+import pytest
+
+WORDS = "the of and to in that it was for on are with as his they at be this have from".split()
+
+
+def prose(rng: random.Random, n: int) -> str:
+    return " ".join(rng.choice(WORDS) + rng.choice(["", "", "s", "ed", "ly", ".", ","]) for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def texts():
+    """Texts with every odd case: null, empty, very long, repeated, non-ASCII, a near copy."""
+    rng = random.Random(5)
+    base = prose(rng, 120)
+    odd = [None, "", " ", "\n\n", "x", "Straße  été\t日本語 🎉\r\n", "a" * 300, "!!??", "\x00\x01"]
+    long = prose(rng, 4000)
+    return [*odd, base, base, base + " end", long, *(prose(rng, rng.randint(1, 60)) for _ in range(20))]
+
+
+@pytest.fixture(scope="session")
+def docs(spark, texts):
+    """Documents with a null id, a repeated row and columns whose names clash with the operators'."""
+    rows = [(i, t, i, i, "k", 1.5) for i, t in enumerate(texts)]
+    rows += [(None, "no id", 0, 0, "k", 1.5), rows[9]]
+    return spark.createDataFrame(rows, "doc_id long, text string, fp long, row long, key string, score double")
