@@ -1,27 +1,14 @@
 """Browse-log statistics (AGG12, AGG13, JN4, PRJ9).
 
-Both run the named SQL of :data:`chargepulse.sources.catalog.BROWSE_SQL`
-over the view fact ``mid_actlog_view_goods`` and the region dimension
-``region_dim``.  DataFrame equivalents are given for callers that do not
-want temporary views; Catalyst produces the same plans.
+Statistics over the browse fact (area, device, category, user, day) and the
+region dimension.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.catalog import run_named
-
-
-def browse_stats_sql(spark: SparkSession, fact: DataFrame) -> DataFrame:
-    return run_named(spark, "shop_dm_actlog_view", views={"mid_actlog_view_goods": fact})
-
-
-def browse_region_stats_sql(spark: SparkSession, fact: DataFrame, region: DataFrame) -> DataFrame:
-    return run_named(spark, "dm_actlog_view_region",
-                     views={"mid_actlog_view_goods": fact, "region_dim": region})
-
 
 def browse_stats(fact: DataFrame) -> DataFrame:
     """Per area/os/network/category/day: non-null ``user_id`` count (not

@@ -1,13 +1,13 @@
 """Dimension lookups (JN1-JN3).
 
-* :func:`broadcast_if_small` -- broadcast a side only after checking its row
-  count against a bound; beyond it the plain join is left to the planner
-  (sort-merge / shuffle-hash, with AQE skew splitting).
 * :func:`code_name_lookup` -- code -> name with fallback to the code (JN1, FN10).
 * :func:`floor_range_join` -- IP -> the range with the greatest start <= IP
   (JN2), as an equi-join on a 16-bit IP bucket plus a range residual, so it
   plans as a hash join instead of a nested-loop join.
 * :func:`containment_join` -- IP within ``[lo, hi]`` (JN3), same technique.
+
+Whether a side is broadcast is left to the planner's byte threshold and to
+adaptive execution, which also splits skewed buckets.
 """
 
 from __future__ import annotations
@@ -16,49 +16,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_IPV4 = (1 << 32) - 1
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def broadcast_if_small(df: DataFrame,
-                       max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(df, True)`` with a broadcast hint when ``df`` has at most
-    ``max_rows`` rows, else ``(df, False)`` unhinted.
-
-    The check is one bounded action (``limit(max_rows + 1).count()``) on the
-    small side only.  Callers reusing a dimension across micro-batches should
-    check once and keep the result.
-    """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
 # --------------------------------------------------------------------------
 # JN1: code -> name with fallback
 # --------------------------------------------------------------------------
 
 def code_name_lookup(fact: DataFrame, dim: DataFrame, code_col: str,
                      out_col: str = "city", dim_code: str = "code",
-                     dim_name: str = "name",
-                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                     dim_checked: bool | None = None) -> DataFrame:
+                     dim_name: str = "name") -> DataFrame:
     """Left join ``fact`` to a code->name dimension; unmatched codes keep the
     code itself as the name (``coalesce(name, code)``).
 
     ``dim`` must be unique on ``dim_code`` (see
-    :func:`chargepulse.sources.dims.parse_code_dim`).  ``dim_checked=True``
-    skips the size check for a dimension the caller already bounded.
+    :func:`chargepulse.sources.dims.parse_code_dim`).
     """
     d = dim.select(F.col(dim_code).alias("_dim_code"), F.col(dim_name).alias("_dim_name"))
-    if dim_checked is None:
-        d, _ = broadcast_if_small(d, max_broadcast_rows)
-    elif dim_checked:
-        d = F.broadcast(d)
     joined = fact.join(d, fact[code_col] == d["_dim_code"], "left")
     return (joined.withColumn(out_col, F.coalesce(F.col("_dim_name"), F.col(code_col)))
             .drop("_dim_code", "_dim_name"))
@@ -134,11 +111,9 @@ def bucket_ranges(intervals: DataFrame, bits: int = 16) -> DataFrame:
 
 
 def _bucket_join(fact: DataFrame, ip_col: str, bucketed: DataFrame, out_col: str,
-                 bits: int, broadcast: bool) -> DataFrame:
+                 bits: int) -> DataFrame:
     b = bucketed.select("bucket", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"),
                         F.col("value").alias("_val"))
-    if broadcast:
-        b = F.broadcast(b)
     f = fact.withColumn("_ipb", F.shiftright(F.col(ip_col), bits))
     cond = (f["_ipb"] == b["bucket"]) & f[ip_col].between(b["_lo"], b["_hi"])
     return (f.join(b, cond, "left")
@@ -149,46 +124,33 @@ def _bucket_join(fact: DataFrame, ip_col: str, bucketed: DataFrame, out_col: str
 def floor_range_join(fact: DataFrame, ip_col: str, ranges: DataFrame,
                      start_col: str = "start_num", value_col: str = "province",
                      out_col: str = "province", below_first: str = "clamp",
-                     bits: int = 16,
-                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                     n_ranges: int | None = None) -> DataFrame:
+                     bits: int = 16) -> DataFrame:
     """JN2: attach to each fact row the value of the range with the greatest
     start <= ``ip_col``; the last range is open-ended.  Facts with a NULL
     address get NULL.  Output has exactly one row per fact row.
 
-    The bucketed index of ``n`` ranges has at most ``n + 2^(32-bits)`` rows
-    (the intervals are disjoint), so it is broadcast when that bound is under
-    ``max_broadcast_rows``; ``n`` is counted on the raw ranges (no shuffle)
-    unless given.  Beyond the bound both sides shuffle on the bucket and AQE
-    splits skewed buckets.
+    An equi-join on the bucket; a skewed bucket is split by AQE.
     """
-    if n_ranges is None:
-        n_ranges = ranges.limit(max_broadcast_rows + 1).count()
-    small = n_ranges + (1 << (32 - bits)) <= max_broadcast_rows
     iv = bucket_ranges(floor_ranges(ranges, start_col, value_col, below_first), bits)
-    return _bucket_join(fact, ip_col, iv, out_col, bits, small)
+    return _bucket_join(fact, ip_col, iv, out_col, bits)
 
 
 def containment_join(fact: DataFrame, ip_col: str, ranges: DataFrame,
                      lo_col: str = "start_num", hi_col: str = "end_num",
                      value_col: str = "province", out_col: str = "province",
-                     bits: int = 16,
-                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                     bits: int = 16) -> DataFrame:
     """JN3: value of the closed interval ``[lo, hi]`` containing the address,
-    NULL when none does.  Intervals must not overlap (see
-    :func:`overlapping_ranges`), otherwise a fact row could match twice.
-    The exact bucketed index size is summed on the raw intervals (one small
-    aggregate) before deciding to broadcast it."""
+    NULL when none does.  Overlapping intervals are rejected, as a fact row
+    could match twice (one job over the intervals, see
+    :func:`overlapping_ranges`)."""
+    bad = overlapping_ranges(ranges, lo_col, hi_col).limit(3).collect()
+    if bad:
+        raise ValueError(f"overlapping ranges, e.g. {bad}")
     iv = (ranges.where(F.col(lo_col).isNotNull() & F.col(hi_col).isNotNull()
                        & (F.col(lo_col) <= F.col(hi_col)))
           .select(F.col(lo_col).alias("lo"), F.col(hi_col).alias("hi"),
                   F.col(value_col).alias("value")))
-    # Exact index size; computed on the unfiltered intervals (NULL or inverted
-    # ones count 0) so no filter is pushed into the parsing expressions.
-    width = F.shiftright(F.col(hi_col), bits) - F.shiftright(F.col(lo_col), bits) + 1
-    n_rows = ranges.agg(F.sum(F.greatest(F.coalesce(width, F.lit(0)), F.lit(0)))).first()[0] or 0
-    return _bucket_join(fact, ip_col, bucket_ranges(iv, bits), out_col, bits,
-                        n_rows <= max_broadcast_rows)
+    return _bucket_join(fact, ip_col, bucket_ranges(iv, bits), out_col, bits)
 
 
 def overlapping_ranges(ranges: DataFrame, lo_col: str = "start_num",

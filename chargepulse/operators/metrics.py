@@ -96,8 +96,7 @@ MINUTE_TREND = MetricSpec(
 def _by_city(s: DataFrame, ctx: Ctx, keys: list[str], measures: list[str]) -> DataFrame:
     """Resolve ``province_code`` to a city name (fallback: the code) and
     re-aggregate, since several codes may resolve to one name."""
-    named = code_name_lookup(s, ctx["city_dim"], "province_code", "city",
-                             dim_checked=ctx.get("city_dim_checked"))
+    named = code_name_lookup(s, ctx["city_dim"], "province_code", "city")
     return named.groupBy("city", *keys).agg(*[F.sum(m).cast("bigint").alias(m) for m in measures])
 
 
@@ -173,8 +172,7 @@ ORDER_BY_CATEGORY = MetricSpec(
 
 def _order_province_delta(b: DataFrame, ctx: Ctx) -> DataFrame:
     located = floor_range_join(b, "ip_num", ctx["ip_ranges"], out_col="province",
-                               below_first=ctx.get("below_first", "clamp"),
-                               n_ranges=ctx.get("n_ranges"))
+                               below_first=ctx.get("below_first", "clamp"))
     return located.groupBy("province").agg(_sum("money", "bigint", "amount"))
 
 

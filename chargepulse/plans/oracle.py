@@ -48,23 +48,23 @@ _RANGES = """
 
 _PAYMENTS = """
   SELECT strftime(o_orderdate, '%Y-%m') AS month, strftime(o_orderdate, '%Y-%m-%d') AS day,
-         '138' || lpad(CAST(o_custkey % 100 AS VARCHAR), 8, '0') AS phone,
+         '138' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS phone,
          CAST(floor(o_totalprice) AS BIGINT) AS money
   FROM orders
 """
 
 _BROWSE = """
-  SELECT s.s_nationkey AS area_code, l.l_returnflag AS os, l.l_linestatus AS network_type,
-         l.l_partkey % 3 AS category_id,
-         CASE WHEN o.o_custkey % 7 <> 0 THEN o.o_custkey % 7 END AS user_id,
-         strftime(l.l_shipdate, '%Y') || '0101' AS bdp_day
+  SELECT CASE WHEN s.s_suppkey % 5 = 0 THEN s.s_nationkey + 100 ELSE s.s_nationkey END AS area_code, l.l_returnflag AS os, l.l_linestatus AS network_type,
+         l.l_linenumber AS category_id,
+         CASE WHEN o.o_custkey % 7 <> 0 THEN o.o_custkey END AS user_id,
+         strftime(l.l_shipdate, '%Y%m%d') AS bdp_day
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
 _REGION = """
   SELECT n_nationkey AS region_code, r_name AS region_province_desc, n_name AS region_city_desc
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 20
+  FROM nation JOIN region ON n_regionkey = r_regionkey
 """
 
 _LINES = "SELECT unnest(string_split(text, chr(10))) AS line FROM documents"
@@ -171,11 +171,20 @@ _LEDGER = """
 _PAYMENT_JSON = """
   SELECT strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS date,
          CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS money,
-         '138' || lpad(CAST(o_custkey % 100 AS VARCHAR), 8, '0') AS phoneNum
+         '138' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS phoneNum
   FROM orders
 """
 
 ORACLE.update({
+    "views_per_day": f"""
+      SELECT bdp_day, count(*) AS view_count, count(DISTINCT user_id) AS user_count
+      FROM ({_BROWSE}) GROUP BY bdp_day""",
+    "topup_quarantine_balance": """
+      WITH e AS (SELECT event_type, event_id % 50 = 0 OR event_id % 70 = 0 AS damaged FROM events)
+      SELECT 'input' AS part, count(*) AS n FROM e
+      UNION ALL SELECT 'quarantine', count(*) FROM e WHERE damaged
+      UNION ALL SELECT 'base', count(*) FROM e WHERE NOT damaged AND event_type IN ('purchase', 'error')
+      UNION ALL SELECT 'other', count(*) FROM e WHERE NOT damaged AND event_type NOT IN ('purchase', 'error')""",
     "stream_overview": ORACLE["daily_overview"],
     "upsert_failures": ORACLE["hourly_province_failures"],
     "upsert_province": ORACLE["province_success"],

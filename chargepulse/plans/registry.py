@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from ..operators import browse as B
 from ..operators import metrics as M
 from ..operators.lookup import containment_join
-from ..operators.parse import orders_base, parse_topups, payments_base
+from ..operators.parse import (orders_base, other_interfaces, parse_topup_json, parse_topups,
+                               payments_base, topup_kpi_base, topup_quarantine)
 from ..session import scratch_path
+from ..sources.catalog import run_named
 from ..sources.dims import parse_code_dim, parse_ip_ranges, read_code_dim, read_ip_ranges
 from . import fixtures as fx
 
@@ -58,14 +60,31 @@ def daily_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def browse_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG12 through the named SQL catalogue over the browse fact view."""
-    return B.browse_stats_sql(spark, fx.browse_fact(spark, sf_dir))
+    """AGG12 over the browse fact."""
+    return B.browse_stats(fx.browse_fact(spark, sf_dir))
+
+
+def views_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC8: an entry of the named SQL catalogue over the browse fact."""
+    return run_named(spark, "views_per_day", views={"views": fx.browse_fact(spark, sf_dir)})
+
+
+def topup_quarantine_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base, quarantine and other interfaces add up to the input.  Every 50th
+    record is cut short and every 70th loses its service name."""
+    records = fx.damaged_topup_json(spark, sf_dir)
+    parsed = parse_topup_json(records)
+
+    def count(df: DataFrame, part: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(part).alias("part"), "n")
+    return (count(records, "input").unionByName(count(topup_kpi_base(parsed), "base"))
+            .unionByName(count(topup_quarantine(parsed), "quarantine"))
+            .unionByName(count(other_interfaces(parsed), "other")))
 
 
 def browse_region_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN4 + AGG13 through the named SQL catalogue."""
-    return B.browse_region_stats_sql(spark, fx.browse_fact(spark, sf_dir),
-                                     fx.region_dim(spark, sf_dir))
+    """JN4 + AGG13."""
+    return B.browse_region_stats(fx.browse_fact(spark, sf_dir), fx.region_dim(spark, sf_dir))
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +123,7 @@ def queries() -> dict[str, Query]:
         q[spec.name] = _orders(spec)
     for spec in M.PAYMENT_METRICS.values():
         q[spec.name] = _payments(spec)
-    for fn in (browse_stats, browse_region_stats, word_count, ip_containment,
+    for fn in (browse_stats, browse_region_stats, views_per_day, topup_quarantine_balance, word_count, ip_containment,
                city_dim_parse, ip_range_parse):
         q[fn.__name__] = fn
     from . import stream_queries as S

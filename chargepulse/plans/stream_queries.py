@@ -26,21 +26,17 @@ from ..streaming.state import KeyedState
 from . import fixtures as fx
 
 N_BATCHES = 3
-N_FILES = 3
+ROWS_PER_FILE = 50_000
 GROUP_ID = "chargepulse"
-STREAM_TIMEOUT_S = 1800
 
 
-def _write_records(df: DataFrame, path: str, n_files: int = N_FILES) -> None:
-    # Round-robin into a few files so a file stream sees several triggers.
-    df.repartition(n_files).write.mode("overwrite").parquet(path)
+def _write_records(df: DataFrame, path: str) -> None:
+    # In the input's own partitioning; files of bounded size make the triggers.
+    df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
 
 
 def _await(q) -> None:
-    finished = q.awaitTermination(STREAM_TIMEOUT_S)
-    if not finished:
-        q.stop()
-        raise TimeoutError("stream did not finish")
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
@@ -48,7 +44,7 @@ def _await(q) -> None:
 # ------------------------------------------------------------ stream_overview
 
 def stream_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File-stream stand-in for the topic: top-up records in 4 files, one
+    """File-stream stand-in for the topic: top-up records in files, one
     file per trigger, all indicators fanned out per micro-batch, ledger
     recorded; returns the accumulated daily overview."""
     src = scratch_path(spark, "streams", "topup_src")
@@ -153,7 +149,8 @@ def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC3/SRC9 stand-in (text files replayed one per trigger), PRJ10,
     AGG14 in Spark's state store, update mode into a keyed table."""
     src = scratch_path(spark, "streams", "lines")
-    fx.text_lines(spark, sf_dir).repartition(N_FILES).write.mode("overwrite").text(src)
+    (fx.text_lines(spark, sf_dir).write.mode("overwrite")
+     .option("maxRecordsPerFile", ROWS_PER_FILE).text(src))
     job = WordCountJob(spark, scratch_path(spark, "state", "words"))
     q = job.start(text_stream(spark, src, max_files_per_trigger=1),
                   scratch_path(spark, "ckpt", "words"), trigger={"availableNow": True},
@@ -182,15 +179,17 @@ def json_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK8: browse stats inserted into a table partitioned by day, then the
     newest day overwritten again; the other days are kept."""
-    from ..operators.browse import browse_stats_sql
+    from ..operators.browse import browse_stats
 
-    stats = browse_stats_sql(spark, fx.browse_fact(spark, sf_dir))
-    name = "dm_actlog_view_" + scratch_path(spark, "x").rsplit("/", 1)[-1]
+    fact = fx.browse_fact(spark, sf_dir)
+    stats = browse_stats(fact)
+    name = "views_by_device_" + scratch_path(spark, "x").rsplit("/", 1)[-1]
     path = scratch_path(spark, "tables", name, unique=False)
     create_partitioned_table(stats, name, ["bdp_day"], path)
-    overwrite_insert(stats, name)
+    overwrite_insert(stats.repartition("bdp_day"), name)
     # Re-deliver the newest day, recomputed from the source tables (a table
     # cannot be overwritten from a scan of itself).
-    newest = stats.agg(F.max("bdp_day").alias("bdp_day"))
-    overwrite_insert(stats.join(newest, "bdp_day", "left_semi").select(*stats.columns), name)
+    newest = spark.table(name).agg(F.max("bdp_day")).first()[0]
+    if newest is not None:
+        overwrite_insert(browse_stats(fact.where(F.col("bdp_day") == newest)), name)
     return spark.table(name)

@@ -21,8 +21,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # one from_json per record (see operators.parse._one_json_parse)
-    "spark.sql.optimizer.enableJsonExpressionOptimization": "false",
     "spark.ui.enabled": "false",
     # streaming aggregation state off-heap in RocksDB (large key counts)
     "spark.sql.streaming.stateStore.providerClass":
@@ -69,6 +67,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             root = jdir.get()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="chargepulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:

@@ -11,20 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Fixed query texts of the browse-log mart (table names are ours; the
-# grouping, counting and join semantics must stay as written).
-BROWSE_SQL: dict[str, str] = {
-    "shop_dm_actlog_view": """
-        SELECT area_code, os, network_type, category_id AS category,
-               count(user_id) AS user_count, count(1) AS view_count, bdp_day
-        FROM mid_actlog_view_goods
-        GROUP BY area_code, os, network_type, category_id, bdp_day""",
-    "dm_actlog_view_region": """
-        SELECT region_province_desc AS region_province, region_city_desc AS region_city,
-               count(DISTINCT user_id) AS user_count, count(1) AS view_count, bdp_day
-        FROM mid_actlog_view_goods mavg
-        LEFT JOIN region_dim rd ON rd.region_code = mavg.area_code
-        GROUP BY region_province_desc, region_city_desc, bdp_day""",
+# Our own named queries; ``{views}`` stands for the DataFrame given under that name.
+NAMED_SQL: dict[str, str] = {
+    "views_per_day": """
+        SELECT bdp_day, count(*) AS view_count, count(DISTINCT user_id) AS user_count
+        FROM {views} GROUP BY bdp_day""",
 }
 
 
@@ -60,22 +51,16 @@ def load_sql_catalogue(spark: SparkSession, path: str) -> dict[str, str]:
     """Read a ``.properties`` catalogue of named SQL from any Spark path.
     The file is small configuration; it is read as one whole-text record."""
     rows = spark.read.text(path, wholetext=True).collect()
-    return load_properties(rows[0][0] if rows else "")
-
-
-def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
+    return {k: v for r in rows for k, v in load_properties(r[0]).items()}
 
 
 def run_named(spark: SparkSession, name: str, catalogue: dict[str, str] | None = None,
               views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run catalogue entry ``name`` (default catalogue: :data:`BROWSE_SQL`)
-    after registering ``views`` as temporary views."""
-    cat = BROWSE_SQL if catalogue is None else catalogue
-    if views:
-        register_views(spark, views)
-    return spark.sql(cat[name])
+    """Run catalogue entry ``name`` (default catalogue: :data:`NAMED_SQL`);
+    ``views`` gives the DataFrames that the text names in braces.  No view is
+    registered in the session."""
+    cat = NAMED_SQL if catalogue is None else catalogue
+    return spark.sql(cat[name], **(views or {}))
 
 
 def read_table(spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame:

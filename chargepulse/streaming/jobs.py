@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import metrics as M
-from ..operators.lookup import broadcast_if_small
 from ..operators.parse import (orders_base, orders_quarantine, parse_topup_json, parse_topups,
                                payments_base, payments_quarantine, topup_quarantine)
 from .state import KeyedState, utc_now
@@ -151,10 +150,12 @@ class IndicatorJob:
 
 def check_state_generation(spark: SparkSession, checkpoint: str,
                            states: Sequence[KeyedState], reset: bool = False) -> None:
-    """Refuse to pair a fresh checkpoint with state from an earlier one."""
+    """Refuse to pair a fresh checkpoint with state from an earlier one.  A
+    checkpoint is fresh until it has planned a batch: one that crashed inside
+    batch 0 owns the state which that batch wrote."""
     from .state import _FS
 
-    fs = _FS(spark, checkpoint.rstrip("/") + "/commits")
+    fs = _FS(spark, checkpoint.rstrip("/") + "/offsets")
     fresh = not fs.list_names()
     if not fresh:
         return
@@ -191,9 +192,8 @@ def topup_job(spark: SparkSession, state_root: str, city_dim: DataFrame,
               **kw) -> IndicatorJob:
     """Top-up notifications: the five indicators plus the counter layout
     whose day groups (``A-<day>``, ``B-<day>``) expire 48 h after their last
-    write.  The city dimension is cached for the job's lifetime and its
-    size is checked once, not per batch."""
-    dim, small = broadcast_if_small(city_dim.persist())
+    write.  The city dimension is cached for the job's lifetime."""
+    dim = city_dim.persist()
     specs = list(metrics if metrics is not None else M.TOPUP_METRICS.values())
     ttl = {}
     if counters:
@@ -202,8 +202,7 @@ def topup_job(spark: SparkSession, state_root: str, city_dim: DataFrame,
             ttl[M.COUNTERS.name] = (counter_ttl, ("key",))
     kw.setdefault("quarantine", lambda r: topup_quarantine(parse_topup_json(r)))
     return IndicatorJob(spark, state_root, parse_topups, specs,
-                        ctx={"city_dim": dim, "city_dim_checked": small},
-                        clock=clock, ttl=ttl, **kw)
+                        ctx={"city_dim": dim}, clock=clock, ttl=ttl, **kw)
 
 
 def order_job(spark: SparkSession, state_root: str, ip_ranges: DataFrame,
@@ -212,10 +211,9 @@ def order_job(spark: SparkSession, state_root: str, ip_ranges: DataFrame,
     parsed range list is small and reused by every batch, so it is kept
     cached for the job's lifetime."""
     ranges = ip_ranges.select("start_num", "province").persist()
-    n = ranges.count()
     kw.setdefault("quarantine", orders_quarantine)
     return IndicatorJob(spark, state_root, orders_base, list(M.ORDER_METRICS.values()),
-                        ctx={"ip_ranges": ranges, "n_ranges": n}, clock=clock, **kw)
+                        ctx={"ip_ranges": ranges}, clock=clock, **kw)
 
 
 def payment_job(spark: SparkSession, state_root: str, clock: Clock = utc_now,

@@ -26,7 +26,8 @@ def append_table(df: DataFrame, table: str, path: str | None = None) -> None:
     external Parquet table at ``path`` when given)."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        df.write.insertInto(table, overwrite=False)
+        # columns go by name, as a relational append matches them
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=False)
         return
     w = df.write.mode("append").format("parquet")
     if path:
@@ -98,12 +99,15 @@ def ledger_from_legacy(df: DataFrame, key_col: str = "tp_key",
                      F.col(offset_col).cast("bigint").alias("until_offset"))
 
 
-def starting_offsets(spark: SparkSession, ledger: DataFrame) -> str:
+def starting_offsets(spark: SparkSession, ledger: DataFrame, topic: str | None = None) -> str:
     """The ``startingOffsets`` option for a fresh checkpoint: per-topic maps
-    merged into one JSON object (driver side; size = partition count)."""
+    merged into one JSON object (driver side; size = partition count).  With
+    ``topic`` only that topic's, as a source that reads one topic needs."""
     import json
 
     merged: dict = {}
+    if topic is not None:
+        ledger = ledger.where(F.col("topic") == topic)
     for row in starting_offsets_by_topic(ledger).collect():
         merged.update(json.loads(row["starting_offsets"]))
     return json.dumps(merged, separators=(",", ":"))

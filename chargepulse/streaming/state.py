@@ -227,7 +227,8 @@ class KeyedState:
         # a group written at t is alive while now < t + ttl
         cutoff = F.lit(_aware(now) - self.ttl).cast("timestamp")
         if not self.ttl_keys:
-            return df.where(F.max("last_update").over(Window.partitionBy()) > cutoff)
+            return df.join(df.agg(F.max("last_update").alias("_group_update")),
+                           F.col("_group_update") > cutoff, "left_semi")
         w = Window.partitionBy(*self.ttl_keys)
         return (df.withColumn("_group_update", F.max("last_update").over(w))
                 .where(F.col("_group_update") > cutoff).drop("_group_update"))
@@ -252,6 +253,8 @@ class KeyedState:
             delta.write.mode("overwrite").parquet(self._dpath(batch_id))
             return batch_id
         prev = self.read(batch_id - 1, schema=d.schema) if batch_id > 0 else None
+        if prev is not None and self.ttl is not None:
+            prev = self._expire(prev, now)  # an expired group starts again from nothing
         u = d if prev is None else prev.select(*d.columns).unionByName(d)
         merged = u.groupBy(*self.keys).agg(*aggs) if self.keys else u.agg(*aggs)
         if self.ttl is not None:

@@ -2,7 +2,7 @@ from conftest import SF_SMALL
 
 from chargepulse.plans import fixtures as fx
 from chargepulse.plans.registry import queries
-from chargepulse.sources.catalog import BROWSE_SQL, load_properties, run_named
+from chargepulse.sources.catalog import load_properties, run_named
 from chargepulse.streaming.sinks import append_table, create_partitioned_table, overwrite_insert
 
 
@@ -11,17 +11,18 @@ def test_properties_catalogue_with_continuations():
     assert load_properties(text) == {"q1": "select a, b from t group by a", "q2": "select 1"}
 
 
-def test_named_sql_equals_dataframe_form(spark):
-    from chargepulse.operators.browse import browse_region_stats, browse_stats
+def test_named_sql_leaves_no_view(spark):
+    fact = fx.browse_fact(spark, SF_SMALL)
+    before = {t.name for t in spark.catalog.listTables()}
+    got = run_named(spark, "views_per_day", views={"views": fact})
+    assert sum(r.view_count for r in got.collect()) == fact.count()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
 
-    fact, region = fx.browse_fact(spark, SF_SMALL), fx.region_dim(spark, SF_SMALL)
-    a = run_named(spark, "shop_dm_actlog_view", views={"mid_actlog_view_goods": fact})
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, browse_stats(fact).collect()))
-    b = run_named(spark, "dm_actlog_view_region",
-                  views={"mid_actlog_view_goods": fact, "region_dim": region})
-    assert sorted(map(tuple, b.collect()), key=repr) == sorted(
-        map(tuple, browse_region_stats(fact, region).collect()), key=repr)
-    assert set(BROWSE_SQL) == {"shop_dm_actlog_view", "dm_actlog_view_region"}
+def test_append_goes_by_name(spark, tmpdir_str):
+    append_table(spark.createDataFrame([("p1", "m1")], "phone string, money string"), "t_named", tmpdir_str + "/t")
+    append_table(spark.createDataFrame([("m2", "p2")], "money string, phone string"), "t_named")
+    assert sorted(map(tuple, spark.table("t_named").select("phone", "money").collect())) == [("p1", "m1"), ("p2", "m2")]
 
 
 def test_null_user_counts_and_unmatched_regions(spark):
@@ -49,11 +50,11 @@ def test_sql_catalogue_from_properties_file(spark, tmpdir_str):
 
     path = tmpdir_str + "/shop.properties"
     with open(path, "w") as f:
-        f.write("q_views=select bdp_day, \\\n count(1) view_count \\\n from mid_actlog_view_goods "
+        f.write("q_views=select bdp_day, \\\n count(1) view_count \\\n from {views} "
                 "\\\n group by bdp_day\n")
     cat = load_sql_catalogue(spark, path)
     fact = fx.browse_fact(spark, SF_SMALL)
-    got = run_named(spark, "q_views", catalogue=cat, views={"mid_actlog_view_goods": fact})
+    got = run_named(spark, "q_views", catalogue=cat, views={"views": fact})
     assert sum(r.view_count for r in got.collect()) == fact.count()
 
 
