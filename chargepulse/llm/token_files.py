@@ -21,7 +21,8 @@ are read.
 
 The tokenizer splits at white space and drops it, and lower-cases, so the
 words between spaces and line feeds are encoded once each by the library and
-kept in a table of about ``CACHE`` words a worker, which is emptied when full.
+kept in a table of about ``CACHE`` words a worker.  Runs of Latin letters go
+straight to the library's model: they are one pre-token each.
 This holds for tokenizers of that kind only; the pipeline of the tokenizer is
 checked when it is read.
 """
@@ -34,6 +35,7 @@ import re
 import struct
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,8 +61,16 @@ CACHE = 500_000
 CACHED_WORD = 48
 #: First bytes of the combining marks U+0300 to U+037F.
 _MARKS = (b"\xcc", b"\xcd")
-#: An ASCII letter, then ASCII punctuation without apostrophe up to the end.
-_PUNCTUATED = re.compile(rb"(.*[a-z])([!-&(-/:-@\[-`{-~]+)", re.S)
+_MARK = r"!-&(-/:-@\[-`{-~"
+_LETTER = "a-z\xdf-\xf6\xf8-\xff"
+#: Runs of such letters, runs of ASCII punctuation without apostrophe and single
+#: digits are always separate tokens beside each other; from anything else on, the
+#: rest of the word is one part.
+_PARTS = re.compile(rf"[{_LETTER}]++(?=[{_MARK}0-9]|\Z)|[0-9](?=[{_LETTER}{_MARK}0-9]|\Z)"
+                    rf"|[{_MARK}]++(?=[{_LETTER}0-9]|\Z)|.+", re.S)
+_PLAIN = re.compile(rf"[{_LETTER}]+|[0-9]|[{_MARK}]+")
+#: Punctuation behind an ASCII letter up to the end of the word.
+_TRAILING = re.compile(rb"[%s](?<=[a-z].)[%s]*+(?=[ \n]|\Z)" % ((_MARK.encode(),) * 2))
 MAX_TOKENIZER = 64 << 20
 #: What the tokenizer takes as tokens before merging; fixed value.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -120,14 +130,61 @@ def check_tokenizer(tokenizer: str) -> None:
     splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
     if steps != ["NFC", "Replace", "Lowercase"] or splits[0].get("type") != "Split" or \
             splits[0].get("behavior") != "Removed" or not splits[0].get("invert") or \
-            splits[0]["pattern"].get("Regex") != WORD_PATTERN or spec.get("truncation") or spec.get("padding") or \
+            splits[0]["pattern"].get("Regex") != WORD_PATTERN or \
+            [p.get("type") for p in splits[1:]] != ["ByteLevel"] or splits[1].get("add_prefix_space") or \
+            splits[1].get("use_regex") or spec.get("truncation") or spec.get("padding") or \
             any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"] != t["content"].lower()
                 or set(t["content"]) & set(" \n") for t in spec.get("added_tokens", [])):
         raise ValueError("this tokenizer does not work word by word")
 
 
+class Words(dict):
+    """Ids (as bytes) of words (as bytes).  The table is bounded by two generations: a word
+    found in the old one moves to the new one, which becomes the old one when it is full."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.old: dict[bytes, bytes] = {}
+        # the characters that the library puts for the bytes of plain parts
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        chars = [chr(c) for c in range(256)]
+        for c in range(0xC0, 0x100):
+            chars[0xC3], chars[c - 0x40] = level.pre_tokenize_str(chr(c))[0][0]
+        self.chars = "".join(chars)
+
+    def _encode(self, part: str) -> bytes:
+        if _PLAIN.fullmatch(part):  # one pre-token: straight to the library's model
+            ids = [t.id for t in self.model.tokenize(charmap_decode(part.encode(), "strict", self.chars)[0])]
+        else:
+            ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            text = word.decode("utf-8", "replace")
+            if not text.isascii() and max(text) <= "\xff":
+                text = text.lower()
+            if not _PLAIN.fullmatch(text) and len(parts := _PARTS.findall(text)) > 1:
+                ids = b"".join([self[x.encode()] for x in parts])
+            else:
+                ids = self._encode(text)
+        if len(word) <= CACHED_WORD:
+            self[word] = ids
+        return ids
+
+    def trim(self) -> None:
+        """Bound the table."""
+        if len(self) > CACHE // 2:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
-    """Ids of texts as bytes, with a bounded table of words."""
+    """Ids of texts as bytes."""
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -135,44 +192,19 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[bytes, bytes] = {}
-
-    def _learn(self, words: set[bytes], known: dict[bytes, bytes]) -> None:
-        new = list(words)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new],
-                                                              add_special_tokens=False), strict=True):
-            known[w] = array("I", e.ids).tobytes()
-
-    def batch(self, texts: list[str | None]) -> list[bytes]:
-        split, whole = [], {}
-        for k, t in enumerate(texts):
-            raw = (t or "").encode("utf-8", "replace")
-            if any(x in raw.lower() for x in self.added):
-                # strings of added tokens are found in the text as it is
-                whole[k] = array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes()
-                raw = b""
-            # the tokenizer lower-cases; without combining marks A-Z can go first
-            if not any(m in raw for m in _MARKS):
-                raw = raw.lower()
-            split.append(raw.replace(b"\n", b" ").split(b" "))
-        known = self.words
-        if len(known) > CACHE:
-            known.clear()
-        new = {w for s in split for w in set(s) if w not in known}
-        # letters and the punctuation after them are always separate tokens
-        parts = {w: (m[1], m[2]) for w in new if (m := _PUNCTUATED.fullmatch(w))}
-        self._learn({x for w in new for x in parts.get(w, (w,)) if x not in known}, known)
-        for w, (x, y) in parts.items():
-            known[w] = known[x] + known[y]
-        get = known.__getitem__
-        out = [whole[k] if k in whole else b"".join(map(get, s)) for k, s in enumerate(split)]
-        for w in new:
-            if len(w) > CACHED_WORD:
-                known.pop(w, None)
-                for x in parts.get(w, ()):
-                    if len(x) > CACHED_WORD:
-                        known.pop(x, None)
-        return out
+        self.words = Words(self.tokenizer)
+
+    def encode(self, text: str | None) -> bytes:
+        raw = (text or "").encode("utf-8", "replace")
+        low = raw.lower()
+        if any(x in low for x in self.added):
+            # strings of added tokens are found in the text as it is
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        # the tokenizer lower-cases; without combining marks A-Z can go first
+        if not any(m in raw for m in _MARKS):
+            raw = low
+        self.words.trim()
+        return b"".join(map(self.words.__getitem__, _TRAILING.sub(rb" \g<0>", raw).replace(b"\n", b" ").split(b" ")))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -193,7 +225,7 @@ def _encode(shared, end_id: int):
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                raw = [r + end for r in own.batch(part.column(1).to_pylist())]
+                raw = [own.encode(t) + end for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([pack.compress(r) for r in raw], pa.binary()),
                     pa.array([len(r) for r in raw], pa.int64()),
