@@ -186,6 +186,8 @@ ORACLE.update({
       UNION ALL SELECT 'base', count(*) FROM e WHERE NOT damaged AND event_type IN ('purchase', 'error')
       UNION ALL SELECT 'other', count(*) FROM e WHERE NOT damaged AND event_type NOT IN ('purchase', 'error')""",
     "stream_overview": ORACLE["daily_overview"],
+    "stream_orders": ORACLE["order_by_province"],
+    "stream_payments": ORACLE["daily_payment"],
     "upsert_failures": ORACLE["hourly_province_failures"],
     "upsert_province": ORACLE["province_success"],
     "upsert_hour": ORACLE["hourly_amount"],

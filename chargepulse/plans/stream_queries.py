@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics as M
 from ..session import scratch_path
-from ..sources.dims import parse_code_dim
+from ..sources.dims import parse_code_dim, parse_ip_ranges
 from ..sources.streams import record_file_stream, text_stream
-from ..streaming.jobs import IndicatorJob, WordCountJob, topup_job
+from ..streaming.jobs import IndicatorJob, WordCountJob, order_job, payment_job, topup_job
 from ..streaming.sinks import (append_table, create_partitioned_table, ledger_from_legacy,
                                ledger_rows, overwrite_insert, starting_offsets_by_topic)
 from ..streaming.state import KeyedState
@@ -57,6 +57,31 @@ def stream_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.result("daily_overview")
 
 
+def stream_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order job over a text stream; returns the amount per province."""
+    src = scratch_path(spark, "streams", "order_src")
+    (fx.order_lines(spark, sf_dir).select("value").write.mode("overwrite")
+     .option("maxRecordsPerFile", ROWS_PER_FILE).text(src))
+    job = order_job(spark, scratch_path(spark, "state", "orders"),
+                    parse_ip_ranges(fx.ip_range_lines(spark, sf_dir)))
+    q = job.start(text_stream(spark, src, max_files_per_trigger=1),
+                  scratch_path(spark, "ckpt", "orders"), trigger={"availableNow": True})
+    _await(q)
+    return job.result("order_by_province")
+
+
+def stream_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payment job over a text stream; returns the daily total."""
+    src = scratch_path(spark, "streams", "payment_src")
+    (fx.payment_json(spark, sf_dir).select("value").write.mode("overwrite")
+     .option("maxRecordsPerFile", ROWS_PER_FILE).text(src))
+    job = payment_job(spark, scratch_path(spark, "state", "payments"))
+    q = job.start(text_stream(spark, src, max_files_per_trigger=1),
+                  scratch_path(spark, "ckpt", "payments"), trigger={"availableNow": True})
+    _await(q)
+    return job.result("daily_payment")
+
+
 # ------------------------------------------------- windows + direct replays
 
 def _day_windows(spark: SparkSession, df: DataFrame, n: int = N_BATCHES):
