@@ -202,6 +202,21 @@ def test_token_files(spark, docs, tmp_path):
     assert token_files.tokens_to_files(docs.limit(0), path, 2).count() == 0
 
 
+def test_words_are_encoded_as_in_whole_texts(monkeypatch):
+    """Letters, marks, digits and spaces of many kinds, with a table that is often full."""
+    monkeypatch.setattr(token_files, "CACHE", 200)
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        own = token_files.Encoder(f.read())
+    rng = random.Random(5)
+    chars = [*"abcABZz \n\t'.,!-_0959 ", *"\xdf\xe9\xc0\xd6\xd7\xf7\xff\xaa\xb5\u2014\u2026\u0301\u0308\u0663\u011e\u0130\u0131"
+             "\u017f\u03a3\u03c3\u03c2\u4f60\U0001f600\x85\xa0\x1c", "'s", "'ll", "don't", "<|endoftext|>"]
+    for _ in range(5000):
+        text = "".join(rng.choices(chars, k=rng.randint(0, 14)))
+        want = own.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == want, text
+        assert len(own.words) <= 200
+
+
 # ----------------------------------------------------------- 6 token counts
 def test_token_counts(docs):
     import sentencepiece
