@@ -72,7 +72,7 @@ def _rests(rows: np.ndarray, dims: int) -> np.ndarray:
 
 
 def _scan(best: _Best, q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray) -> None:
-    """Offer the candidates ``c`` (dimensions by candidates) to the queries ``q``."""
+    """Offer the candidates ``c`` (dimensions by candidates, in order of id) to the queries ``q``."""
     d = c.shape[0]
     q_rest, c_rest = _rests(q, DIMS), _rests(c, DIMS)
     for lo in range(0, q.shape[1], QUERIES_AT_ONCE):
@@ -91,14 +91,16 @@ def _scan(best: _Best, q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: n
                 stay = score + q_rest[b, k] * c_rest[b, alive] * (1 + 1e-9) + 0.5 >= best.least[k]
                 if not stay.all():
                     alive, score = alive[stay], score[stay]
+            if len(alive) > 4 * best.k:
+                # one best score per id, so that the bar is that of the k-th best id
+                own_ids = c_ids[alive]
+                first = np.flatnonzero(np.concatenate([[True], own_ids[1:] != own_ids[:-1]]))
+                alive, score = alive[first], np.maximum.reduceat(score, first)
             if len(alive) > 4 * best.k:
                 # all that tie with the k-th remain; ids decide later
-                bar = np.partition(score, len(score) - best.k)[len(score) - best.k]
-                keep = score >= bar
-                order = np.lexsort((c_ids[alive[keep]], -score[keep]))
+                keep = score >= np.partition(score, len(score) - best.k)[len(score) - best.k]
+                order = np.lexsort((c_ids[alive[keep]], -score[keep]))[:best.k]
                 alive, score = alive[keep][order], score[keep][order]
-                if len(np.unique(c_ids[alive[:4 * best.k]])) >= best.k:
-                    alive, score = alive[:4 * best.k], score[:4 * best.k]
             if len(alive):
                 best.offer(k, score, c_ids[alive])
 
@@ -116,6 +118,7 @@ def _search(shared, k: int):
                 rows = np.flatnonzero(lengths == d)
                 for lo in range(0, len(rows), CHUNK):
                     own = rows[lo:lo + CHUNK]
+                    own = own[np.argsort(ids[own], kind="stable")]
                     if d == 0:
                         c = np.zeros((1, len(own)))
                     else:

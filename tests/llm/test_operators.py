@@ -71,6 +71,20 @@ def test_topk_matches_brute_force(spark):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_topk_of_doubled_rows(spark):
+    """Every row twice in one chunk, with scores that fall slowly: the k best rows are few ids."""
+    rows = [(i, [float(200 - i), 1.0]) for i in range(1, 101) for _ in range(2)] + [(0, [1.0, 0.0])] * 2
+    df = spark.createDataFrame(rows, "vec_id long, vec array<double>").coalesce(1)
+    got = [tuple(r) for r in topk.top_k(df, df.where("vec_id = 0")).collect()]
+    assert sorted(got) == [(0, k, k, 200 - k) for k in range(1, 6)]
+    # four copies of a row of lower score beside each, and ties between ids
+    more = df.where("vec_id > 0").unionByName(spark.createDataFrame(
+        [(i, [float(199 - i // 2), 0.0]) for i in range(1, 101) for _ in range(4)], df.schema)).coalesce(1)
+    best = sorted((-max(200 - i, 199 - i // 2), i) for i in range(1, 101))[:5]
+    got = [tuple(r) for r in topk.top_k(more, df.where("vec_id = 0")).collect()]
+    assert sorted(got) == [(0, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+
+
 # ----------------------------------------------------------------- 2 simhash
 def plain_print(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
