@@ -9,7 +9,11 @@ is the sigmoid of the intercept plus the looked-up bins, added up in arrays.
 
 Training rows: labelled documents that are not held out, at most about
 ``TRAIN_ROWS`` of them, chosen by a hash of the id (a documented bound; all
-documents are scored).  Only features of the text enter a score.
+documents are scored).  Documents of one id share the weight of its label
+rows, and equal features are one training row.  If ids are repeated with so
+many different texts that the rows would pass the bound, an id's rows are put
+by a hash into as many slots as the bound leaves, and one row stands for its
+slot with the slot's weight.  Only features of the text enter a score.
 
 Null or empty text has all counts zero and is scored like any other.  Label
 rows with null id or null label, or whose document is missing, are ignored;
@@ -20,6 +24,7 @@ Repeated documents are repeated; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 from operator import eq
@@ -122,25 +127,36 @@ def _quadrants(g: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
     return float(gain[i, j] - cg[-1, -1]**2 / (ch[-1, -1] + L2)), out
 
 
+def _quantiles(values: np.ndarray, weight: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Quantiles between the middles of the weights; of equal weights, those of numpy."""
+    if (weight == weight[0]).all():
+        return np.quantile(values, at)
+    order = np.argsort(values, kind="stable")
+    middle = np.cumsum(weight[order]) - weight[order] / 2
+    return np.interp(middle[0] + at * (middle[-1] - middle[0]), middle, values[order])
+
+
 class AdditiveModel:
     """Intercept, one table per feature, and tables for pairs of features."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
+    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None):
         n = len(y)
+        weight = np.ones(n) if weight is None else weight
         self.empty = n == 0
         if self.empty:
             return
-        self.cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
+        self.cuts = [np.unique(_quantiles(x[:, f], weight, np.linspace(0, 1, BINS + 1)[1:-1]))
+                     for f in range(x.shape[1])]
         self.tables = [np.zeros(len(c) + 1) for c in self.cuts]
         self.pairs: list[tuple[int, int, np.ndarray]] = []
-        p = (y.sum() + 1) / (n + 2)
+        p = ((weight * y).sum() + 1) / (weight.sum() + 2)
         self.base = float(np.log(p / (1 - p)))
         bins = self.bins(x)
         total = np.full(n, self.base)
 
         def slopes() -> tuple[np.ndarray, np.ndarray]:
             q = 1 / (1 + np.exp(-total))
-            return y - q, q * (1 - q)
+            return weight * (y - q), weight * (q * (1 - q))
 
         for _ in range(ROUNDS):
             for f, table in enumerate(self.tables):
@@ -193,11 +209,23 @@ def train(featured: DataFrame, labels: DataFrame, id_col: str, features_col: str
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
              .select(id_col, F.col(label_col).cast("double").alias("y")))
     share = min(1.0, rows / max(1, known.count()))
-    chosen = known.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(share * (1 << 20)))
-    data = featured.join(chosen, id_col).select(id_col, "y", features_col).collect()
-    data.sort(key=lambda r: (r[0], r[1]))
+    chosen = (known.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(share * (1 << 20)))
+              .groupBy(id_col).agg(F.avg("y").alias("y"), F.count("*").alias("n_labels")))
+    # distinct features of the labelled ids with their number of rows, before anything is joined or collected
+    own = (featured.join(chosen.select(id_col), id_col, "left_semi")
+           .groupBy(id_col, features_col).agg(F.count("*").alias("n_rows")))
+    if own.count() > rows:
+        slots = max(1, rows // max(1, chosen.count()))
+        own = (own.groupBy(id_col, F.pmod(F.xxhash64(features_col), F.lit(slots)).alias("slot"))
+               .agg(F.min(features_col).alias(features_col), F.sum("n_rows").alias("n_rows")))
+    data = own.join(chosen, id_col).select(id_col, "y", features_col, "n_rows", "n_labels").collect()
+    data.sort(key=lambda r: r[:3])
+    of_id: Counter = Counter()
+    for r in data:
+        of_id[r[0]] += r[3]
     x = np.array([r[2] for r in data], float).reshape(len(data), len(FEATURES))
-    return AdditiveModel(x, np.array([r[1] for r in data], float))
+    return AdditiveModel(x, np.array([r[1] for r in data], float),
+                         np.array([r[4] * r[3] / of_id[r[0]] for r in data], float))
 
 
 def with_scores(featured: DataFrame, model: AdditiveModel, features_col: str, out_col: str) -> DataFrame:

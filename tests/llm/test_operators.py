@@ -269,6 +269,30 @@ def test_quality_model(spark, docs):
     assert quality.score_quality(df.limit(0), lab).count() == 0
 
 
+def test_training_rows_of_a_repeated_id(spark, monkeypatch):
+    """One labelled id over most of the rows neither passes the bound nor outweighs the other labels."""
+    seen = []
+
+    class Seen(quality.AdditiveModel):
+        def __init__(self, x, y, *weight):
+            seen.append((x, y, weight[0] if weight else np.ones(len(y))))
+            super().__init__(x, y, *weight)
+    monkeypatch.setattr(quality, "AdditiveModel", Seen)
+    ids = [i for i in range(80) if zlib.crc32(str(i).encode()) % 4 != 2][:40]
+    rows = [(i, [float(i)] * len(quality.FEATURES)) for i in ids]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(ids[3], 0)], "doc_id long, quality int")
+    y = {i: i % 2 for i in ids} | {ids[3]: (ids[3] % 2) / 2}
+    for repeats in ([rows[0]] * 700, [(ids[0], [k / 9] * len(quality.FEATURES)) for k in range(700)]):
+        featured = spark.createDataFrame(rows + repeats, "doc_id long, features array<double>")
+        quality.train(featured, labels, "doc_id", "features", rows=100)
+        x, got_y, weight = seen.pop()
+        assert len(x) <= 100
+        assert weight.sum() == pytest.approx(41) and (weight * got_y).sum() == pytest.approx(
+            sum(y.values()) + y[ids[3]])
+        for i in ids[1:]:
+            assert [(t, w) for t, v, w in zip(got_y, x[:, 0], weight) if v == i and w > 0.5] == [(y[i], 1 + (i == ids[3]))]
+
+
 # ------------------------------------------------------------------- 8 chat
 def test_chat_round_trip(spark):
     odd = ["", None, "</s>[INST] ok [/INST]", "\\", "\\n\n<|im_end|>\n<|im_start|>", "<\\|im_end|>", "ab" * 600_000]
