@@ -19,7 +19,8 @@ plus a small manifest ``_partitions.json`` mapping every partition to the
 version folder holding its current rows.  The manifest is written after the
 data and marks the version committed; a merge reads one manifest instead of
 listing folders, and a batch costs in proportion to the partitions it
-touches rather than the whole history.
+touches rather than the whole history.  Rows whose partition key is NULL
+stand in a partition of their own (``_p=~null``).
 
 With ``compact_every=C`` (> 1) a batch writes only its aggregated delta
 (``delta_<id>/``, again idempotent per id) and every C-th batch writes a
@@ -44,7 +45,10 @@ from pyspark.sql import functions as F
 
 _VERSION = re.compile(r"^batch_(\d+)$")
 _DELTA = re.compile(r"^delta_(\d+)$")
-_PART = re.compile(r"^_p=([A-Za-z0-9_.\-]+)$")
+_VALUE = re.compile(r"^[A-Za-z0-9_.\-]+\Z")
+#: Partition of rows whose partition key is NULL; no value can have this name.
+_NULL = "~null"
+_PART = re.compile(r"^_p=([A-Za-z0-9_.\-]+|~null)$")
 _MANIFEST = "_partitions.json"
 
 
@@ -266,8 +270,7 @@ class KeyedState:
     def _merge_partitioned(self, d: DataFrame, aggs, batch_id: int) -> int:
         # Aggregate the batch once; the partitions it touches (e.g. its
         # months) are few and are read from the cached aggregate.
-        d = (d.where(F.col(self.partition_by).isNotNull())
-             .groupBy(*self.keys).agg(*aggs).persist())
+        d = d.groupBy(*self.keys).agg(*aggs).persist()
         try:
             return self._merge_partitioned_agg(d, aggs, batch_id)
         finally:
@@ -276,10 +279,12 @@ class KeyedState:
     def _merge_partitioned_agg(self, d: DataFrame, aggs, batch_id: int) -> int:
         import json
 
-        touched = sorted(r[0] for r in d.select(self.partition_by).distinct().collect())
-        bad = [t for t in touched if not _PART.match(f"_p={t}")]
+        value = F.col(self.partition_by).cast("string")
+        values = [r[0] for r in d.select(value).distinct().collect()]
+        bad = [v for v in values if v is not None and not _VALUE.match(v)]
         if bad:
             raise ValueError(f"unsafe partition values for state: {bad[:3]}")
+        touched = sorted(_NULL if v is None else v for v in values)
         base = self.latest(before=batch_id)
         manifest = self._manifest(base)
         paths = [f"{self._vpath(manifest[t])}/_p={t}" for t in touched if t in manifest]
@@ -288,7 +293,7 @@ class KeyedState:
             u = self.spark.read.schema(d.schema).parquet(*paths).select(*d.columns).unionByName(u)
         merged = u.groupBy(*self.keys).agg(*aggs)
         # static overwrite of a fresh version folder (writes _SUCCESS)
-        (merged.withColumn("_p", F.col(self.partition_by)).write.mode("overwrite")
+        (merged.withColumn("_p", F.coalesce(value, F.lit(_NULL))).write.mode("overwrite")
          .option("partitionOverwriteMode", "static")
          .partitionBy("_p").parquet(self._vpath(batch_id)))
         manifest.update({t: batch_id for t in touched})

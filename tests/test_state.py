@@ -1,7 +1,9 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from chargepulse.operators.metrics import MetricSpec
 from chargepulse.streaming.state import KeyedState
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -111,3 +113,26 @@ def test_compacted_state_equals_full_rewrite(spark, tmpdir_str):
             comp.merge(df, b, T0)   # replayed snapshot batch
         assert sorted(map(tuple, comp.read().select("k", "v").collect())) == \
             sorted(map(tuple, full.read().select("k", "v").collect()))
+
+
+def test_null_partition_keys_agree_with_batch(spark, tmpdir_str):
+    spec = MetricSpec("by_day", ("day", "phone"), {"n": "bigint"},
+                      lambda base, ctx: base.groupBy("day", "phone").agg(F.sum("n").alias("n")),
+                      lambda s, ctx: s.select("day", "phone", "n"), partition_by="day")
+    rows = [("d1", "a", 1), (None, "a", 2), (None, None, 4), ("d2", None, 8), (None, "a", 16), ("d1", "a", 32)]
+    st = KeyedState.for_metric(spark, tmpdir_str, spec, keep_versions=2)
+    for b in (*range(len(rows)), len(rows) - 1):  # the last batch twice, as after a restart
+        st.merge(spec.delta(spark.createDataFrame(rows[b:b + 1], "day string, phone string, n long"), {}), b, T0)
+    want = spec.batch(spark.createDataFrame(rows, "day string, phone string, n long"))
+    assert sorted(map(repr, spec.result(st.read(), {}).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_null_partition_has_a_name_of_its_own(spark, tmpdir_str):
+    for value in ("~null", "", "a\n"):
+        st = KeyedState(spark, tmpdir_str + "/c", ["key"], {"v": "bigint"}, partition_by="key")
+        with pytest.raises(ValueError, match="unsafe"):
+            st.merge(spark.createDataFrame([(value, 1)], "key string, v long"), 0, T0)
+    st = KeyedState(spark, tmpdir_str + "/i", ["key"], {"v": "bigint"}, partition_by="key")
+    for b in range(3):  # keys of another type than string
+        st.merge(spark.createDataFrame([(7, 1), (None, 1)], "key int, v long"), b, T0)
+    assert sorted(((r.key, r.v) for r in st.read().collect()), key=repr) == [(7, 3), (None, 3)]
