@@ -11,7 +11,7 @@ n times the pieces that end at a position, whatever its length.
 
 The tokenizer's own normaliser and splitter (of the tokenizers library) make
 the words; both work within the runs between ASCII white space, so a worker
-keeps the ids of up to ``CACHE`` such runs.  Strings of added tokens inside a
+keeps the ids of about ``CACHE`` such runs, and of as many words.  Strings of added tokens inside a
 text become their ids, as in the library.  Decoding joins the pieces of the
 ids with spaces, which is the library's way for a tokenizer without a decoder.
 
@@ -37,13 +37,15 @@ from pyspark.sql import functions as F
 from .token_files import check_tokenizer
 
 MAX_TOKENIZER = 64 << 20
-CACHE = 200_000
-CACHED_WORD = 64
+CACHE = 400_000
+CACHED_WORD = 48
 PAIRS = 1 << 20
 #: A word's last symbol is its character moved by this much.
 LAST = 0x10000
 ROWS = 256
 NEVER = 1 << 62
+#: ASCII punctuation (no apostrophe) behind an ASCII letter at the end of a run: a word of its own.
+_TRAILING = re.compile(rb"(?<=[A-Za-z])[!-&(-/:-@\[-`{-~]+(?=[ \n]|\Z)")
 
 
 class Merges:
@@ -109,6 +111,27 @@ class Merges:
                 until_a, a = ra, self.right[a]
 
 
+class Recent(dict):
+    """Values of recent keys, in two generations: a key found in the old one moves to the
+    new one, which becomes the old one when it is full."""
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict = {}
+
+    def found(self, key):
+        """Value of a key that the new generation lacks, or None."""
+        value = self.old.get(key)
+        if value is not None:
+            self[key] = value
+        return value
+
+    def trim(self) -> None:
+        if len(self) > CACHE // 2:
+            self.old = dict(self)
+            self.clear()
+
+
 class PrefixEncoder:
     """Ids of texts, by the last token of every prefix."""
 
@@ -133,7 +156,7 @@ class PrefixEncoder:
         self.added = re.compile("|".join(re.escape(s) for s in sorted(self.merges.added, key=len, reverse=True))) \
             if self.merges.added else None
         self.fits: dict[int, bool] = {}
-        self.words: dict[bytes, bytes] = {}
+        self.runs, self.words = Recent(), Recent()
 
     def word(self, symbols: str) -> list[int]:
         """Ids of one word, given as byte symbols."""
@@ -167,19 +190,27 @@ class PrefixEncoder:
 
     def run(self, raw: bytes) -> bytes:
         """Ids (packed) of a run without ASCII white space."""
-        ids = array("I")
+        packed = self.runs.found(raw)
+        if packed is not None:
+            return packed
+        parts = []
         for symbols, _ in self.split(self.normal(raw.decode())):
-            ids.extend(self.word(symbols))
-        packed = ids.tobytes()
+            ids = self.words.get(symbols)
+            if ids is None and (ids := self.words.found(symbols)) is None:
+                ids = array("I", self.word(symbols)).tobytes()
+                if len(symbols) <= CACHED_WORD:
+                    self.words[symbols] = ids
+            parts.append(ids)
+        packed = b"".join(parts)
         if len(raw) <= CACHED_WORD:
-            if len(self.words) >= CACHE:
-                self.words.clear()
-            self.words[raw] = packed
+            self.runs[raw] = packed
         return packed
 
     def plain(self, text: str) -> bytes:
-        get, run = self.words.get, self.run
-        return b"".join([run(w) if (ids := get(w)) is None else ids for w in text.encode().split()])
+        self.runs.trim()
+        self.words.trim()
+        get, run = self.runs.get, self.run
+        return b"".join([run(w) if (ids := get(w)) is None else ids for w in _TRAILING.sub(rb" \g<0>", text.encode()).split()])
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
