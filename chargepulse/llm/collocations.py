@@ -46,9 +46,11 @@ _ENDS = re.compile(PIECE_ENDS)
 _END = b"."
 MIN_PARTS, MAX_PARTS = 1 << 10, 1 << 14
 MIN_BITS, MAP_BITS = 1 << 22, 1 << 28
-#: Words handled at once, n-grams kept before they are sent, words known to a worker.
-CHUNK, LOCAL, VOCABULARY = 1 << 20, 4 << 20, 1 << 19
+#: Words handled at once, counters kept before they are sent, words known to a worker.
+CHUNK, LOCAL, VOCABULARY = 1 << 19, 3 << 20, 1 << 18
 ROWS = 1 << 16
+#: Low bits of hashes that stay zero; n-grams of equal hashes can only add survivors.
+UNUSED = np.uint64(8)
 SUMMARY = "part int, kind int, mass long, data binary"
 COUNTED = "lang string, phrase string, words int, f long"
 
@@ -117,7 +119,7 @@ def hashed(names: list[str], lang: np.ndarray, ids: np.ndarray, vocabulary: Voca
     inside = one = ids != 0
     h = _mix(seed ^ word)
     for k in range(1, most + 1):
-        yield h, inside
+        yield h >> UNUSED << UNUSED, inside
         if k == most or len(h) < 2:
             return
         h = _mix(h[:-1] * np.uint64(3) + word[k:])
@@ -134,15 +136,16 @@ def counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Summary as bytes: sorted keys and counts, each byte of them in a plane of its own."""
-    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(len(a), 8).T).tobytes() for a in (keys, counts)]
+    """Summary as bytes: steps between sorted keys, and counts, each byte of them in a plane of its own."""
+    steps = np.diff(keys >> UNUSED, prepend=np.uint64(0))
+    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(len(a), 8).T).tobytes() for a in (steps, counts)]
     return zstandard.compress(b"".join(planes), 1)
 
 
 def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(2, 8, -1)
-    keys, counts = (np.ascontiguousarray(p.T).reshape(-1).view(t) for p, t in zip(planes, (np.uint64, np.int64), strict=True))
-    return keys, counts
+    steps, counts = (np.ascontiguousarray(p.T).reshape(-1).view(t) for p, t in zip(planes, (np.uint64, np.int64), strict=True))
+    return np.cumsum(steps, dtype=np.uint64) << UNUSED, counts
 
 
 class Summary:
@@ -179,8 +182,7 @@ class Summary:
 
 
 def _send(parts: int, most: int):
-    def out(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[tuple[np.ndarray, np.ndarray], pa.RecordBatch]:
-        keys, counts = counted(*(np.concatenate(a) for a in zip(*rows, strict=True)))
+    def out(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         bits = np.uint64(parts.bit_length() - 1)
         edges = np.searchsorted(keys >> (np.uint64(64) - bits), np.arange(parts + 1, dtype=np.uint64))
         part, kind, mass, data = [], [], [], []
@@ -201,15 +203,16 @@ def _send(parts: int, most: int):
             if not len(here):
                 continue
             rows.append(np.unique(here, return_counts=True))
+            del here
             held += len(rows[-1][0])
-            if held > 2 * LOCAL:
+            if held > LOCAL:
                 rows = [counted(*(np.concatenate(a) for a in zip(*rows, strict=True)))]
                 held = len(rows[0][0])
-                if held > LOCAL:
-                    yield out(rows)
-                    rows, held = [], 0
+                if held > LOCAL // 4 * 3:
+                    yield out(*rows.pop())
+                    held = 0
         if rows:
-            yield out(rows)
+            yield out(*counted(*(np.concatenate(a) for a in zip(*rows, strict=True))))
     return run
 
 

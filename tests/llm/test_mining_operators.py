@@ -263,7 +263,7 @@ def test_every_frequent_key_survives_a_full_summary():
 
 
 def test_summaries_are_packed_without_loss():
-    keys, counts = np.array([1, 5, 1 << 63], np.uint64), np.array([3, 1 << 40, 7])
+    keys, counts = np.array([1 << 8, 5 << 8, 1 << 63], np.uint64), np.array([3, 1 << 40, 7])
     k, c = collocations.unpack(collocations.pack(keys, counts))
     assert k.tolist() == keys.tolist() and c.tolist() == counts.tolist()
 
