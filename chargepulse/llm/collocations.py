@@ -28,6 +28,7 @@ of any name do not matter.  Texts of any length are counted whole.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +48,7 @@ _END = b"."
 MIN_PARTS, MAX_PARTS = 1 << 10, 1 << 14
 MIN_BITS, MAP_BITS = 1 << 22, 1 << 28
 #: Words handled at once, counters kept before they are sent, words known to a worker.
-CHUNK, LOCAL, VOCABULARY = 1 << 19, 3 << 20, 1 << 18
+CHUNK, LOCAL, VOCABULARY = 1 << 17, 3 << 20, 1 << 18
 ROWS = 1 << 16
 #: Low bits of hashes that stay zero; n-grams of equal hashes can only add survivors.
 UNUSED = np.uint64(8)
@@ -62,7 +63,7 @@ class Vocabulary(dict):
 
     def __init__(self):
         super().__init__({_END: 0})
-        self.words, self._hashes = [_END], [0]
+        self.words, self._hashes = [_END], array("Q", [0])
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.words)
