@@ -135,6 +135,40 @@ def floor_range_join(fact: DataFrame, ip_col: str, ranges: DataFrame,
     return _bucket_join(fact, ip_col, iv, out_col, bits)
 
 
+def floor_lookup(sums: DataFrame, ip_col: str, ranges: DataFrame, start_col: str = "start_num",
+                 value_col: str = "province", out_col: str = "province", below_first: str = "clamp") -> DataFrame:
+    """JN2 for rows that were summed by address: addresses and range starts are put in
+    order together within 16-bit blocks, and an address takes the last start before it.  A
+    block begins with the last start of the blocks before it, from a list of at most 65,536
+    blocks.  No range is repeated, and a block holds at most 65,536 addresses and as many
+    starts, however many records there were.  Same edges as :func:`floor_range_join`."""
+    if below_first not in ("clamp", "null"):
+        raise ValueError("below_first must be 'clamp' or 'null'")
+    starts = (ranges.where(F.col(start_col).isNotNull()).groupBy(F.col(start_col).cast("bigint").alias("_num"))
+              .agg(F.struct(F.min(value_col).alias("v")).alias("_start")))
+    kind = starts.schema["_start"].dataType
+    both = (sums.withColumn("_num", F.col(ip_col).cast("bigint")).withColumn("_start", F.lit(None).cast(kind))
+            .withColumn("_fact", F.lit(True))
+            .unionByName(starts.withColumn("_fact", F.lit(False)), allowMissingColumns=True)
+            .withColumn("_blk", F.shiftright("_num", 16)))
+    inside = Window.partitionBy("_blk").orderBy("_num", "_fact").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("_found", F.last("_start", ignorenulls=True).over(inside))
+    blocks = both.where(F.col("_blk").isNotNull()).groupBy("_blk").agg(
+        F.max_by("_start", F.when(F.col("_start").isNotNull(), F.col("_num"))).alias("_last"),
+        F.min_by("_start", F.when(F.col("_start").isNotNull(), F.col("_num"))).alias("_first"))
+    in_order = Window.orderBy("_blk")
+    blocks = blocks.select(
+        "_blk", F.last("_last", ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.first("_first", ignorenulls=True).over(
+            in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_first"))
+    blocks = blocks.withColumnRenamed("_blk", "_of")
+    # at most 65,536 rows
+    found = both.where("_fact").join(F.broadcast(blocks), F.col("_blk") == F.col("_of"), "left")
+    at = F.coalesce("_found", "_before", *(["_first"] if below_first == "clamp" else []))
+    return (found.withColumn(out_col, at["v"])
+            .drop("_num", "_start", "_fact", "_blk", "_found", "_of", "_before", "_first"))
+
+
 def containment_join(fact: DataFrame, ip_col: str, ranges: DataFrame,
                      lo_col: str = "start_num", hi_col: str = "end_num",
                      value_col: str = "province", out_col: str = "province",

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rates import pct_one_decimal
 from ..functions.text import java_split_tokens
-from .lookup import code_name_lookup, floor_range_join
+from .lookup import code_name_lookup, floor_lookup
 from .parse import FEE_TYPE
 
 Ctx = dict
@@ -40,15 +40,12 @@ class MetricSpec:
     result: Callable[[DataFrame, Ctx], DataFrame]
     combine: dict[str, str] = field(default_factory=dict)   # column -> "sum"|"max"
     state_name: str | None = None    # metrics with the same delta share one state
-    partition_by: str | None = None  # time-like key: a batch rewrites only its partitions
+    key_types: dict[str, str] = field(default_factory=dict)  # of keys that are no strings
 
     @property
     def store(self) -> str:
         return self.state_name or self.name
 
-    def combiner(self, col: str) -> str:
-        return self.combine.get(col, "sum")
-
     def batch(self, base: DataFrame, ctx: Ctx | None = None) -> DataFrame:
         ctx = ctx or {}
         return self.result(self.delta(base, ctx), ctx)
@@ -89,8 +86,7 @@ def _minute_delta(base: DataFrame, ctx: Ctx) -> DataFrame:
 
 MINUTE_TREND = MetricSpec(
     "minute_trend", ("day", "hour", "minute"), {"total": "bigint", "succ": "bigint"},
-    _minute_delta, lambda s, ctx: s.select("day", "hour", "minute", "total", "succ"),
-    partition_by="day")
+    _minute_delta, lambda s, ctx: s.select("day", "hour", "minute", "total", "succ"))
 
 
 def _by_city(s: DataFrame, ctx: Ctx, keys: list[str], measures: list[str]) -> DataFrame:
@@ -109,9 +105,6 @@ def _failures_result(s: DataFrame, ctx: Ctx) -> DataFrame:
     return _by_city(s, ctx, ["hour"], ["fail_count"]).select("city", "hour", "fail_count")
 
 
-# Hour-keyed states grow with elapsed time only (at most 24 x 365 x provinces
-# rows a year), so they are rewritten whole; the 60x larger minute trend and
-# the data-proportional month x phone state are partitioned.
 HOURLY_PROVINCE_FAILURES = MetricSpec(
     "hourly_province_failures", ("province_code", "hour"), {"fail_count": "bigint"},
     _failures_delta, _failures_result)
@@ -171,8 +164,9 @@ ORDER_BY_CATEGORY = MetricSpec(
 
 
 def _order_province_delta(b: DataFrame, ctx: Ctx) -> DataFrame:
-    located = floor_range_join(b, "ip_num", ctx["ip_ranges"], out_col="province",
-                               below_first=ctx.get("below_first", "clamp"))
+    # by address first: records never meet the ranges
+    sums = b.groupBy("ip_num").agg(_sum("money", "bigint"))
+    located = floor_lookup(sums, "ip_num", ctx["ip_ranges"], below_first=ctx.get("below_first", "clamp"))
     return located.groupBy("province").agg(_sum("money", "bigint", "amount"))
 
 
@@ -198,14 +192,14 @@ def _phone_delta(b: DataFrame, ctx: Ctx) -> DataFrame:
 
 MONTHLY_PHONE_SUM = MetricSpec(
     "monthly_phone_sum", ("month", "phone"), {"amount": "bigint", "orders": "bigint"},
-    _phone_delta, lambda s, ctx: s.select("month", "phone", "amount"), partition_by="month")
+    _phone_delta, lambda s, ctx: s.select("month", "phone", "amount"))
 
 MONTHLY_PHONE_AVG = MetricSpec(
     "monthly_phone_avg", ("month", "phone"), {"amount": "bigint", "orders": "bigint"},
     _phone_delta,
     lambda s, ctx: s.select("month", "phone",
                             (F.col("amount").cast("double") / F.col("orders")).alias("avg_amount")),
-    state_name="monthly_phone_sum", partition_by="month")
+    state_name="monthly_phone_sum")
 
 
 # --------------------------------------------------------------------------
@@ -230,25 +224,34 @@ WORD_COUNT = MetricSpec(
 COUNTER_VALUE = "decimal(18,2)"
 
 
+#: Writes of a counter within such a stretch of time are kept as one interval.
+COUNTER_SLOT = "hour"
+
+
 def counter_rows(base: DataFrame) -> DataFrame:
     """KPI base rows -> ``(key, field, value)`` increments in the counter
     layout: ``A-<day>`` with fields total/succ/money/cost, and ``B-<day>``
     with ``T:<hour><minute>`` (orders) and ``S:<hour><minute>`` (successes).
-    Aggregated per batch first, so a sink sees one increment per field."""
-    d = _daily_delta(base, {})
-    a = d.select(F.concat(F.lit("A-"), "day").alias("key"),
-                 *[F.col(c).cast(COUNTER_VALUE).alias(f) for c, f in
-                   (("total", "total"), ("succ", "succ"), ("money", "money"),
-                    ("cost_ms", "cost"))])
-    a = a.unpivot("key", ["total", "succ", "money", "cost"], "field", "value")
-    m = _minute_delta(base, {})
+    Aggregated per batch first, so a sink sees one increment per field.  If
+    the base rows have the time they arrived (``written``), increments are
+    those of an hour, with the first and last time in it."""
+    timed = "written" in base.columns
+    slot = [F.date_trunc(COUNTER_SLOT, "written").alias("slot")] if timed else []
+    times = [F.min("written").alias("first_update"), F.max("written").alias("last_update")] if timed else []
+    keep = ["first_update", "last_update"] if timed else []
+
+    def fields(entries: list):
+        return F.inline(F.array(*[F.struct(name.alias("field"), F.col(c).cast(COUNTER_VALUE).alias("value"))
+                                  for name, c in entries]))
+    d = base.groupBy("day", *slot).agg(
+        _sum("orders", "bigint", "total"), _sum("succ", "bigint"), _sum("fee", FEE_TYPE, "money"),
+        _sum("cost_ms", "bigint", "cost"), *times)
+    a = d.select(F.concat(F.lit("A-"), "day").alias("key"), *keep,
+                 fields([(F.lit(c), c) for c in ("total", "succ", "money", "cost")]))
+    m = base.groupBy("day", "hour", "minute", *slot).agg(_sum("orders", "bigint", "total"), _sum("succ", "bigint"), *times)
     hm = F.concat("hour", "minute")
-    b = m.select(F.concat(F.lit("B-"), "day").alias("key"),
-                 F.concat(F.lit("T:"), hm).alias("tf"), F.col("total").cast(COUNTER_VALUE).alias("tv"),
-                 F.concat(F.lit("S:"), hm).alias("sf"), F.col("succ").cast(COUNTER_VALUE).alias("sv"))
-    b = b.select("key", F.inline(F.array(
-        F.struct(F.col("tf").alias("field"), F.col("tv").alias("value")),
-        F.struct(F.col("sf").alias("field"), F.col("sv").alias("value")))))
+    b = m.select(F.concat(F.lit("B-"), "day").alias("key"), *keep,
+                 fields([(F.concat(F.lit("T:"), hm), "total"), (F.concat(F.lit("S:"), hm), "succ")]))
     return a.unionByName(b)
 
 
@@ -270,7 +273,7 @@ def _ledger_delta(records: DataFrame, ctx: Ctx) -> DataFrame:
 OFFSET_LEDGER = MetricSpec(
     "offset_ledger", ("topic", "partition"), {"until_offset": "bigint"},
     _ledger_delta, lambda s, ctx: s.select("topic", "partition", "until_offset"),
-    combine={"until_offset": "max"})
+    combine={"until_offset": "max"}, key_types={"partition": "int"})
 
 
 TOPUP_METRICS = {m.name: m for m in (DAILY_OVERVIEW, MINUTE_TREND, HOURLY_PROVINCE_FAILURES,

@@ -9,6 +9,8 @@ behaviour.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,24 +35,24 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _parsed_json(df: DataFrame, value_col, schema: str) -> DataFrame:
+def _parsed_json(df: DataFrame, value_col, schema: str, keep: Sequence[str] = ()) -> DataFrame:
     """One ``from_json`` per record, as a column of its own: fields selected
     from the column are not rewritten into a parse of their own each."""
-    return df.select(F.from_json(_c(value_col), schema).alias("_j"))
+    return df.select(F.from_json(_c(value_col), schema).alias("_j"), *keep)
 
 
 # --------------------------------------------------------------------------
 # Top-up notifications (PRJ1, FLT1, PRJ4-PRJ6, PRJ8)
 # --------------------------------------------------------------------------
 
-def parse_topup_json(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON text -> typed top-up record columns (PRJ1).
+def parse_topup_json(df: DataFrame, value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """JSON text -> typed top-up record columns (PRJ1), and the columns ``keep`` as they are.
 
     Every field is read as a string (numbers arrive fine as strings; a
     DOUBLE field would turn a quoted number into NULL) and converted with
     ``try_cast``.  Only the six used fields are parsed.
     """
-    df = _parsed_json(df, value_col, TOPUP_JSON_SCHEMA)
+    df = _parsed_json(df, value_col, TOPUP_JSON_SCHEMA, keep)
     j = F.col("_j")
     rid = j["requestId"]
     req_ms = compact_ts_millis(rid)
@@ -62,6 +64,7 @@ def parse_topup_json(df: DataFrame, value_col: str = "value") -> DataFrame:
         j["provinceCode"].alias("province_code"),
         req_ms.alias("request_ms"),
         compact_ts_millis(j["receiveNotifyTime"]).alias("receive_ms"),
+        *keep,
     )
 
 
@@ -83,7 +86,8 @@ def topup_kpi_base(parsed: DataFrame) -> DataFrame:
     Columns: ``day`` (8 digits), ``hour`` (10), ``minute`` (12) string
     buckets of the request id, ``province_code``, ``orders`` (=1), ``succ``
     (1 for result ``0000``), ``fee`` and ``cost_ms`` (only for successes,
-    else 0), plus ``event_time`` (request time) for event-time use.
+    else 0), plus ``event_time`` (request time) for event-time use, and
+    ``written`` if the parsed rows have the time they arrived (``timestamp``).
     """
     success = F.col("result_code") == SUCCESS_CODE
     rid = F.col("request_id")
@@ -101,6 +105,7 @@ def topup_kpi_base(parsed: DataFrame) -> DataFrame:
             F.when(success, F.col("receive_ms") - F.col("request_ms"))
             .otherwise(0).cast("bigint").alias("cost_ms"),
             F.timestamp_millis(F.col("request_ms")).alias("event_time"),
+            *([F.col("timestamp").alias("written")] if "timestamp" in parsed.columns else []),
         )
     )
 
@@ -122,22 +127,17 @@ def parse_topups(df: DataFrame, value_col: str = "value") -> DataFrame:
     return topup_kpi_base(parse_topup_json(df, value_col))
 
 
-def failures(base: DataFrame) -> DataFrame:
-    """FLT2: failed orders only."""
-    return base.where(F.col("succ") == 0)
-
-
 # --------------------------------------------------------------------------
 # Order lines (PRJ3)
 # --------------------------------------------------------------------------
 
-def parse_order_lines(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Space-delimited ``time ip goods_type detail money`` -> typed columns.
+def parse_order_lines(df: DataFrame, value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Space-delimited ``time ip goods_type detail money`` -> typed columns, and ``keep``.
 
     Adds ``ip_num`` (strict dotted-quad conversion, NULL when malformed) and
     ``ok`` (at least five fields and an integer amount).
     """
-    parts = df.select(F.split(_c(value_col), " ").alias("_p"))
+    parts = df.select(F.split(_c(value_col), " ").alias("_p"), *keep)
     money = F.get("_p", 4).try_cast("bigint")
     rec = parts.select(
         F.get("_p", 0).alias("time"),
@@ -145,7 +145,7 @@ def parse_order_lines(df: DataFrame, value_col: str = "value") -> DataFrame:
         F.get("_p", 2).alias("goods_type"),
         F.get("_p", 3).alias("detail"),
         money.alias("money"),
-        (money.isNotNull() & (F.size("_p") >= 5)).alias("ok"),
+        F.coalesce(money.isNotNull() & (F.size("_p") >= 5), F.lit(False)).alias("ok"), *keep,
     )
     return with_ip_num(rec, "ip", "ip_num")
 
@@ -162,10 +162,10 @@ def orders_quarantine(df: DataFrame, value_col: str = "value") -> DataFrame:
 # Payments (PRJ2)
 # --------------------------------------------------------------------------
 
-def parse_payment_json(df: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_payment_json(df: DataFrame, value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """JSON ``{date, phoneNum, money}`` -> month (7 chars), day (10 chars),
     phone, money BIGINT, and ``ok``."""
-    df = _parsed_json(df, value_col, PAYMENT_JSON_SCHEMA)
+    df = _parsed_json(df, value_col, PAYMENT_JSON_SCHEMA, keep)
     j = F.col("_j")
     d = j["date"]
     money = F.trim(j["money"]).try_cast("bigint")
@@ -176,7 +176,7 @@ def parse_payment_json(df: DataFrame, value_col: str = "value") -> DataFrame:
         money.alias("money"),
         F.coalesce(money.isNotNull() & d.rlike(r"^\d{4}-\d{2}-\d{2}")
                    & F.try_to_date(prefix(d, 10), "yyyy-MM-dd").isNotNull()
-                   & j["phoneNum"].isNotNull(), F.lit(False)).alias("ok"),
+                   & j["phoneNum"].isNotNull(), F.lit(False)).alias("ok"), *keep,
     )
 
 

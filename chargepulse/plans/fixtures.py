@@ -67,6 +67,16 @@ def topup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("ts"))
 
 
+def late_topup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 as topic records with a time of arrival: a third of the records each comes at once,
+    45 and 90 hours late, or, on even days of the month, at once, 20 and 100 hours late."""
+    e = table(spark, sf_dir, "events")
+    even, third = F.dayofmonth("ts") % 2 == 0, F.col("event_id") % 3
+    hours = F.when(third == 0, 0).when(third == 1, F.when(even, 20).otherwise(45)).otherwise(F.when(even, 100).otherwise(90))
+    at = F.timestamp_millis(F.unix_millis(F.col("ts").cast("timestamp")) + hours * 3_600_000)
+    return e.select(*_positions("topup"), _topup_value(), at.alias("timestamp"))
+
+
 # F2 -- city code file lines "code name"
 def city_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")

@@ -153,13 +153,21 @@ _COUNTERS = f"""
   UNION ALL SELECT 'B-' || day, 'S:' || hour || minute, CAST(succ AS DOUBLE), day FROM m
 """
 
-# Three windows of whole days over all events; the last one survives a 48 h
-# expiry when each batch's clock is its window's end.
-_LAST_WINDOW_DAYS = """
-  WITH b AS (SELECT CAST(min(ts) AS DATE) AS d0, CAST(max(ts) AS DATE) AS d1 FROM events),
-  s AS (SELECT d0, CAST(ceil((d1 - d0 + 1) / 3.0) AS BIGINT) AS span FROM b)
-  SELECT DISTINCT strftime(CAST(e.ts AS DATE), '%Y%m%d') AS day
-  FROM events e, s WHERE (CAST(e.ts AS DATE) - s.d0) // s.span = 2
+# Counters of the last life of each day's hash: records arrive late, 48 hours without
+# one end a life, and a hash is gone 48 hours after the last one (clock: latest arrival).
+_ARRIVAL = """ts + to_hours(CASE event_id % 3 WHEN 0 THEN 0
+    WHEN 1 THEN CASE WHEN date_part('day', ts) % 2 = 0 THEN 20 ELSE 45 END ELSE CASE WHEN date_part('day', ts) % 2 = 0 THEN 100 ELSE 90 END END)"""
+_LATE = f"""
+  SELECT t.*, {_ARRIVAL} AS arrived
+  FROM ({_TOPUP.replace("SELECT strftime", "SELECT event_id, ts, strftime", 1)}) t
+"""
+_ALIVE = f"""
+  WITH w AS (SELECT *, lag(arrived) OVER (PARTITION BY day ORDER BY arrived) AS prev FROM ({_LATE})),
+  life AS (SELECT day, max(CASE WHEN prev IS NULL OR arrived - prev >= INTERVAL 48 HOURS THEN arrived END) AS birth,
+                  max(arrived) AS last FROM w GROUP BY day),
+  clock AS (SELECT max({_ARRIVAL}) AS now FROM events)
+  SELECT w.* FROM w JOIN life ON w.day = life.day AND w.arrived >= life.birth, clock
+  WHERE life.last + INTERVAL 48 HOURS > clock.now
 """
 
 _LEDGER = """
@@ -194,8 +202,7 @@ ORACLE.update({
     "word_count_stream": ORACLE["word_count"],
     "catalog_overwrite": ORACLE["browse_stats"],
     "counter_merge": f"SELECT key, field, value FROM ({_COUNTERS})",
-    "counter_ttl": f"""
-      SELECT key, field, value FROM ({_COUNTERS}) WHERE day IN ({_LAST_WINDOW_DAYS})""",
+    "counter_ttl": f"SELECT key, field, value FROM ({_COUNTERS.replace(_TOPUP, _ALIVE)})",
     "offset_ledger": f"SELECT 'chargepulse' AS group_id, * FROM ({_LEDGER})",
     "offset_restore": f"""
       SELECT topic, '{{"' || topic || '":{{'

@@ -1,16 +1,13 @@
-"""Registered queries that exercise the streaming and state machinery.
+"""Registered queries of the streaming part.
 
-Inputs are derived from the test tables and written as record files under
-the session's checkpoint folder; streams read them back with
-``maxFilesPerTrigger`` so several micro-batches run.  Where a replay must be
-shown, the ``foreachBatch`` handler is called directly per time window, the
-last window twice with the same batch id, as a restart would re-deliver it.
+Records are derived from the test tables and written as files under the session's
+checkpoint folder, in place of a topic; a stream reads them with triggers bounded in
+bytes, so the number of micro-batches follows the data and the trigger, not the table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,169 +16,122 @@ from ..operators import metrics as M
 from ..session import scratch_path
 from ..sources.dims import parse_code_dim, parse_ip_ranges
 from ..sources.streams import record_file_stream, text_stream
-from ..streaming.jobs import IndicatorJob, WordCountJob, order_job, payment_job, topup_job
+from ..streaming.jobs import IndicatorJob, WordCountJob, offset_tracking_job, order_job, payment_job, topup_job
 from ..streaming.sinks import (append_table, create_partitioned_table, ledger_from_legacy,
                                ledger_rows, overwrite_insert, starting_offsets_by_topic)
-from ..streaming.state import KeyedState
 from . import fixtures as fx
 
-N_BATCHES = 3
+#: Files that make up a trigger, and the size at which the stand-in files are cut.
+TRIGGER_BYTES = 64 << 20
 ROWS_PER_FILE = 50_000
 GROUP_ID = "chargepulse"
 
 
-def _write_records(df: DataFrame, path: str) -> None:
-    # In the input's own partitioning; files of bounded size make the triggers.
-    df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
-
-
 def _await(q) -> None:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
 
-# ------------------------------------------------------------ stream_overview
+def _run_records(spark: SparkSession, job: IndicatorJob, records: DataFrame, name: str) -> IndicatorJob:
+    """Write topic records as files and let the job read all of them."""
+    src = scratch_path(spark, "streams", name)
+    records.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(src)
+    stream = record_file_stream(spark, src, max_bytes_per_trigger=TRIGGER_BYTES)
+    _await(job.start(stream, scratch_path(spark, "ckpt", name), trigger={"availableNow": True}))
+    return job
+
+
+def _run_lines(spark: SparkSession, job, lines: DataFrame, name: str):
+    """Write text lines as files and let the job read all of them."""
+    src = scratch_path(spark, "streams", name)
+    lines.write.option("maxRecordsPerFile", ROWS_PER_FILE).text(src)
+    stream = text_stream(spark, src, max_bytes_per_trigger=TRIGGER_BYTES)
+    _await(job.start(stream, scratch_path(spark, "ckpt", name), trigger={"availableNow": True}))
+    return job
+
+
+def _topups(spark: SparkSession, sf_dir: str, metrics, name: str, records=fx.topup_records, **kw) -> IndicatorJob:
+    job = topup_job(spark, scratch_path(spark, "state", name), parse_code_dim(fx.city_lines(spark, sf_dir)),
+                    metrics=metrics, **kw)
+    return _run_records(spark, job, records(spark, sf_dir), name)
+
+
+# --------------------------------------------------------- indicators, whole jobs
 
 def stream_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File-stream stand-in for the topic: top-up records in files, one
-    file per trigger, all indicators fanned out per micro-batch, ledger
-    recorded; returns the accumulated daily overview."""
-    src = scratch_path(spark, "streams", "topup_src")
-    _write_records(fx.topup_records(spark, sf_dir), src)
-    job = topup_job(spark, scratch_path(spark, "state", "topup"),
-                    parse_code_dim(fx.city_lines(spark, sf_dir)), counters=False)
-    q = job.start(record_file_stream(spark, src), scratch_path(spark, "ckpt", "topup"),
-                  trigger={"availableNow": True})
-    _await(q)
-    return job.result("daily_overview")
+    """The top-up job: all indicators fanned out per micro-batch, offsets committed;
+    returns the accumulated daily overview."""
+    return _topups(spark, sf_dir, None, "overview", counters=False).result("daily_overview")
 
 
 def stream_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order job over a text stream; returns the amount per province."""
-    src = scratch_path(spark, "streams", "order_src")
-    (fx.order_lines(spark, sf_dir).select("value").write.mode("overwrite")
-     .option("maxRecordsPerFile", ROWS_PER_FILE).text(src))
-    job = order_job(spark, scratch_path(spark, "state", "orders"),
-                    parse_ip_ranges(fx.ip_range_lines(spark, sf_dir)))
-    q = job.start(text_stream(spark, src, max_files_per_trigger=1),
-                  scratch_path(spark, "ckpt", "orders"), trigger={"availableNow": True})
-    _await(q)
-    return job.result("order_by_province")
+    job = order_job(spark, scratch_path(spark, "state", "orders"), parse_ip_ranges(fx.ip_range_lines(spark, sf_dir)))
+    return _run_lines(spark, job, fx.order_lines(spark, sf_dir).select("value"), "orders").result("order_by_province")
 
 
 def stream_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The payment job over a text stream; returns the daily total."""
-    src = scratch_path(spark, "streams", "payment_src")
-    (fx.payment_json(spark, sf_dir).select("value").write.mode("overwrite")
-     .option("maxRecordsPerFile", ROWS_PER_FILE).text(src))
     job = payment_job(spark, scratch_path(spark, "state", "payments"))
-    q = job.start(text_stream(spark, src, max_files_per_trigger=1),
-                  scratch_path(spark, "ckpt", "payments"), trigger={"availableNow": True})
-    _await(q)
-    return job.result("daily_payment")
-
-
-# ------------------------------------------------- windows + direct replays
-
-def _day_windows(spark: SparkSession, df: DataFrame, n: int = N_BATCHES):
-    """Split by calendar day into ``n`` consecutive windows of whole days.
-    Returns (window column, [window end datetimes]).  One small aggregate."""
-    r = df.agg(F.min(F.to_date("ts")).alias("d0"), F.max(F.to_date("ts")).alias("d1")).first()
-    d0, d1 = r["d0"], r["d1"]
-    span = max(1, math.ceil(((d1 - d0).days + 1) / n))
-    win = F.floor(F.datediff(F.to_date("ts"), F.lit(d0)) / span).cast("int")
-    start = dt.datetime(d0.year, d0.month, d0.day, tzinfo=dt.timezone.utc)
-    ends = [start + dt.timedelta(days=span * (i + 1)) for i in range(n)]
-    return win, ends
-
-
-def _replay_topups(spark: SparkSession, sf_dir: str, metrics, counters: bool,
-                   counter_ttl) -> IndicatorJob:
-    rec = fx.topup_records(spark, sf_dir)
-    win, ends = _day_windows(spark, rec)
-    job = topup_job(spark, scratch_path(spark, "state", "topup_replay"),
-                    parse_code_dim(fx.city_lines(spark, sf_dir)), metrics=metrics,
-                    counters=counters, counter_ttl=counter_ttl, clock=lambda b: ends[b],
-                    ledger=False)
-    for b in range(len(ends)):
-        job.handle(rec.where(win == b), b)
-    last = len(ends) - 1
-    job.handle(rec.where(win == last), last)   # replayed batch: same id, same data
-    return job
+    return _run_lines(spark, job, fx.payment_json(spark, sf_dir).select("value"), "payments").result("daily_payment")
+
 
+# ------------------------------------------------------ single indicators, counters
 
-def _upsert(name: str):
+def _upsert(key: str, name: str):
     spec = M.TOPUP_METRICS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        job = _replay_topups(spark, sf_dir, [spec], counters=False, counter_ttl=None)
-        return job.result(name)
+        return _topups(spark, sf_dir, [spec], key, counters=False).result(name)
+    run.__name__ = key
     return run
 
 
-upsert_failures = _upsert("hourly_province_failures")
-upsert_failures.__name__ = "upsert_failures"
-upsert_province = _upsert("province_success")
-upsert_province.__name__ = "upsert_province"
-upsert_hour = _upsert("hourly_amount")
-upsert_hour.__name__ = "upsert_hour"
+#: SNK4-SNK6: one indicator accumulated by a stream.
+upsert_failures = _upsert("upsert_failures", "hourly_province_failures")
+upsert_province = _upsert("upsert_province", "province_success")
+upsert_hour = _upsert("upsert_hour", "hourly_amount")
 
 
 def counter_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK1/SNK2: counter layout accumulated over 3 batches + a replay."""
-    job = _replay_topups(spark, sf_dir, [], counters=True, counter_ttl=None)
-    return job.result("counters")
+    """SNK1/SNK2: the counter layout accumulated by a stream."""
+    return _topups(spark, sf_dir, [], "counters", counter_ttl=None).result("counters")
 
 
 def counter_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK3/STR7: with a 48 h expiry and each batch's clock at its window's
-    end, only the groups written by the last batch are alive."""
-    job = _replay_topups(spark, sf_dir, [], counters=True, counter_ttl=dt.timedelta(hours=48))
+    """SNK3/STR7: counters that die 48 h after their last write and start again at the
+    next.  Records arrive at once and up to 100 hours late, so a day's counters are written
+    again after less and after more than 48 hours; the clock is the latest arrival."""
+    job = _topups(spark, sf_dir, [], "expiring", records=fx.late_topup_records, counter_ttl=dt.timedelta(hours=48))
     return job.result("counters")
 
 
 # ------------------------------------------------------------------ ledger
 
-def _ledger_state(spark: SparkSession, sf_dir: str) -> KeyedState:
-    rec = fx.topic_records(spark, sf_dir)
-    top = rec.agg(F.max("offset")).first()[0]
-    span = top // N_BATCHES + 1
-    st = KeyedState.for_metric(spark, scratch_path(spark, "state", "ledger"), M.OFFSET_LEDGER)
-    now = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
-    for b in range(N_BATCHES):
-        batch = rec.where(F.floor(F.col("offset") / span) == b)
-        st.merge(M.OFFSET_LEDGER.delta(batch, {}), b, now)
-    return st
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    job = offset_tracking_job(spark, scratch_path(spark, "state", "ledger"))
+    return _run_records(spark, job, fx.topic_records(spark, sf_dir), "ledger").ledger_table()
 
 
 def offset_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK10: until-offset per topic partition after three batches."""
-    st = _ledger_state(spark, sf_dir)
-    return ledger_rows(st.read(), GROUP_ID).drop("tp_key")
+    """SNK10: until-offset per topic partition, as committed by a stream."""
+    return ledger_rows(_ledger(spark, sf_dir), GROUP_ID).drop("tp_key")
 
 
 def offset_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK11 + FN11: legacy ``topic-partition`` entries -> startingOffsets."""
-    st = _ledger_state(spark, sf_dir)
-    legacy = ledger_rows(st.read(), GROUP_ID).select("tp_key", "until_offset")
+    legacy = ledger_rows(_ledger(spark, sf_dir), GROUP_ID).select("tp_key", "until_offset")
     return starting_offsets_by_topic(ledger_from_legacy(legacy))
 
 
 # -------------------------------------------------------------- word count
 
 def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC3/SRC9 stand-in (text files replayed one per trigger), PRJ10,
-    AGG14 in Spark's state store, update mode into a keyed table."""
-    src = scratch_path(spark, "streams", "lines")
-    (fx.text_lines(spark, sf_dir).write.mode("overwrite")
-     .option("maxRecordsPerFile", ROWS_PER_FILE).text(src))
+    """SRC3/SRC9 stand-in (text files replayed), PRJ10, AGG14 in Spark's state store,
+    update mode into a keyed table."""
     job = WordCountJob(spark, scratch_path(spark, "state", "words"))
-    q = job.start(text_stream(spark, src, max_files_per_trigger=1),
-                  scratch_path(spark, "ckpt", "words"), trigger={"availableNow": True},
-                  state_partitions=2 * spark.sparkContext.defaultParallelism)
-    _await(q)
-    return job.result()
+    return _run_lines(spark, job, fx.text_lines(spark, sf_dir), "words").result()
 
 
 # ------------------------------------------------------------ file sinks

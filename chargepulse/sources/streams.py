@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-RECORD_SCHEMA = "topic string, partition int, offset bigint, value string"
+RECORD_SCHEMA = "topic string, partition int, offset bigint, value string, timestamp timestamp"
 
 
 def max_records_per_trigger(rate_per_partition: int, batch_seconds: float,
@@ -43,22 +43,27 @@ def topic_stream(spark: SparkSession, brokers: str, topic: str,
                                "topic", "partition", "offset", "timestamp")
 
 
-def record_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1,
-                       schema: str = RECORD_SCHEMA, fmt: str = "parquet") -> DataFrame:
+def _sized(reader, max_files_per_trigger: int | None, max_bytes_per_trigger: int | None):
+    """Bound a file stream's triggers by files or, if given, by bytes (Spark takes one)."""
+    if max_bytes_per_trigger:
+        return reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    return reader.option("maxFilesPerTrigger", str(max_files_per_trigger)) if max_files_per_trigger else reader
+
+
+def record_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1,
+                       schema: str = RECORD_SCHEMA, fmt: str = "parquet",
+                       max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Stand-in for a topic: a folder of record files with the topic shape."""
-    return (spark.readStream.schema(schema).format(fmt)
-            .option("maxFilesPerTrigger", str(max_files_per_trigger)).load(path))
+    r = spark.readStream.schema(schema).format(fmt)
+    return _sized(r, max_files_per_trigger, max_bytes_per_trigger).load(path)
 
 
-def text_stream(spark: SparkSession, path: str,
-                max_files_per_trigger: int | None = None) -> DataFrame:
+def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: int | None = None) -> DataFrame:
     """SRC3 stand-in / SRC9: lines of text files as ``value`` rows.  With
     ``max_files_per_trigger`` and a processing-time trigger this replays a
     folder at a fixed pace."""
-    r = spark.readStream.format("text")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path)
+    return _sized(spark.readStream.format("text"), max_files_per_trigger, max_bytes_per_trigger).load(path)
 
 
 def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:

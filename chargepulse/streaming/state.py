@@ -1,343 +1,208 @@
-"""Versioned keyed state tables (SNK1-SNK6, SNK3/STR7 expiry, AGG16).
-
-Replaces remote hash counters and probe-then-update SQL rows with a table of
-additive measures per key, stored as one Parquet folder per micro-batch:
-
-    <path>/batch_<id>/   (keys..., measures..., last_update) + _SUCCESS
-
-Merging batch ``n`` reads the newest *committed* version ``< n`` (never
-``n`` itself), unions the batch's aggregated delta, re-aggregates by key and
-overwrites ``batch_<n>``.  Re-running batch ``n`` after a failure therefore
-rewrites the same result: increments are applied effectively once, where a
-counter store that increments in place would double-count a replay.  Every
-version is a written table, so lineage never grows across batches and a lost
-executor only loses work of the current batch.
-
-With ``partition_by`` (a time-like key such as a month or a day) a version
-folder holds only the partitions its batch touched (``batch_<id>/_p=<value>/``)
-plus a small manifest ``_partitions.json`` mapping every partition to the
-version folder holding its current rows.  The manifest is written after the
-data and marks the version committed; a merge reads one manifest instead of
-listing folders, and a batch costs in proportion to the partitions it
-touches rather than the whole history.  Rows whose partition key is NULL
-stand in a partition of their own (``_p=~null``).
-
-With ``compact_every=C`` (> 1) a batch writes only its aggregated delta
-(``delta_<id>/``, again idempotent per id) and every C-th batch writes a
-full snapshot; reads combine the newest snapshot with the deltas after it.
-This keeps per-batch cost proportional to the batch, not to the state, for
-large key spaces such as a vocabulary.
-
-Expiry is per *key group* (e.g. a whole day's hash): a group dies when the
-newest ``last_update`` of any of its rows is older than the TTL, so quiet
-fields of a live group survive.  The clock is passed in; nothing here reads
-the wall clock.
+"""Keyed state of streams as per-batch deltas (SNK1-SNK6, SNK3/STR7, STR3, AGG16).
+
+A batch writes its aggregated delta to a folder of its own,
+
+    <path>/deltas/gen=<g>/batch=<n>/     keys, measures, first_update, last_update
+
+overwritten if the batch is delivered again, and then a row in the commit log
+
+    <log>/gen=<g>/batch=<n>/             query id, fold, since, clock, positions
+
+Reading takes the deltas of committed batches only and adds them up by key, so
+a batch counts once however often it ran, and a batch that failed half-way does
+not count.  The log's own row is the commit: no marker of the file committer is
+needed.  Every ``fold_every``-th batch writes the sums of all before it with its
+own delta; reading starts there.  Older folders stay and are not read again.
+
+A *generation* is the life of one query checkpoint, whose batch ids start at 0.
+
+With a ``ttl`` a key group (e.g. a whole day's hash) dies when no row of it is
+written for that long, and starts from nothing at its next write.  Writes are
+kept as intervals in blocks of half a ttl, whose writes are connected by their
+width; the last life of a group begins at its last gap of a ttl or more between
+blocks.  Sums, first and last times add up over batches in any order.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_VERSION = re.compile(r"^batch_(\d+)$")
-_DELTA = re.compile(r"^delta_(\d+)$")
-_VALUE = re.compile(r"^[A-Za-z0-9_.\-]+\Z")
-#: Partition of rows whose partition key is NULL; no value can have this name.
-_NULL = "~null"
-_PART = re.compile(r"^_p=([A-Za-z0-9_.\-]+|~null)$")
-_MANIFEST = "_partitions.json"
-
-
-class _FS:
-    """Minimal Hadoop FileSystem access (works for local, HDFS, object stores)."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        jvm = spark._jvm
-        self._jvm = jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self.root = self._Path(path)
-        self.fs = self.root.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def child(self, name: str):
-        return self._Path(self.root, name)
+POSITION = "struct<topic:string,partition:int,until_offset:bigint>"
+LOG = f"query string, fold boolean, since int, clock timestamp, positions array<{POSITION}>, gen int, batch bigint"
+TIMES = {"first_update": F.min, "last_update": F.max}
 
-    def list_names(self) -> list[str]:
-        if not self.fs.exists(self.root):
-            return []
-        return [s.getPath().getName() for s in self.fs.listStatus(self.root)]
 
-    def exists(self, p) -> bool:
-        return bool(self.fs.exists(p))
+def read_folder(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet folder, or no rows if nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
-    def delete(self, p) -> None:
-        self.fs.delete(p, True)
 
-    def write_text(self, p, text: str) -> None:
-        out = self.fs.create(p, True)
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
+class CommitLog:
+    """One row for each finished batch, written after everything else of the batch."""
 
-    def read_text(self, p) -> str:
-        stream = self.fs.open(p)
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.gen, self.since, self.query = 0, 0, ""
+
+    def rows(self) -> DataFrame:
+        return read_folder(self.spark, self.path, LOG)
+
+    def open(self, query: str, resume: bool = False, reset: bool = False) -> None:
+        """Find the generation of a query.  A query that is new to a used log starts a
+        further one; this needs ``resume`` (its source goes on where the log ends) or
+        ``reset`` (older generations no longer count)."""
+        seen = self.rows().groupBy("query").agg(F.max("gen").alias("gen"), F.max("since").alias("since"))
+        own = seen.where(F.col("query") == query).first()
+        last = seen.agg(F.max("gen").alias("gen"), F.max("since").alias("since")).first()
+        self.query = query
+        if own is not None:
+            self.gen, self.since = own["gen"], own["since"]
+        elif last["gen"] is None:
+            self.gen = self.since = 0
+        elif resume or reset:
+            self.gen = last["gen"] + 1
+            self.since = self.gen if reset else last["since"]
+        else:
+            raise ValueError(f"fresh checkpoint, but batches of another one are committed under {self.path}; "
+                             "start from its ledger with resume=True, with reset_state=True, or elsewhere")
+
+    def commit(self, batch: int, fold: bool, clock: dt.datetime, positions: Sequence[tuple] = ()) -> None:
+        row = [(self.query, fold, self.since, clock, list(positions))]
+        (self.spark.createDataFrame(row, LOG.rsplit(", gen", 1)[0]).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.path}/gen={self.gen}/batch={batch}"))
+
+    def valid(self, before: int | None = None, after_fold: bool = True) -> DataFrame:
+        """Committed batches that count: from the newest fold on, and of this generation
+        only those below ``before``."""
+        rows = self.rows()
+        if before is not None:
+            rows = rows.where((F.col("gen") < self.gen) | ((F.col("gen") == self.gen) & (F.col("batch") < before)))
+        newest = rows.agg(F.max("since").alias("since"), F.max(F.when(
+            F.col("fold"), F.struct("gen", "batch"))).alias("fold")).first()
+        since, fold = max(newest["since"] or 0, self.since), newest["fold"]
+        rows = rows.where(F.col("gen") >= since)
+        if not after_fold or fold is None or fold["gen"] < since:
+            return rows
+        return rows.where((F.col("gen") > fold["gen"]) | ((F.col("gen") == fold["gen"]) & (F.col("batch") >= fold["batch"])))
+
+    def clock(self) -> dt.datetime | None:
+        """Latest clock of a committed batch."""
+        t = self.valid(after_fold=False).agg(F.max("clock").cast("string")).first()[0]
+        return dt.datetime.fromisoformat(t).replace(tzinfo=dt.timezone.utc) if t else None
+
+    def positions(self) -> DataFrame:
+        """topic, partition, until_offset over all batches that count."""
+        p = self.valid(after_fold=False).select(F.inline("positions"))
+        return p.groupBy("topic", "partition").agg(F.max("until_offset").alias("until_offset"))
 
 
 class KeyedState:
-    """A keyed table of additive measures with versioned, replay-safe merges.
+    """A keyed table of additive measures, folded from deltas when it is read.
 
-    ``measures`` maps column -> SQL type; ``combine`` maps column -> ``sum``
-    (default) or ``max``.  ``ttl`` (a ``timedelta``) with ``ttl_keys`` (the
-    columns that form one expiring group; default all keys) enables expiry.
+    ``measures`` maps column -> SQL type; ``combine`` maps column -> ``sum`` (default) or
+    ``max``.  ``ttl`` with ``ttl_keys`` (the columns of one expiring group; default all
+    keys) enables expiry.  States of one job share its ``log``.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 measures: dict[str, str], combine: dict[str, str] | None = None,
-                 ttl: dt.timedelta | None = None, ttl_keys: Sequence[str] | None = None,
-                 keep_versions: int = 3, partition_by: str | None = None,
-                 compact_every: int = 1):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.keys = list(keys)
-        self.measures = dict(measures)
-        self.combine = dict(combine or {})
-        self.ttl = ttl
-        self.ttl_keys = list(ttl_keys) if ttl_keys else list(keys)
-        self.keep_versions = max(2, keep_versions)
-        self.partition_by = partition_by
-        if partition_by and partition_by not in self.keys:
-            raise ValueError("partition_by must be one of the keys")
-        if partition_by and ttl is not None:
-            raise ValueError("expiry needs the whole state; use it without partition_by")
-        if partition_by and compact_every > 1:
-            raise ValueError("use either partition_by or compact_every")
-        self.compact_every = max(1, compact_every)
-        self._fs = _FS(spark, self.path)
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], measures: dict[str, str],
+                 combine: dict[str, str] | None = None, ttl: dt.timedelta | None = None,
+                 ttl_keys: Sequence[str] | None = None, fold_every: int = 20, log: CommitLog | None = None,
+                 key_types: dict[str, str] | None = None):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.keys, self.measures, self.combine = list(keys), dict(measures), dict(combine or {})
+        self.ttl, self.ttl_keys = ttl, list(ttl_keys) if ttl_keys else list(keys)
+        self.fold_every = max(1, fold_every)
+        self.log = log or CommitLog(spark, f"{self.path}/commits")
+        types = key_types or {}
+        cols = [f"`{k}` {types.get(k, 'string')}" for k in self.keys] + [f"`{m}` {t}" for m, t in self.measures.items()]
+        if ttl is not None:
+            cols.append("_block bigint")
+        self.schema = ", ".join([*cols, *(f"{t} timestamp" for t in TIMES)])
 
     @classmethod
-    def for_metric(cls, spark: SparkSession, root: str, spec, **kw) -> "KeyedState":
+    def for_metric(cls, spark: SparkSession, root: str, spec, **kw) -> KeyedState:
         """State for a :class:`chargepulse.operators.metrics.MetricSpec`."""
-        kw.setdefault("partition_by", getattr(spec, "partition_by", None))
-        return cls(spark, f"{root.rstrip('/')}/{spec.store}", spec.keys, spec.measures,
-                   spec.combine, **kw)
+        kw.setdefault("key_types", spec.key_types)
+        return cls(spark, f"{root.rstrip('/')}/{spec.store}", spec.keys, spec.measures, spec.combine, **kw)
+
+    def _sum(self, df: DataFrame) -> DataFrame:
+        aggs = [(F.max if self.combine.get(m) == "max" else F.sum)(m).cast(t).alias(m) for m, t in self.measures.items()]
+        block = ["_block"] if self.ttl is not None else []
+        return df.groupBy(*self.keys, *block).agg(*aggs, *[f(t).alias(t) for t, f in TIMES.items()])
 
     # ------------------------------------------------------------------ read
-    def versions(self) -> list[int]:
-        """Committed versions, ascending: folders with ``_SUCCESS`` (and, for
-        partitioned state, the manifest written after it)."""
-        marker = _MANIFEST if self.partition_by else "_SUCCESS"
-        out = []
-        for name in self._fs.list_names():
-            m = _VERSION.match(name)
-            if m and self._fs.exists(self._fs._Path(self._fs.child(name), marker)):
-                out.append(int(m.group(1)))
-        return sorted(out)
-
-    def latest(self, before: int | None = None) -> int | None:
-        vs = [v for v in self.versions() if before is None or v < before]
-        return vs[-1] if vs else None
-
-    def _vpath(self, v: int) -> str:
-        return f"{self.path}/batch_{v:020d}"
-
-    def _dpath(self, v: int) -> str:
-        return f"{self.path}/delta_{v:020d}"
-
-    def _deltas(self, after: int | None, before: int | None) -> list[int]:
-        """Committed delta ids in ``(after, before)``."""
-        if self.compact_every <= 1:
-            return []
-        out = []
-        for name in self._fs.list_names():
-            m = _DELTA.match(name)
-            if not m:
-                continue
-            v = int(m.group(1))
-            if (after is None or v > after) and (before is None or v < before) and \
-                    self._fs.exists(self._fs._Path(self._fs.child(name), "_SUCCESS")):
-                out.append(v)
-        return sorted(out)
-
-    def _combine(self, df: DataFrame) -> DataFrame:
-        aggs = [self._agg(m, t) for m, t in self.measures.items()]
-        aggs.append(F.max("last_update").alias("last_update"))
-        return df.groupBy(*self.keys).agg(*aggs) if self.keys else df.agg(*aggs)
-
-    def _reader(self, schema=None):
-        r = self.spark.read
-        return r.schema(schema) if schema is not None else r
-
-    def read(self, version: int | None = None, now: dt.datetime | None = None,
-             schema=None) -> DataFrame | None:
-        """State as of ``version`` (default newest), or None if there is none.
-        With ``now`` and a TTL, expired groups are filtered out on read.
-        ``schema`` (the stored columns) skips Parquet schema inference."""
-        if self.partition_by:
-            paths = list(self._partition_paths(before=None if version is None else version + 1).values())
-            if not paths:
-                return None
-            df = self._reader(schema).parquet(*paths)
-        else:
-            upto = None if version is None else version + 1
-            v = self.latest(before=upto)
-            deltas = self._deltas(after=v, before=upto)
-            if v is None and not deltas:
-                return None
-            parts = ([self._vpath(v)] if v is not None else []) + [self._dpath(x) for x in deltas]
-            df = self._reader(schema).parquet(*parts)
-            if deltas:
-                df = self._combine(df)
-        if now is not None and self.ttl is not None:
-            df = self._expire(df, now)
-        return df
-
-    def _manifest(self, v: int | None) -> dict[str, int]:
-        if v is None:
-            return {}
-        import json
-
-        return json.loads(self._fs.read_text(self._fs._Path(self._vpath(v), _MANIFEST)))
-
-    def _partition_paths(self, before: int | None = None) -> dict[str, str]:
-        """Partition value -> folder holding its rows, from the manifest of the
-        newest committed version below ``before``."""
-        man = self._manifest(self.latest(before=before))
-        return {p: f"{self._vpath(v)}/_p={p}" for p, v in man.items()}
-
-    def read_or_empty(self, version: int | None = None, now: dt.datetime | None = None,
-                      key_types: dict[str, str] | None = None) -> DataFrame:
-        df = self.read(version, now)
-        if df is not None:
-            return df
-        kt = key_types or {}
-        cols = [f"`{k}` {kt.get(k, 'string')}" for k in self.keys]
-        cols += [f"`{m}` {t}" for m, t in self.measures.items()] + ["last_update timestamp"]
-        return self.spark.createDataFrame([], ", ".join(cols))
+    def _rows(self, before: int | None = None) -> DataFrame:
+        """Sums of the committed batches (by block with a ttl)."""
+        deltas = read_folder(self.spark, f"{self.path}/deltas", f"{self.schema}, gen int, batch bigint")
+        done = self.log.valid(before).select("gen", "batch")
+        return self._sum(deltas.join(done, ["gen", "batch"], "left_semi"))
+
+    def read(self, now: dt.datetime | None = None) -> DataFrame:
+        """Keys, measures and last_update of all committed batches.  With a ttl only the
+        last life of a group counts, and groups dead at ``now`` (default: the latest
+        committed clock) are hidden."""
+        rows = self._rows()
+        if self.ttl is not None:
+            now = now or self.log.clock()
+            rows = self.last_life(rows, now) if now else rows
+            rows = rows.groupBy(*self.keys).agg(*[(F.max if self.combine.get(m) == "max" else F.sum)(m).cast(t).alias(m)
+                                                  for m, t in self.measures.items()], F.max("last_update").alias("last_update"))
+        return rows.select(*self.keys, *self.measures, "last_update")
+
+    def last_life(self, rows: DataFrame, now: dt.datetime) -> DataFrame:
+        """Rows of each group's last life, if the group is alive at ``now``."""
+        ttl = F.lit(self.ttl)
+        group = F.struct(*[F.col(k) for k in self.ttl_keys]) if self.ttl_keys else F.struct(F.lit(0).alias("all"))
+        rows = rows.withColumn("_group", group)
+        blocks = rows.groupBy("_group", "_block").agg(*[f(t).alias(t) for t, f in TIMES.items()])
+        # intervals by block; the latest end so far tells whether a gap comes before the next
+        so_far = Window.partitionBy("_group").orderBy("first_update").rowsBetween(Window.unboundedPreceding, -1)
+        blocks = blocks.withColumn("_end", F.max("last_update").over(so_far))
+        begins = F.when(F.col("_end").isNull() | (F.col("first_update") >= F.col("_end") + ttl), F.col("first_update"))
+        lives = blocks.groupBy("_group").agg(F.max(begins).alias("_birth"), F.max("last_update").alias("_last"))
+        lives = lives.where(F.col("_last") + ttl > F.lit(_aware(now)).cast("timestamp"))
+        on = rows["_group"].eqNullSafe(lives["_group"]) & (rows["first_update"] >= lives["_birth"])
+        return rows.join(lives, on, "left_semi").drop("_group")
 
     # ----------------------------------------------------------------- write
-    def _agg(self, m: str, t: str):
-        fn = F.max if self.combine.get(m, "sum") == "max" else F.sum
-        return fn(m).cast(t).alias(m)
-
-    def _expire(self, df: DataFrame, now: dt.datetime) -> DataFrame:
-        # a group written at t is alive while now < t + ttl
-        cutoff = F.lit(_aware(now) - self.ttl).cast("timestamp")
-        if not self.ttl_keys:
-            return df.join(df.agg(F.max("last_update").alias("_group_update")),
-                           F.col("_group_update") > cutoff, "left_semi")
-        w = Window.partitionBy(*self.ttl_keys)
-        return (df.withColumn("_group_update", F.max("last_update").over(w))
-                .where(F.col("_group_update") > cutoff).drop("_group_update"))
-
-    def merge(self, delta: DataFrame, batch_id: int, now: dt.datetime) -> int:
-        """Fold ``delta`` (keys + measures, any number of rows per key) into
-        the state as version ``batch_id``; returns the version written.
-
-        Idempotent per ``batch_id``: the base is the newest committed version
-        strictly below it, so a replayed batch recomputes the same table.
-        """
-        d = delta.select(*[F.col(k) for k in self.keys],
-                         *[F.col(m).cast(t).alias(m) for m, t in self.measures.items()],
-                         F.lit(_aware(now)).cast("timestamp").alias("last_update"))
-        aggs = [self._agg(m, t) for m, t in self.measures.items()]
-        aggs.append(F.max("last_update").alias("last_update"))
-        if self.partition_by:
-            return self._merge_partitioned(d, aggs, batch_id)
-        if self.compact_every > 1 and batch_id % self.compact_every:
-            # delta only: this batch's rows combined per key
-            delta = d.groupBy(*self.keys).agg(*aggs) if self.keys else d.agg(*aggs)
-            delta.write.mode("overwrite").parquet(self._dpath(batch_id))
-            return batch_id
-        prev = self.read(batch_id - 1, schema=d.schema) if batch_id > 0 else None
-        if prev is not None and self.ttl is not None:
-            prev = self._expire(prev, now)  # an expired group starts again from nothing
-        u = d if prev is None else prev.select(*d.columns).unionByName(d)
-        merged = u.groupBy(*self.keys).agg(*aggs) if self.keys else u.agg(*aggs)
+    def write(self, delta: DataFrame, batch_id: int, now: dt.datetime) -> bool:
+        """Write the batch's delta, not yet committed; returns whether it holds a fold.
+        ``delta`` has keys and measures, any number of rows per key, and may have the
+        times of its writes as ``first_update`` and ``last_update``, at most a quarter of
+        the ttl apart; else ``now`` is the time of all."""
+        at = F.lit(_aware(now)).cast("timestamp")
+        times = [F.coalesce(F.col(t), at).alias(t) if t in delta.columns else at.alias(t) for t in TIMES]
+        d = delta.select(*self.keys, *[F.col(m).cast(t).alias(m) for m, t in self.measures.items()], *times)
         if self.ttl is not None:
-            merged = self._expire(merged, now)
-        merged.write.mode("overwrite").parquet(self._vpath(batch_id))
-        self._vacuum(batch_id)
-        return batch_id
+            half = int(self.ttl / dt.timedelta(microseconds=2))
+            d = d.withColumn("_block", F.floor(F.unix_micros("first_update") / F.lit(half)).cast("bigint"))
+        d = self._sum(d)
+        fold = (batch_id + 1) % self.fold_every == 0
+        if fold:
+            older = self._rows(before=batch_id)
+            if self.ttl is not None:
+                older = self.last_life(older, now)
+            d = self._sum(older.select(*d.columns).unionByName(d))
+        names = [c.split()[0].strip("`") for c in self.schema.split(", ")]
+        d.select(*names).write.mode("overwrite").parquet(f"{self.path}/deltas/gen={self.log.gen}/batch={batch_id}")
+        return fold
 
-    def _merge_partitioned(self, d: DataFrame, aggs, batch_id: int) -> int:
-        # Aggregate the batch once; the partitions it touches (e.g. its
-        # months) are few and are read from the cached aggregate.
-        d = d.groupBy(*self.keys).agg(*aggs).persist()
-        try:
-            return self._merge_partitioned_agg(d, aggs, batch_id)
-        finally:
-            d.unpersist()
-
-    def _merge_partitioned_agg(self, d: DataFrame, aggs, batch_id: int) -> int:
-        import json
-
-        value = F.col(self.partition_by).cast("string")
-        values = [r[0] for r in d.select(value).distinct().collect()]
-        bad = [v for v in values if v is not None and not _VALUE.match(v)]
-        if bad:
-            raise ValueError(f"unsafe partition values for state: {bad[:3]}")
-        touched = sorted(_NULL if v is None else v for v in values)
-        base = self.latest(before=batch_id)
-        manifest = self._manifest(base)
-        paths = [f"{self._vpath(manifest[t])}/_p={t}" for t in touched if t in manifest]
-        u = d
-        if paths:
-            u = self.spark.read.schema(d.schema).parquet(*paths).select(*d.columns).unionByName(u)
-        merged = u.groupBy(*self.keys).agg(*aggs)
-        # static overwrite of a fresh version folder (writes _SUCCESS)
-        (merged.withColumn("_p", F.coalesce(value, F.lit(_NULL))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static")
-         .partitionBy("_p").parquet(self._vpath(batch_id)))
-        manifest.update({t: batch_id for t in touched})
-        self._fs.write_text(self._fs._Path(self._vpath(batch_id), _MANIFEST),
-                            json.dumps(manifest, sort_keys=True))
-        self._vacuum_partitioned(batch_id)
+    def merge(self, delta: DataFrame, batch_id: int, now: dt.datetime) -> int:
+        """Write and commit a batch of a state that has a log of its own."""
+        fold = self.write(delta, batch_id, now)
+        self.log.commit(batch_id, fold, _aware(now))
         return batch_id
 
-    def _vacuum_partitioned(self, newest: int) -> None:
-        """Keep what the newest ``keep_versions`` manifests reference; drop
-        other partition folders and version folders left without any.  The
-        folder scan runs every ``keep_versions`` batches (amortised)."""
-        if newest % self.keep_versions:
-            return
-        committed = [v for v in self.versions() if v <= newest]
-        recent = committed[-self.keep_versions:]
-        referenced: set[tuple[str, int]] = set()
-        for v in recent:
-            referenced |= {(p, pv) for p, pv in self._manifest(v).items()}
-        live = {pv for _, pv in referenced} | set(recent)
-        for name in self._fs.list_names():
-            m = _VERSION.match(name)
-            if not m or int(m.group(1)) > newest:
-                continue
-            v = int(m.group(1))
-            if v not in live:
-                self._fs.delete(self._fs.child(name))
-                continue
-            for sub in _FS(self.spark, self._vpath(v)).list_names():
-                pm = _PART.match(sub)
-                if pm and (pm.group(1), v) not in referenced and v not in recent:
-                    self._fs.delete(self._fs._Path(self._vpath(v) + "/" + sub))
-
-    def _vacuum(self, newest: int) -> None:
-        """Keep the newest ``keep_versions`` committed versions up to
-        ``newest``; drop older ones and uncommitted leftovers below them."""
-        vs = [v for v in self.versions() if v <= newest]
-        keep = set(vs[-self.keep_versions:])
-        floor = min(keep) if keep else newest
-        for name in self._fs.list_names():
-            m = _VERSION.match(name) or _DELTA.match(name)
-            if m and int(m.group(1)) < floor and int(m.group(1)) not in keep:
-                self._fs.delete(self._fs.child(name))
-
 
 def _aware(t: dt.datetime) -> dt.datetime:
     """Naive clock values are taken as UTC."""

@@ -1,12 +1,16 @@
+"""Deltas, commits, folds and expiry."""
+
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from chargepulse.operators.metrics import MetricSpec
-from chargepulse.streaming.state import KeyedState
+from chargepulse.streaming.state import CommitLog, KeyedState
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+H = dt.timedelta(hours=1)
 
 
 def _delta(spark, rows):
@@ -19,8 +23,13 @@ def _table(st, now=None):
     return {(r.key, r.field): float(r.value) for r in st.read(now=now).collect()}
 
 
+def _counters(spark, path, **kw):
+    return KeyedState(spark, path, ["key", "field"], {"value": "decimal(18,2)"}, **kw)
+
+
 def test_merge_accumulates_and_replay_is_idempotent(spark, tmpdir_str):
-    st = KeyedState(spark, tmpdir_str + "/c", ["key", "field"], {"value": "decimal(18,2)"})
+    st = _counters(spark, tmpdir_str + "/c")
+    assert _table(st) == {}
     st.merge(_delta(spark, [("A", "total", 1), ("A", "money", 2.5)]), 0, T0)
     st.merge(_delta(spark, [("A", "total", 2), ("B", "total", 1)]), 1, T0)
     first = _table(st)
@@ -28,36 +37,78 @@ def test_merge_accumulates_and_replay_is_idempotent(spark, tmpdir_str):
     assert _table(st) == first == {("A", "total"): 3.0, ("A", "money"): 2.5, ("B", "total"): 1.0}
 
 
-def test_uncommitted_version_is_ignored(spark, tmpdir_str):
-    st = KeyedState(spark, tmpdir_str + "/c", ["key", "field"], {"value": "decimal(18,2)"})
+def test_uncommitted_batch_does_not_count(spark, tmpdir_str):
+    st = _counters(spark, tmpdir_str + "/c")
     st.merge(_delta(spark, [("A", "total", 1)]), 0, T0)
-    # a crashed write: folder without _SUCCESS
-    spark.range(1).write.parquet(tmpdir_str + "/c/batch_" + "1".zfill(20) + "_tmp")
-    assert st.versions() == [0]
+    st.write(_delta(spark, [("A", "total", 5)]), 1, T0)  # crashed before its commit
+    assert _table(st) == {("A", "total"): 1.0}
+    st.merge(_delta(spark, [("A", "total", 7)]), 1, T0)  # delivered again
+    assert _table(st) == {("A", "total"): 8.0}
+
+
+def test_state_does_not_need_success_markers(spark, tmpdir_str):
+    conf = spark._jsc.hadoopConfiguration()
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        st = _counters(spark, tmpdir_str + "/c", fold_every=2)
+        for b in range(3):
+            st.merge(_delta(spark, [("A", "total", 1)]), b, T0)
+        assert _table(st) == {("A", "total"): 3.0}
+    finally:
+        conf.set(key, before) if before else conf.unset(key)
 
 
 def test_ttl_is_per_key_group_not_per_row(spark, tmpdir_str):
-    st = KeyedState(spark, tmpdir_str + "/c", ["key", "field"], {"value": "decimal(18,2)"},
-                    ttl=dt.timedelta(hours=48), ttl_keys=["key"])
+    st = _counters(spark, tmpdir_str + "/c", ttl=48 * H, ttl_keys=["key"])
     st.merge(_delta(spark, [("B-1", "T:1", 1), ("B-2", "T:1", 1)]), 0, T0)
     # 30 h later only B-1 is written again, with a different field
-    st.merge(_delta(spark, [("B-1", "T:2", 1)]), 1, T0 + dt.timedelta(hours=30))
+    st.merge(_delta(spark, [("B-1", "T:2", 1)]), 1, T0 + 30 * H)
     # 60 h after T0: B-2 (last write T0) has expired; B-1's quiet field T:1 survives
-    st.merge(_delta(spark, [("B-3", "T:1", 1)]), 2, T0 + dt.timedelta(hours=60))
+    st.merge(_delta(spark, [("B-3", "T:1", 1)]), 2, T0 + 60 * H)
     assert set(_table(st)) == {("B-1", "T:1"), ("B-1", "T:2"), ("B-3", "T:1")}
     # expiry also applies on read, with no new write
-    late = T0 + dt.timedelta(hours=30 + 48 + 1)
-    assert set(_table(st, now=late)) == {("B-3", "T:1")}
-
-
-def test_max_combine_and_vacuum(spark, tmpdir_str):
+    assert set(_table(st, now=T0 + 79 * H)) == {("B-3", "T:1")}
+
+
+@pytest.mark.parametrize("gap, left", [(dt.timedelta(hours=47, minutes=59), 6.0), (48 * H, 1.0), (60 * H, 1.0)])
+def test_a_life_ends_after_the_ttl(spark, tmpdir_str, gap, left):
+    st = _counters(spark, tmpdir_str + "/c", ttl=48 * H, ttl_keys=["key"])
+    st.merge(_delta(spark, [("a", "f", 5)]), 0, T0 + 23 * H)
+    st.merge(_delta(spark, [("a", "f", 1)]), 1, T0 + 23 * H + gap)
+    assert _table(st) == {("a", "f"): left}
+    assert _table(st, now=T0 + 23 * H + gap + 48 * H) == {}
+
+
+def test_lives_by_brute_force(spark, tmpdir_str):
+    """Random writes in random order over batches, with folds; the times come with the delta."""
+    rnd = random.Random(3)
+    writes = [(rnd.choice("abcdef"), rnd.choice("xy"), rnd.randint(1, 9), T0 + rnd.randint(0, 900) * H) for _ in range(120)]
+    writes.sort(key=lambda w: w[3])
+    st = _counters(spark, tmpdir_str + "/c", ttl=48 * H, ttl_keys=["key"], fold_every=4)
+    for b in range(10):
+        own = writes[b * 12:b * 12 + 12]
+        rnd.shuffle(own)
+        df = spark.createDataFrame([(k, f, v, t, t) for k, f, v, t in own],
+                                   "key string, field string, value int, first_update timestamp, last_update timestamp")
+        st.merge(df, b, max(w[3] for w in own))
+    want, alive = {}, {}
+    for k, f, v, t in writes:
+        if k in alive and t - alive[k] >= 48 * H:
+            want = {x: y for x, y in want.items() if x[0] != k}
+        want[k, f] = want.get((k, f), 0) + v
+        alive[k] = t
+    now = writes[-1][3]
+    assert _table(st) == {x: float(v) for x, v in want.items() if alive[x[0]] + 48 * H > now}
+
+
+def test_max_combine(spark, tmpdir_str):
     st = KeyedState(spark, tmpdir_str + "/l", ["topic", "partition"], {"until_offset": "bigint"},
-                    combine={"until_offset": "max"}, keep_versions=2)
+                    combine={"until_offset": "max"}, key_types={"partition": "int"}, fold_every=3)
     for b, off in enumerate([10, 30, 20, 40]):
-        d = spark.createDataFrame([("t", 0, off)], "topic string, partition int, until_offset long")
-        st.merge(d, b, T0)
-    assert st.read().first().until_offset == 40
-    assert st.versions() == [2, 3]
+        st.merge(spark.createDataFrame([("t", 0, off)], "topic string, partition int, until_offset long"), b, T0)
+    assert [tuple(r)[:3] for r in st.read().collect()] == [("t", 0, 40)]
 
 
 def test_keyless_state(spark, tmpdir_str):
@@ -67,72 +118,60 @@ def test_keyless_state(spark, tmpdir_str):
     assert st.read().first().amount == 13
 
 
-def test_partitioned_state_rewrites_touched_partitions_only(spark, tmpdir_str):
-    st = KeyedState(spark, tmpdir_str + "/m", ["month", "phone"],
-                    {"amount": "bigint", "orders": "bigint"}, partition_by="month")
-
-    def d(rows):
-        return spark.createDataFrame(rows, "month string, phone string, amount long, orders long")
-
-    st.merge(d([("2024-01", "p1", 10, 1), ("2024-02", "p1", 5, 1)]), 0, T0)
-    st.merge(d([("2024-02", "p1", 7, 1), ("2024-02", "p2", 1, 1)]), 1, T0)
-    st.merge(d([("2024-02", "p1", 7, 1), ("2024-02", "p2", 1, 1)]), 1, T0)   # replay
-    st.merge(d([("2024-03", "p3", 2, 1)]), 2, T0)
-    got = {(r.month, r.phone): (r.amount, r.orders) for r in st.read().collect()}
-    assert got == {("2024-01", "p1"): (10, 1), ("2024-02", "p1"): (12, 2),
-                   ("2024-02", "p2"): (1, 1), ("2024-03", "p3"): (2, 1)}
-    # batch 2 wrote only March; January still comes from batch 0
-    import json
-    import os
-    assert [n for n in sorted(os.listdir(st._vpath(2))) if n.startswith("_p=")] == ["_p=2024-03"]
-    with open(st._vpath(2) + "/_partitions.json") as f:
-        assert json.load(f) == {"2024-01": 0, "2024-02": 1, "2024-03": 2}
-    assert os.path.isdir(st._vpath(0) + "/_p=2024-01")
-    # more batches touching only March: vacuum keeps what manifests reference
-    for b in range(3, 9):
-        st.merge(d([("2024-03", "p3", 1, 1)]), b, T0)
-    got = {(r.month, r.phone): r.amount for r in st.read().collect()}
-    assert got[("2024-01", "p1")] == 10 and got[("2024-03", "p3")] == 8
-    assert not os.path.exists(st._vpath(3))
-
-
-def test_compacted_state_equals_full_rewrite(spark, tmpdir_str):
-    import random
-
+def test_folds_change_nothing(spark, tmpdir_str):
     rnd = random.Random(7)
     batches = [[(f"k{rnd.randint(0, 9)}", rnd.randint(1, 5)) for _ in range(20)] for _ in range(8)]
-    full = KeyedState(spark, tmpdir_str + "/full", ["k"], {"v": "bigint"})
-    comp = KeyedState(spark, tmpdir_str + "/comp", ["k"], {"v": "bigint"}, compact_every=3)
+    plain = KeyedState(spark, tmpdir_str + "/plain", ["k"], {"v": "bigint"}, fold_every=1000)
+    folded = KeyedState(spark, tmpdir_str + "/folded", ["k"], {"v": "bigint"}, fold_every=3)
     for b, rows in enumerate(batches):
         df = spark.createDataFrame(rows, "k string, v long")
-        full.merge(df, b, T0)
-        comp.merge(df, b, T0)
-        if b == 4:
-            comp.merge(df, b, T0)   # replayed delta batch
-        if b == 6:
-            comp.merge(df, b, T0)   # replayed snapshot batch
-        assert sorted(map(tuple, comp.read().select("k", "v").collect())) == \
-            sorted(map(tuple, full.read().select("k", "v").collect()))
+        plain.merge(df, b, T0)
+        folded.merge(df, b, T0)
+        if b in (4, 5, 6):   # a delta, a fold, and a delta after it delivered again
+            folded.merge(df, b, T0)
+        assert sorted(map(tuple, folded.read().select("k", "v").collect())) == \
+            sorted(map(tuple, plain.read().select("k", "v").collect()))
+    # reading starts at the newest fold
+    assert sorted(r.batch for r in folded.log.valid().collect()) == [5, 6, 7]
 
 
-def test_null_partition_keys_agree_with_batch(spark, tmpdir_str):
+def test_null_and_odd_keys_agree_with_batch(spark, tmpdir_str):
     spec = MetricSpec("by_day", ("day", "phone"), {"n": "bigint"},
                       lambda base, ctx: base.groupBy("day", "phone").agg(F.sum("n").alias("n")),
-                      lambda s, ctx: s.select("day", "phone", "n"), partition_by="day")
-    rows = [("d1", "a", 1), (None, "a", 2), (None, None, 4), ("d2", None, 8), (None, "a", 16), ("d1", "a", 32)]
-    st = KeyedState.for_metric(spark, tmpdir_str, spec, keep_versions=2)
+                      lambda s, ctx: s.select("day", "phone", "n"))
+    rows = [("d1", "a", 1), (None, "a", 2), (None, None, 4), ("d2", None, 8), (None, "a", 16), ("d1", "a", 32),
+            ("~null", "", 64), ("", "a\n/=", 128)]
+    st = KeyedState.for_metric(spark, tmpdir_str, spec, fold_every=2)
     for b in (*range(len(rows)), len(rows) - 1):  # the last batch twice, as after a restart
         st.merge(spec.delta(spark.createDataFrame(rows[b:b + 1], "day string, phone string, n long"), {}), b, T0)
     want = spec.batch(spark.createDataFrame(rows, "day string, phone string, n long"))
     assert sorted(map(repr, spec.result(st.read(), {}).collect())) == sorted(map(repr, want.collect()))
 
 
-def test_null_partition_has_a_name_of_its_own(spark, tmpdir_str):
-    for value in ("~null", "", "a\n"):
-        st = KeyedState(spark, tmpdir_str + "/c", ["key"], {"v": "bigint"}, partition_by="key")
-        with pytest.raises(ValueError, match="unsafe"):
-            st.merge(spark.createDataFrame([(value, 1)], "key string, v long"), 0, T0)
-    st = KeyedState(spark, tmpdir_str + "/i", ["key"], {"v": "bigint"}, partition_by="key")
-    for b in range(3):  # keys of another type than string
-        st.merge(spark.createDataFrame([(7, 1), (None, 1)], "key int, v long"), b, T0)
-    assert sorted(((r.key, r.v) for r in st.read().collect()), key=repr) == [(7, 3), (None, 3)]
+def test_generations(spark, tmpdir_str):
+    def opened(query, **kw):
+        log = CommitLog(spark, tmpdir_str + "/log")
+        log.open(query, **kw)
+        return KeyedState(spark, tmpdir_str + "/s", ["k"], {"v": "bigint"}, log=log, fold_every=2)
+
+    def add(st, b, v):
+        fold = st.write(spark.createDataFrame([("a", v)], "k string, v long"), b, T0)
+        st.log.commit(b, fold, T0, [("t", 0, 10 * v)])
+
+    def value(st):
+        return [r.v for r in st.read().collect()]
+    first = opened("q1")
+    add(first, 0, 1), add(first, 1, 2), add(first, 2, 4)
+    with pytest.raises(ValueError, match="fresh checkpoint"):
+        opened("q2")
+    second = opened("q2", resume=True)
+    assert second.log.gen == 1 and value(second) == [7]
+    add(second, 0, 8), add(second, 1, 16)
+    again = opened("q2")
+    assert again.log.gen == 1 and value(again) == [31]
+    assert [tuple(r) for r in again.log.positions().collect()] == [("t", 0, 160)]
+    third = opened("q3", reset=True)
+    add(third, 0, 32)
+    add(third, 1, 64)
+    assert value(third) == [96] == value(opened("q3"))
+    assert [tuple(r) for r in third.log.positions().collect()] == [("t", 0, 640)]

@@ -85,12 +85,43 @@ def test_rate_limit_total():
     assert max_records_per_trigger(2, 3, 4) == 24
 
 
-def test_counter_ttl_keeps_last_window_only(spark):
+def test_counter_ttl_is_the_last_life(spark):
     q = queries()
-    merged = {r.key for r in q["counter_merge"](spark, SF_SMALL).collect()}
-    alive = {r.key for r in q["counter_ttl"](spark, SF_SMALL).collect()}
-    assert alive and alive < merged
-    assert {k.split("-", 1)[1] for k in alive} == {k.split("-", 1)[1] for k in alive if k[0] == "A"}
+    merged = {(r.key, r.field): r.value for r in q["counter_merge"](spark, SF_SMALL).collect()}
+    alive = {(r.key, r.field): r.value for r in q["counter_ttl"](spark, SF_SMALL).collect()}
+    assert alive and {k for k, _ in alive} < {k for k, _ in merged}
+    assert {k[2:] for k, _ in alive} == {k[2:] for k, _ in alive if k[0] == "A"}
+    # a revived day has lost what was written before its gap, a day without a gap nothing
+    totals = [(merged[k, f], v) for (k, f), v in alive.items() if f == "total"]
+    assert any(v < all_ for all_, v in totals) and any(v == all_ for all_, v in totals)
+
+
+def test_observed_positions_and_many_partitions(spark):
+    from chargepulse.streaming.jobs import offset_tracking_job
+
+    for parts, topics in ((4, 1), (100, 1), (3, 2)):
+        rec = spark.range(1000).select(
+            F.concat(F.lit("t"), F.col("id") % topics).alias("topic"), (F.col("id") % parts).cast("int").alias("partition"),
+            F.col("id").alias("offset"), F.lit("x").alias("value"))
+        src = scratch_path(spark, "t", "observed")
+        rec.repartition(2).write.parquet(src)
+        job = offset_tracking_job(spark, scratch_path(spark, "t", "obstate"))
+        job.start(record_file_stream(spark, src), scratch_path(spark, "t", "obckpt"),
+                  trigger={"availableNow": True}).awaitTermination(600)
+        want = rec.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("o"))
+        assert _set(job.ledger_table()) == _set(want)
+
+
+def test_triggers_follow_bytes(spark):
+    src = scratch_path(spark, "t", "bytes")
+    _order_records(spark).repartition(4).write.parquet(src)
+    seen = []
+    for size in (1, 1 << 30):
+        job = order_job(spark, scratch_path(spark, "t", "bstate"), parse_ip_ranges(fx.ip_range_lines(spark, SF_SMALL)))
+        job.start(record_file_stream(spark, src, max_bytes_per_trigger=size), scratch_path(spark, "t", "bckpt"),
+                  trigger={"availableNow": True}).awaitTermination(600)
+        seen.append(len(job.batches_seen))
+    assert seen == [4, 1]
 
 
 def test_word_count_complete_mode_and_console(spark, capsys):
