@@ -117,6 +117,12 @@ def topup_quarantine(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("service_name").isNull() | (is_topup_notification() & ~_topup_valid()))
 
 
+def topup_part(parsed: DataFrame) -> DataFrame:
+    """Adds ``part``: where a row goes, ``base``, ``quarantine`` or ``other``."""
+    return parsed.withColumn("part", F.when(F.col("service_name").isNull(), "quarantine").when(
+        ~is_topup_notification(), "other").when(_topup_valid(), "base").otherwise("quarantine"))
+
+
 def other_interfaces(parsed: DataFrame) -> DataFrame:
     """Rows of other interfaces, neither base nor quarantine."""
     return parsed.where(~is_topup_notification())

@@ -83,6 +83,19 @@ def city_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select(F.concat_ws(" ", F.col("n_nationkey").cast("string"), "n_name").alias("value"))
 
 
+def damaged_city_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 with odd lines, numbered by ``pos``: every fourth code has a second line with
+    another name, every fifth lost its name and every seventh is empty."""
+    n = table(spark, sf_dir, "nation")
+    key, name = F.col("n_nationkey"), F.col("n_name")
+    line = (F.when(key % 7 == 0, F.lit("")).when(key % 5 == 0, key.cast("string"))
+            .otherwise(F.concat_ws(" ", key.cast("string"), name)))
+    first = n.select(line.alias("value"), key.cast("bigint").alias("pos"))
+    second = n.where(key % 4 == 0).select(F.concat_ws(" ", key.cast("string"), F.concat(F.lit("NEW-"), name)).alias("value"),
+                                          (key + 1000).cast("bigint").alias("pos"))
+    return first.unionByName(second)
+
+
 # F3 -- order lines "time ip goods_type detail money"
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
@@ -111,6 +124,16 @@ def ip_range_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 F.lit("x"), F.lit("x"), F.lit("x"), "n_name").alias("value"))
 
 
+def damaged_ip_range_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 with every fourth line cut to three fields and every fifth with a bad start."""
+    lines = ip_range_lines(spark, sf_dir)
+    name = F.element_at(F.split("value", r"\|"), 7)
+    key = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("_n"))
+    j = lines.join(key, name == F.col("_n"))
+    return j.select(F.when(F.col("n_nationkey") % 4 == 0, F.substring_index("value", "|", 3))
+                    .when(F.col("n_nationkey") % 5 == 0, F.concat(F.lit("999."), "value")).otherwise(F.col("value")).alias("value"))
+
+
 # F5 -- payments as JSON text
 def payment_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
@@ -124,13 +147,19 @@ def payment_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # F6 -- browse fact (mid_actlog_view_goods)
-def browse_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber",
-                                                 "l_returnflag", "l_linestatus", "l_shipdate")
+def browse_fact(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None,
+                orders: DataFrame | None = None, day: str | None = None) -> DataFrame:
+    """The fact from the test tables, or from given copies of the two large ones; with
+    ``day`` (``yyyyMMdd``) that day only, as a range of the stored time."""
+    li = lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")
+    o = orders if orders is not None else table(spark, sf_dir, "orders")
+    if day is not None:
+        begin = F.to_timestamp_ntz(F.lit(day), F.lit("yyyyMMdd"))
+        li = li.where((F.col("l_shipdate") >= begin) & (F.col("l_shipdate") < begin + F.expr("INTERVAL 1 DAY")))
+    li = li.select("l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    j = (li.join(s, li.l_suppkey == s.s_suppkey)
-         .join(o, li.l_orderkey == o.o_orderkey))
+    j = (li.join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+         .join(s, F.col("l_suppkey") == F.col("s_suppkey")))
     return j.select(
         # every fifth supplier has a code outside the dimension
         F.when(F.col("s_suppkey") % 5 == 0, F.col("s_nationkey") + 100)

@@ -209,6 +209,24 @@ ORACLE.update({
              || string_agg('"' || CAST(partition AS VARCHAR) || '":' || CAST(until_offset AS VARCHAR),
                            ',' ORDER BY partition) || '}}}}' AS starting_offsets
       FROM ({_LEDGER}) GROUP BY topic""",
+    "ledger_resume": ORACLE["daily_overview"],
+    "word_count_complete": ORACLE["word_count"],
+    "catalog_overwrite_region": ORACLE["browse_region_stats"],
+    "quarantine_append": """
+      SELECT CASE WHEN event_id % 50 <> 0 THEN strftime(ts, '%Y%m%d%H%M%S%g') || lpad(CAST(event_id AS VARCHAR), 8, '0') END
+               AS request_id,
+             CASE WHEN event_id % 50 <> 0 THEN CASE WHEN event_type = 'purchase' THEN '0000' ELSE '9999' END END AS result_code,
+             CASE WHEN event_id % 50 <> 0 THEN CAST(user_id % 30 AS VARCHAR) END AS province_code
+      FROM events WHERE event_id % 50 = 0 OR event_id % 70 = 0""",
+    "dim_line_balance": """
+      WITH c AS (
+        SELECT n_nationkey AS k, CASE WHEN n_nationkey % 7 = 0 OR n_nationkey % 5 = 0 THEN 'malformed'
+               WHEN n_nationkey % 4 = 0 THEN 'replaced' ELSE 'used' END AS reason FROM nation
+        UNION ALL SELECT n_nationkey, 'used' FROM nation WHERE n_nationkey % 4 = 0),
+      i AS (SELECT CASE WHEN n_nationkey % 4 = 0 THEN 'short' WHEN n_nationkey % 5 = 0 THEN 'bad start'
+                   ELSE 'used' END AS reason FROM nation)
+      SELECT 'city' AS file, reason, count(*) AS n FROM c GROUP BY reason
+      UNION ALL SELECT 'ip', reason, count(*) FROM i GROUP BY reason""",
     "json_append": f"SELECT * FROM ({_PAYMENT_JSON}) UNION ALL SELECT * FROM ({_PAYMENT_JSON})",
 })
 

@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from ..operators import browse as B
 from ..operators import metrics as M
 from ..operators.lookup import containment_join
-from ..operators.parse import (orders_base, other_interfaces, parse_topup_json, parse_topups,
-                               payments_base, topup_kpi_base, topup_quarantine)
+from ..operators.parse import orders_base, parse_topup_json, parse_topups, payments_base, topup_part
 from ..session import scratch_path
 from ..sources.catalog import run_named
-from ..sources.dims import parse_code_dim, parse_ip_ranges, read_code_dim, read_ip_ranges
+from ..sources.dims import (judge_code_lines, judge_ip_lines, parse_code_dim, parse_ip_ranges, read_code_dim,
+                            read_ip_ranges)
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,14 +72,10 @@ def views_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topup_quarantine_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base, quarantine and other interfaces add up to the input.  Every 50th
     record is cut short and every 70th loses its service name."""
-    records = fx.damaged_topup_json(spark, sf_dir)
-    parsed = parse_topup_json(records)
-
-    def count(df: DataFrame, part: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(part).alias("part"), "n")
-    return (count(records, "input").unionByName(count(topup_kpi_base(parsed), "base"))
-            .unionByName(count(topup_quarantine(parsed), "quarantine"))
-            .unionByName(count(other_interfaces(parsed), "other")))
+    parts = topup_part(parse_topup_json(fx.damaged_topup_json(spark, sf_dir)))
+    names = ("base", "quarantine", "other")
+    counts = parts.agg(F.count(F.lit(1)).alias("input"), *[F.count_if(F.col("part") == p).alias(p) for p in names])
+    return counts.unpivot([], ["input", *names], "part", "n")
 
 
 def browse_region_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,6 +111,14 @@ def ip_range_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "start_num", "end_num")
 
 
+def dim_line_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC4 + SRC5: lines of both dimension files by what becomes of them (damaged files)."""
+    city = judge_code_lines(fx.damaged_city_lines(spark, sf_dir), order_col="pos").withColumn("file", F.lit("city"))
+    ip = judge_ip_lines(fx.damaged_ip_range_lines(spark, sf_dir)).withColumn("file", F.lit("ip"))
+    both = city.select("file", "reason").unionByName(ip.select("file", "reason"))
+    return both.groupBy("file", F.coalesce("reason", F.lit("used")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for spec in M.TOPUP_METRICS.values():
@@ -124,12 +128,13 @@ def queries() -> dict[str, Query]:
     for spec in M.PAYMENT_METRICS.values():
         q[spec.name] = _payments(spec)
     for fn in (browse_stats, browse_region_stats, views_per_day, topup_quarantine_balance, word_count, ip_containment,
-               city_dim_parse, ip_range_parse):
+               city_dim_parse, ip_range_parse, dim_line_balance):
         q[fn.__name__] = fn
     from . import stream_queries as S
 
     for fn in (S.stream_overview, S.stream_orders, S.stream_payments, S.upsert_failures, S.upsert_province, S.upsert_hour,
-               S.counter_merge, S.counter_ttl, S.offset_ledger, S.offset_restore,
-               S.word_count_stream, S.json_append, S.catalog_overwrite):
+               S.counter_merge, S.counter_ttl, S.offset_ledger, S.offset_restore, S.ledger_resume,
+               S.word_count_stream, S.word_count_complete, S.quarantine_append, S.json_append, S.catalog_overwrite,
+               S.catalog_overwrite_region):
         q[fn.__name__] = fn
     return q

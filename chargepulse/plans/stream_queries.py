@@ -13,12 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics as M
+from ..operators.browse import browse_region_stats, browse_stats
+from ..operators.parse import parse_topup_json, topup_quarantine
 from ..session import scratch_path
+from ..sources.catalog import read_json, read_table, save_bucketed
 from ..sources.dims import parse_code_dim, parse_ip_ranges
+from ..sources.segments import record_segments, segment_stream
 from ..sources.streams import record_file_stream, text_stream
 from ..streaming.jobs import IndicatorJob, WordCountJob, offset_tracking_job, order_job, payment_job, topup_job
-from ..streaming.sinks import (append_table, create_partitioned_table, ledger_from_legacy,
-                               ledger_rows, overwrite_insert, starting_offsets_by_topic)
+from ..streaming.sinks import (append_files, append_table, create_partitioned_table, ledger_from_legacy,
+                               ledger_rows, newest_partition, overwrite_insert, starting_offsets,
+                               starting_offsets_by_topic)
 from . import fixtures as fx
 
 #: Files that make up a trigger, and the size at which the stand-in files are cut.
@@ -42,12 +47,12 @@ def _run_records(spark: SparkSession, job: IndicatorJob, records: DataFrame, nam
     return job
 
 
-def _run_lines(spark: SparkSession, job, lines: DataFrame, name: str):
+def _run_lines(spark: SparkSession, job, lines: DataFrame, name: str, **kw):
     """Write text lines as files and let the job read all of them."""
     src = scratch_path(spark, "streams", name)
     lines.write.option("maxRecordsPerFile", ROWS_PER_FILE).text(src)
     stream = text_stream(spark, src, max_bytes_per_trigger=TRIGGER_BYTES)
-    _await(job.start(stream, scratch_path(spark, "ckpt", name), trigger={"availableNow": True}))
+    _await(job.start(stream, scratch_path(spark, "ckpt", name), trigger={"availableNow": True}, **kw))
     return job
 
 
@@ -125,6 +130,25 @@ def offset_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return starting_offsets_by_topic(ledger_from_legacy(legacy))
 
 
+def ledger_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1 + SNK11 + STR4: the top-up job reads recorded segments of a topic, stops, and
+    goes on under a fresh checkpoint from the offsets of its ledger, when the topic has
+    more segments and a partition more.  Returns the daily overview: nothing lost or
+    counted twice."""
+    topic, state = scratch_path(spark, "topics", "topup"), scratch_path(spark, "state", "resumed")
+    records = fx.topup_records(spark, sf_dir).drop("ts")
+    middle = records.agg(F.floor(F.max("offset") / 2)).first()[0] or 0
+    last = F.col("partition") == 3
+    job = topup_job(spark, state, parse_code_dim(fx.city_lines(spark, sf_dir)), counters=False)
+    for run, part in enumerate((~last & (F.col("offset") <= middle), last | (F.col("offset") > middle))):
+        record_segments(records.where(part), topic, ROWS_PER_FILE)
+        start = "earliest" if run == 0 else starting_offsets(spark, job.ledger_table(), "topup")
+        stream = segment_stream(spark, topic, start)
+        _await(job.start(stream, scratch_path(spark, "ckpt", f"resumed-{run}"), trigger={"availableNow": True},
+                         resume=run > 0))
+    return job.result("daily_overview")
+
+
 # -------------------------------------------------------------- word count
 
 def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,37 +158,80 @@ def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_lines(spark, job, fx.text_lines(spark, sf_dir), "words").result()
 
 
+def word_count_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR5: word count in complete mode, each trigger giving the whole table."""
+    job = WordCountJob(spark, scratch_path(spark, "state", "words"))
+    return _run_lines(spark, job, fx.text_lines(spark, sf_dir), "words", output_mode="complete").result()
+
+
+def quarantine_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR6: malformed top-ups appended to files by a stream in append mode, whose sink
+    has a commit log of its own.  More records come after the first run, and a second
+    run goes on from the checkpoint; every malformed record is there once."""
+    src, out = scratch_path(spark, "streams", "damaged"), scratch_path(spark, "quarantine", "topup")
+    ckpt = scratch_path(spark, "ckpt", "quarantine")
+    records = fx.damaged_topup_json(spark, sf_dir)
+    late = F.pmod(F.xxhash64("value"), F.lit(2)) == 1
+    for part in (~late, late):
+        records.where(part).write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).text(src)
+        bad = topup_quarantine(parse_topup_json(text_stream(spark, src, max_bytes_per_trigger=TRIGGER_BYTES)))
+        bad = bad.select("request_id", "result_code", "province_code")
+        _await(append_files(bad, out, ckpt, {"availableNow": True}))
+    return spark.read.parquet(out)
+
+
 # ------------------------------------------------------------ file sinks
 
 def json_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC6 + SNK7: payments written as JSON lines, read back with an
-    inferred schema, appended twice to a table (rows doubled)."""
+    """SRC6 + SNK7: payments written as JSON lines, read back once with the fields'
+    schema, appended twice to a table (rows doubled)."""
     src = scratch_path(spark, "json", "payments")
-    fx.payment_json(spark, sf_dir).write.mode("overwrite").text(src)
-    from ..sources.catalog import read_json
-
-    df = read_json(spark, src)
+    fx.payment_json(spark, sf_dir).write.text(src)
+    df = read_json(spark, src, "date string, money string, phoneNum string").persist()
     name = "payments_" + src.rsplit("/", 1)[-1]
     path = scratch_path(spark, "tables", name, unique=False)
-    append_table(df, name, path)
-    append_table(read_json(spark, src), name, path)
+    try:
+        append_table(df, name, path)
+        append_table(df, name, path)
+    finally:
+        df.unpersist()
     return spark.table(name)
 
 
-def catalog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK8: browse stats inserted into a table partitioned by day, then the
-    newest day overwritten again; the other days are kept."""
-    from ..operators.browse import browse_stats
+def _mart(spark: SparkSession, name: str, stats: DataFrame) -> str:
+    """An empty table like ``stats``, partitioned by day."""
+    path = scratch_path(spark, "tables", name)
+    table = f"{name}_{path.rsplit('/', 1)[-1]}"
+    create_partitioned_table(stats, table, ["bdp_day"], path)
+    return table
 
-    fact = fx.browse_fact(spark, sf_dir)
-    stats = browse_stats(fact)
-    name = "views_by_device_" + scratch_path(spark, "x").rsplit("/", 1)[-1]
-    path = scratch_path(spark, "tables", name, unique=False)
-    create_partitioned_table(stats, name, ["bdp_day"], path)
-    overwrite_insert(stats.repartition("bdp_day"), name)
-    # Re-deliver the newest day, recomputed from the source tables (a table
-    # cannot be overwritten from a scan of itself).
-    newest = spark.table(name).agg(F.max("bdp_day")).first()[0]
+
+def catalog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK8: browse stats inserted into a table partitioned by day, then the newest day
+    computed from its own records and overwritten; the other days are kept."""
+    stats = browse_stats(fx.browse_fact(spark, sf_dir))
+    mart = _mart(spark, "views_by_device", stats)
+    overwrite_insert(stats.repartition("bdp_day"), mart)
+    newest = newest_partition(spark, mart)
     if newest is not None:
-        overwrite_insert(browse_stats(fact.where(F.col("bdp_day") == newest)), name)
-    return spark.table(name)
+        overwrite_insert(browse_stats(fx.browse_fact(spark, sf_dir, day=newest)).coalesce(1), mart)
+    return read_table(spark, mart)
+
+
+def catalog_overwrite_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC7 + JN4 + AGG13 + SNK8: the second mart.  Both large tables are saved in the
+    catalog by buckets of the order key, read from there and joined without a shuffle;
+    users and views by region go into a table partitioned by day."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = {}
+    for name, key, cols in (("lineitem", "l_orderkey", ["l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag",
+                                                        "l_linestatus", "l_shipdate"]),
+                            ("orders", "o_orderkey", ["o_orderkey", "o_custkey"])):
+        path = scratch_path(spark, "tables", name)
+        tables[name] = f"{name}_{path.rsplit('/', 1)[-1]}"
+        save_bucketed(fx.table(spark, sf_dir, name).select(*cols), tables[name], key, buckets, path)
+    fact = fx.browse_fact(spark, sf_dir, *(read_table(spark, tables[n]) for n in ("lineitem", "orders")))
+    stats = browse_region_stats(fact, fx.region_dim(spark, sf_dir))
+    mart = _mart(spark, "views_by_region", stats)
+    overwrite_insert(stats.repartition("bdp_day"), mart)
+    return read_table(spark, mart)

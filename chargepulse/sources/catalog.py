@@ -70,6 +70,16 @@ def read_table(spark: SparkSession, name: str, columns: list[str] | None = None)
     return df.select(*columns) if columns else df
 
 
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Save ``df`` as a table in ``buckets`` files sorted by ``key``, with statistics.  Tables
+    saved with the same number of buckets join on their keys without a shuffle."""
+    w = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+    df.sparkSession.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {key}")
+
+
 def read_json(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """SRC6: JSON lines file.  Without ``schema`` Spark infers it with an
     extra pass over the input; pass one for large inputs."""

@@ -45,16 +45,35 @@ def create_partitioned_table(df: DataFrame, table: str, partition_cols: list[str
 
 
 def overwrite_insert(df: DataFrame, table: str) -> None:
-    """SNK8: positional ``INSERT OVERWRITE``.  With
-    ``spark.sql.sources.partitionOverwriteMode=dynamic`` only the partitions
-    present in ``df`` are replaced; the others are kept."""
+    """SNK8: positional ``INSERT OVERWRITE`` with dynamic partitions: those present in
+    ``df`` are replaced, the others kept.  The mode is an option of this write alone, so
+    the session's setting and other writes do not matter; partitions that are new are
+    entered in the catalog."""
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    columns = spark.catalog.listColumns(table)
+    keys = [c.name for c in columns if c.isPartition]
+    if not keys:
+        raise ValueError(f"{table} has no partitions")
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(
+        (F.col("col_name") == "Location") & F.col("data_type").isNotNull()).first()["data_type"]
+    (df.toDF(*[c.name for c in columns]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*keys).parquet(place))
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
+def newest_partition(spark: SparkSession, table: str) -> str | None:
+    """Largest value of a table's one partition column, from the catalog alone."""
+    found = spark.sql(f"SHOW PARTITIONS {table}").agg(F.max("partition")).first()[0]
+    return None if found is None else found.split("=", 1)[1]
+
+
+def append_files(stream_df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """STR6: rows of a stream appended to Parquet files.  The sink keeps its own log of
+    the files of each batch, which readers of ``path`` follow, so a batch that is
+    delivered again appends nothing."""
+    return (stream_df.writeStream.outputMode("append").format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start())
 
 
 def console(stream_df: DataFrame, output_mode: str = "complete", truncate: bool = False):
