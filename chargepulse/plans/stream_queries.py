@@ -211,10 +211,10 @@ def catalog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     computed from its own records and overwritten; the other days are kept."""
     stats = browse_stats(fx.browse_fact(spark, sf_dir))
     mart = _mart(spark, "views_by_device", stats)
-    overwrite_insert(stats.repartition("bdp_day"), mart)
+    overwrite_insert(stats, mart)
     newest = newest_partition(spark, mart)
     if newest is not None:
-        overwrite_insert(browse_stats(fx.browse_fact(spark, sf_dir, day=newest)).coalesce(1), mart)
+        overwrite_insert(browse_stats(fx.browse_fact(spark, sf_dir, day=newest)), mart, tasks=1)
     return read_table(spark, mart)
 
 
@@ -233,5 +233,5 @@ def catalog_overwrite_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = fx.browse_fact(spark, sf_dir, *(read_table(spark, tables[n]) for n in ("lineitem", "orders")))
     stats = browse_region_stats(fact, fx.region_dim(spark, sf_dir))
     mart = _mart(spark, "views_by_region", stats)
-    overwrite_insert(stats.repartition("bdp_day"), mart)
+    overwrite_insert(stats, mart)
     return read_table(spark, mart)

@@ -44,11 +44,12 @@ def create_partitioned_table(df: DataFrame, table: str, partition_cols: list[str
     w.saveAsTable(table)
 
 
-def overwrite_insert(df: DataFrame, table: str) -> None:
+def overwrite_insert(df: DataFrame, table: str, tasks: int | None = None) -> None:
     """SNK8: positional ``INSERT OVERWRITE`` with dynamic partitions: those present in
     ``df`` are replaced, the others kept.  The mode is an option of this write alone, so
     the session's setting and other writes do not matter; partitions that are new are
-    entered in the catalog."""
+    entered in the catalog.  A partition is one file; ``tasks`` (default: the session's
+    shuffle partitions, not coalesced, as opening files is most of the work) write them."""
     spark = df.sparkSession
     columns = spark.catalog.listColumns(table)
     keys = [c.name for c in columns if c.isPartition]
@@ -56,7 +57,8 @@ def overwrite_insert(df: DataFrame, table: str) -> None:
         raise ValueError(f"{table} has no partitions")
     place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(
         (F.col("col_name") == "Location") & F.col("data_type").isNotNull()).first()["data_type"]
-    (df.toDF(*[c.name for c in columns]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.toDF(*[c.name for c in columns]).repartition(tasks, *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*keys).parquet(place))
     spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)

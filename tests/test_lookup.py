@@ -65,3 +65,31 @@ def test_code_name_lookup_fallback(spark):
     dim = spark.createDataFrame([("1", "Beijing"), ("2", "Shanghai")], "code string, name string")
     got = sorted(r.city for r in code_name_lookup(fact, dim, "code").collect())
     assert got == ["99", "Beijing", "Shanghai"]
+
+
+def test_floor_lookup_equals_the_range_join(spark):
+    import random
+
+    from chargepulse.operators.lookup import floor_lookup, floor_range_join
+
+    rnd = random.Random(11)
+    starts = [(rnd.randrange(1 << 32), f"p{i}") for i in range(60)] + [(5 << 16, "edge"), (5 << 16, "aaa"), (None, "none"),
+                                                                      ((1 << 32) - 1, "last"), (7 << 16, None)]
+    ranges = spark.createDataFrame(starts, "start_num long, province string")
+    nums = [rnd.randrange(1 << 32) for _ in range(500)] + [s + d for s, _ in starts if s for d in (-1, 0, 1)] + [0, None]
+    facts = spark.createDataFrame([(n, i) for i, n in enumerate(nums) if n is None or 0 <= n < 1 << 32], "ip_num long, v long")
+    for below in ("clamp", "null"):
+        want = floor_range_join(facts, "ip_num", ranges, below_first=below).select("ip_num", "v", "province")
+        got = floor_lookup(facts, "ip_num", ranges, below_first=below).select("ip_num", "v", "province")
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    none = floor_lookup(facts, "ip_num", ranges.limit(0))
+    assert {r.province for r in none.collect()} == {None}
+
+
+def test_records_do_not_meet_the_ranges(spark):
+    """Orders are summed by address before any window or join."""
+    from chargepulse.operators import metrics as M
+
+    base = spark.range(1000).select((F.col("id") % 10).alias("ip_num"), F.lit(1).cast("bigint").alias("money"))
+    ranges = spark.createDataFrame([(0, "a"), (5, "b")], "start_num long, province string")
+    assert {r.province: r.amount for r in M.ORDER_BY_PROVINCE.batch(base, {"ip_ranges": ranges}).collect()} == {"a": 500, "b": 500}
