@@ -18,8 +18,9 @@ pieces are found when the ranks are read (there are none in usual files).
 Decoding looks the ids up in the array of binary pieces and concatenates
 them, in runs of ``RUN`` and then the runs.
 
-The split pattern runs in Java's regex engine with the Unicode white-space
-set written out; letters and numbers are those of the JVM's Unicode version.
+The split pattern runs in Java's regex engine, with the Unicode white-space set
+written out and with the letters and numbers that the tiktoken library knows and
+the JVM's Unicode version does not: both are asked once, for every code point.
 
 Null text counts as empty: no ids, empty bytes.  Repeated rows give repeated
 results, an empty table an empty result.  Only the id and text columns are
@@ -30,7 +31,9 @@ up to n steps over n entries; no text is cut.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,10 +52,60 @@ NUMBERS = "array<bigint>"
 WORDS = "struct<words:array<string>,ids:array<array<int>>>"
 
 
-def java_pattern(pattern: str) -> str:
-    """``pattern`` with \\s and \\S spelled out for Java."""
-    return (pattern.replace(r"[^\s", f"[^{_SPACE}").replace(r"[\s", f"[{_SPACE}")
-            .replace(r"\s", f"[{_SPACE}]").replace(r"\S", f"[^{_SPACE}]"))
+def _ranges(chars: set[str]) -> list[tuple[int, int]]:
+    out: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return [(a, b) for a, b in out]
+
+
+@cache
+def _library_has(name: str) -> frozenset[str]:
+    """All characters of a Unicode class, as the tiktoken library splits them."""
+    import tiktoken
+
+    own = tiktoken.Encoding("class", pat_str=rf"\p{{{name}}}", mergeable_ranks={bytes([i]): i for i in range(256)},
+                            special_tokens={})
+    return frozenset(own.decode(own.encode_ordinary(_EVERY)))
+
+
+_EVERY = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+_ADDED: dict[str, str] = {}
+
+
+def unicode_class(spark: SparkSession, name: str) -> str:
+    """``\\p{name}`` for the inside of a Java class, with what Java's tables lack.  Below
+    the first added character a look at one range is enough."""
+    if name not in _ADDED:
+        java = spark.range(1).select(F.regexp_replace(F.lit(_EVERY), rf"[^\p{{{name}}}]", "")).first()[0]
+        if set(java) - _library_has(name):
+            raise ValueError("the JVM's Unicode tables are newer than the library's")
+        more = _ranges(_library_has(name) - set(java))
+        inner = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in more)
+        _ADDED[name] = rf"[\x{{{more[0][0]:X}}}-\x{{{more[-1][1]:X}}}&&[{inner}]]" if more else ""
+    return rf"\p{{{name}}}{_ADDED[name]}"
+
+
+def java_pattern(pattern: str, spark: SparkSession) -> str:
+    """``pattern`` with \\s and \\S spelled out for Java, and \\p{L} and \\p{N} as the library has them."""
+    out, inside = [], False
+    for m in re.finditer(r"\\p\{[LN]\}|\\.|.", pattern, re.S):
+        t = m[0]
+        if t in (r"\p{L}", r"\p{N}"):
+            t = unicode_class(spark, t[3]) if inside else f"[{unicode_class(spark, t[3])}]"
+        elif t == r"\s":
+            t = _SPACE if inside else f"[{_SPACE}]"
+        elif t == r"\S":
+            if inside:
+                raise ValueError("\\S inside a class")
+            t = f"[^{_SPACE}]"
+        elif t in "[]":
+            inside = t == "["
+        out.append(t)
+    return "".join(out)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -108,7 +161,7 @@ class Ranks:
     """The literals of one rank file: pairs of ids to the rank of their
     union (which is the id of the piece), byte ids, and the pieces."""
 
-    def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
+    def __init__(self, spark: SparkSession, ranks: dict[bytes, int], names: list[str] | None = None):
         self.ranks = ranks
         self.size = max(ranks.values()) + 1
         if self.size >= 1 << ID_BITS:
@@ -123,7 +176,7 @@ class Ranks:
         for piece, rank in ranks.items():
             pieces[rank] = piece
         rows, self.m, self.n = two_slots(pairs)
-        self.names: list[str] = []
+        self.names = [] if names is None else names
         self.pairs = literal(spark.createDataFrame([(rows,)], f"v {NUMBERS}"), NUMBERS, self.names)
         self.pieces = literal(spark.createDataFrame([(pieces,)], "v array<binary>"),
                               "array<binary>", self.names)
@@ -194,7 +247,8 @@ def fold_word(word: Column, ranks: Ranks) -> Column:
 
 
 def _words(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
+    """Words of a text, by a pattern for Java."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
 
 
 def _slot(word: Column) -> Column:
@@ -202,7 +256,7 @@ def _slot(word: Column) -> Column:
 
 
 def dictionary(docs: DataFrame, ranks: Ranks, pattern: str, text_col: str = "text") -> Column:
-    """Words and their ids by slot, as a literal.  Words are counted over all documents."""
+    """Words (by a pattern for Java) and their ids by slot, as a literal.  Words are counted over all documents."""
     spark = docs.sparkSession
     counts = (docs.select(F.explode(_words(F.col(text_col), pattern)).alias("word"))
               .where(F.octet_length("word") <= DICTIONARY_WORD)
@@ -237,10 +291,14 @@ def decode(ids: Column, pieces: Column) -> Column:
 def bpe(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",
         text_col: str = "text") -> DataFrame:
     """``id_col``, ids (array of int), decoded (binary) per row of ``docs``."""
-    ranks = Ranks(docs.sparkSession, read_ranks(rank_path))
-    words = dictionary(docs, ranks, pattern, text_col)
-    out = docs.select(F.col(id_col), encode(F.col(text_col), ranks, words, pattern).alias("ids"))
-    out = out.select(id_col, "ids", decode(F.col("ids"), ranks.pieces).alias("decoded"))
-    for name in ranks.names:  # the plan has the values now; the session need not keep them
-        docs.sparkSession.sql(f"DROP TEMPORARY VARIABLE {name}")
-    return out
+    spark = docs.sparkSession
+    pattern = java_pattern(pattern, spark)
+    names: list[str] = []
+    try:
+        ranks = Ranks(spark, read_ranks(rank_path), names)
+        words = dictionary(docs, ranks, pattern, text_col)
+        out = docs.select(F.col(id_col), encode(F.col(text_col), ranks, words, pattern).alias("ids"))
+        return out.select(id_col, "ids", decode(F.col("ids"), ranks.pieces).alias("decoded"))
+    finally:
+        for name in names:  # the plan has the values now; the session need not keep them
+            spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {name}")

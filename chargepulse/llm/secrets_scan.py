@@ -14,7 +14,10 @@ rule: the gaps come from ``split``, the matches from ``regexp_extract_all``.
 
 Null text counts as empty and has no spans.  Null ids stay null.  Repeated
 rows are repeated in the result; an empty table gives an empty result.
-Texts are scanned whole.  Further columns are carried only by ``redact``.
+Texts are scanned whole; matches are summed and cut in runs of ``RUN``, so that a
+text with many is no square.  A column of the result's name in the given table is
+refused.  Rules that repeat a group without a bound are refused, because the regex
+engine would recurse once for each repetition.
 """
 
 from __future__ import annotations
@@ -27,11 +30,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, let
 
 MAX_ALTERNATIVES = 64
 MAX_CLASS = 8
 WORD_BITS = 63
+#: Matches handled by one fold.
+RUN = 256
+#: Repetitions of a group from which on a rule is refused.
+MAX_REPEATS = 64
 
 
 @dataclass(frozen=True)
@@ -52,7 +59,7 @@ BASE = (
     Rule("hex", r"[0-9a-f]{32,}"),  # the same matches as [0-9a-f]+ of 32 or more
 )
 FURTHER = (
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("forge", r"gh[opsu]_[A-Za-z0-9]{36,}"),
 )
 
@@ -85,6 +92,22 @@ def _exact(nodes) -> set[str] | None:
     return out
 
 
+def _check_repeats(nodes) -> None:
+    """Refuse long repetitions of more than one character's pattern."""
+    single = (sre.LITERAL, sre.NOT_LITERAL, sre.IN, sre.ANY, sre.CATEGORY)
+    for op, arg in nodes:
+        if op in (sre.MAX_REPEAT, sre.MIN_REPEAT, sre.POSSESSIVE_REPEAT):
+            inner = list(arg[2])
+            if arg[1] > MAX_REPEATS and not (len(inner) == 1 and inner[0][0] in single):
+                raise ValueError("a rule may repeat a group only up to a small bound")
+            _check_repeats(inner)
+        elif op is sre.SUBPATTERN:
+            _check_repeats(arg[3])
+        elif op is sre.BRANCH:
+            for branch in arg[1]:
+                _check_repeats(branch)
+
+
 def trigram_query(regex: str) -> Query:
     """Conjunction of alternatives of trigram sets that every match must have."""
     def clause(runs: set[str]) -> list[list[frozenset[str]]]:
@@ -107,7 +130,9 @@ def trigram_query(regex: str) -> Query:
             if own is None and op is sre.SUBPATTERN:
                 query += walk(arg[3])
         return query + clause(runs)
-    return walk(sre_parse.parse(regex))
+    parsed = sre_parse.parse(regex)
+    _check_repeats(parsed)
+    return walk(parsed)
 
 
 def _masks(trigrams: frozenset[str], number: dict[str, int]) -> dict[int, int]:
@@ -153,6 +178,18 @@ def candidates(docs: DataFrame, key: Column, text: Column, rules: Sequence[Rule]
     return sets.select("key", kinds.alias("kinds")).where(F.size("kinds") > 0), full
 
 
+def _runs(items: Column) -> Column:
+    """An array cut into runs."""
+    return let(items, lambda whole: F.when(F.size(whole) > 0, F.transform(
+        F.sequence(F.lit(1), F.size(whole), F.lit(RUN)), lambda i: F.slice(whole, i, F.lit(RUN))))
+        .otherwise(F.slice(F.array(whole), 1, 0)))
+
+
+def _before(values: Column, plus) -> Column:
+    """For each run's value the fold of those before it, from 0."""
+    return F.aggregate(values, F.array(F.lit(0)), lambda out, v: F.concat(out, F.array(plus(F.element_at(out, -1), v))))
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """Spans (start, order, end) of one rule in a text."""
     pattern = F.lit(rule.regex)
@@ -163,14 +200,23 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
                        lambda a, b: F.struct(F.length(a).alias("gap"), F.length(b["m"]).alias("len"),
                                              F.length(b["g"]).alias("own")))
     none = F.array().cast("array<struct<start:int,kind:int,end:int,own:int>>")
-    spans = F.aggregate(
-        parts, F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda s, x: F.struct(
-            (s["at"] + x["gap"] + x["len"]).alias("at"),
-            F.concat(s["out"], F.array(F.struct(
-                (s["at"] + x["gap"]).alias("start"), F.lit(order).alias("kind"),
-                (s["at"] + x["gap"] + x["len"]).alias("end"), x["own"].alias("own")))).alias("out")),
-        lambda s: s["out"])
+
+    def placed(run: Column, begin: Column) -> Column:
+        return F.aggregate(
+            run, F.struct(begin.alias("at"), none.alias("out")),
+            lambda s, x: F.struct(
+                (s["at"] + x["gap"] + x["len"]).alias("at"),
+                F.concat(s["out"], F.array(F.struct(
+                    (s["at"] + x["gap"]).alias("start"), F.lit(order).alias("kind"),
+                    (s["at"] + x["gap"] + x["len"]).alias("end"), x["own"].alias("own")))).alias("out")),
+            lambda s: s["out"])
+
+    def width(run: Column) -> Column:
+        return F.aggregate(run, F.lit(0), lambda n, x: n + x["gap"] + x["len"])
+    # lengths are summed by run first, so that each run knows where it begins
+    spans = let(_runs(parts), lambda runs: let(
+        _before(F.transform(runs, width), lambda a, b: a + b),
+        lambda begin: F.flatten(F.transform(runs, lambda run, i: placed(run, F.get(begin, i))))))
     kept = F.filter(spans, lambda x: x["own"] >= rule.least) if rule.least else spans
     return F.when(F.regexp_like(text, pattern), F.transform(
         kept, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))))
@@ -179,6 +225,8 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
 def find_secrets(docs: DataFrame, rules: Sequence[Rule] = BASE + FURTHER, id_col: str = "doc_id",
                  text_col: str = "text", spans_col: str = "spans") -> DataFrame:
     """``docs`` with ``spans_col``: array of (start, kind as its number in ``rules``, end) by start and kind."""
+    if spans_col.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"the table has a column {spans_col} already")
     key, kinds = fresh(docs, "key"), fresh(docs, "kinds")
     text = F.coalesce(F.col(text_col), F.lit(""))
     name = F.xxhash64(F.col(id_col), text)
@@ -213,14 +261,26 @@ def redact(docs: DataFrame, rules: Sequence[Rule] = BASE + FURTHER, mark: str =
     found = find_secrets(docs, rules, id_col, text_col, spans)
     text = F.col(text_col)
     none = F.array().cast("array<string>")
-    new = F.aggregate(
-        F.col(spans), F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda s, x: F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(x["start"] >= s["at"], F.concat(s["out"], F.array(
-                F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mark))))
-            .otherwise(s["out"]).alias("out")),
-        lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text))))
+
+    def furthest(run: Column) -> Column:
+        return F.aggregate(run, F.lit(0), lambda n, x: F.greatest(n, x["end"]))
+
+    def cut(run: Column, begin: Column) -> Column:
+        """The text from ``begin`` up to the run's last span, covered stretches replaced."""
+        piece = F.substring(text, begin + 1, F.greatest(furthest(run) - begin, F.lit(0)))
+        return let(F.struct(piece.alias("piece"), begin.alias("begin")), lambda p: F.aggregate(
+            run, F.struct(p["begin"].alias("at"), none.alias("out")),
+            lambda s, x: F.struct(
+                F.greatest(s["at"], x["end"]).alias("at"),
+                F.when(x["start"] >= s["at"], F.concat(s["out"], F.array(
+                    F.substring(p["piece"], s["at"] - p["begin"] + 1, x["start"] - s["at"]), F.lit(mark))))
+                .otherwise(s["out"]).alias("out")),
+            lambda s: F.array_join(s["out"], "")))
+    new = let(_runs(F.col(spans)), lambda runs: let(
+        _before(F.transform(runs, furthest), F.greatest),
+        lambda begin: F.concat(
+            F.array_join(F.transform(runs, lambda run, i: cut(run, F.get(begin, i))), ""),
+            F.substring(text, F.element_at(begin, -1) + 1, F.length(text)))))
     some = F.size(spans) > 0
     out = found.withColumn(text_col, F.when(some, new).otherwise(text))
     if length_col in docs.columns:

@@ -39,12 +39,60 @@ CACHED_PART = 64
 MAX_MODEL = 64 << 20
 
 
+def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of the fields of a protocol buffer message."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        out = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            out |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return out
+    while at < len(data):
+        key = number()
+        kind = key & 7
+        if kind == 0:
+            yield key >> 3, number()
+            continue
+        size = {1: 8, 5: 4}.get(kind) or number()
+        yield key >> 3, data[at:at + size]
+        at += size
+
+
+#: Numbers of the public model format: fields, model types and piece types; fixed values.
+PIECES, TRAINER, NORMALIZER = 1, 2, 3
+PIECE_TYPE, USER_DEFINED = 3, 4
+MODEL_TYPE, BPE, SUFFIX_MARK = 3, 2, 24
+CHARS_MAP, DUMMY_PREFIX, REMOVE_SPACES, ESCAPE_SPACES = 2, 3, 4, 5
+
+
+def check_model(model: bytes) -> None:
+    """Refuse models whose counts would need more than merges within parts."""
+    top = list(fields(model))
+    trainer = dict(x for n, v in top if n == TRAINER for x in fields(v))
+    normal = dict(x for n, v in top if n == NORMALIZER for x in fields(v))
+    if trainer.get(MODEL_TYPE, 1) != BPE:
+        raise ValueError("only byte-pair models are supported")
+    if any(dict(fields(v)).get(PIECE_TYPE) == USER_DEFINED for n, v in top if n == PIECES):
+        raise ValueError("user-defined symbols are not supported")
+    if not normal.get(DUMMY_PREFIX, 1) or not normal.get(ESCAPE_SPACES, 1) or trainer.get(SUFFIX_MARK, 0):
+        raise ValueError("only models with a dummy prefix and space marks before words are supported")
+    if normal.get(REMOVE_SPACES, 1) or normal.get(CHARS_MAP):
+        raise ValueError("only identity normalisation that keeps extra white space is supported")
+
+
 class Merger:
     """The ranks of one model, and the counting of texts."""
 
     def __init__(self, model: bytes):
         import sentencepiece
 
+        check_model(model)
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.rank: dict[str, float] = {}
         for i in range(sp.get_piece_size()):
@@ -141,6 +189,7 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
         model = f.read(MAX_MODEL + 1)
     if len(model) > MAX_MODEL:
         raise ValueError(f"model over {MAX_MODEL} bytes")
+    Merger(model)  # refused here rather than in a task
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
