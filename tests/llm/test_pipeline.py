@@ -25,7 +25,7 @@ def test_pipeline_stages(spark):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "embeddings", "conversations"):
+    for t in ("pages", "embeddings", "conversations", "documents", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     rel = con.sql(queries.oracle_sql()[name])
     got = queries.queries()[name](spark, SF_SMALL)
@@ -36,4 +36,4 @@ def test_oracle(spark, name):
 def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
