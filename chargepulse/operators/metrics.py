@@ -38,7 +38,7 @@ class MetricSpec:
     measures: dict[str, str]                      # column -> state SQL type
     delta: Callable[[DataFrame, Ctx], DataFrame]
     result: Callable[[DataFrame, Ctx], DataFrame]
-    combine: dict[str, str] = field(default_factory=dict)   # column -> "sum"|"max"
+    combine: dict[str, str] = field(default_factory=dict)   # column -> "sum"|"max"|"or"
     state_name: str | None = None    # metrics with the same delta share one state
     key_types: dict[str, str] = field(default_factory=dict)  # of keys that are no strings
 
@@ -276,6 +276,45 @@ OFFSET_LEDGER = MetricSpec(
     combine={"until_offset": "max"}, key_types={"partition": "int"})
 
 
+# --------------------------------------------------------------------------
+# Browse facts: views and distinct users by region and day (AGG13)
+# --------------------------------------------------------------------------
+
+#: A mask holds the users whose numbers differ in their last six bits only.
+MASK_BITS = 6
+
+
+def _region_users_delta(fact: DataFrame, ctx: Ctx) -> DataFrame:
+    user = F.col("user_id").cast("bigint")
+    bit = user.bitwiseAND(F.lit((1 << MASK_BITS) - 1)).cast("int")
+    rows = fact.select(F.col("area_code").cast("bigint").alias("area_code"), "bdp_day",
+                       F.shiftright(user, MASK_BITS).alias("word"),
+                       F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("mask"))
+    return (rows.groupBy("area_code", "bdp_day", "word")
+            .agg(F.bit_or("mask").alias("mask"), F.count(F.lit(1)).alias("views")))
+
+
+def _region_users(sums: DataFrame, ctx: Ctx) -> DataFrame:
+    region = ctx["region"]
+    j = sums.join(region, sums["area_code"] == region["region_code"], "left")
+    place = [F.col("region_province_desc").alias("region_province"), F.col("region_city_desc").alias("region_city")]
+    words = (j.groupBy(*place, "bdp_day", "word")   # areas of one city share users
+             .agg(F.bit_or("mask").alias("mask"), F.sum("views").alias("views")))
+    return (words.groupBy("region_province", "region_city", "bdp_day")
+            .agg(F.coalesce(F.sum(F.bit_count("mask")), F.lit(0)).cast("bigint").alias("user_count"),
+                 F.sum("views").cast("bigint").alias("view_count"))
+            .select("region_province", "region_city", "user_count", "view_count", "bdp_day"))
+
+
+#: Users are kept as exact bit masks of 64 numbers each, which batches put together with
+#: ``or``: as small as a bitmap where numbers are dense, one row a user where they are
+#: sparse.  Areas are resolved when the result is read.
+BROWSE_REGION_USERS = MetricSpec(
+    "browse_region_users", ("area_code", "bdp_day", "word"), {"mask": "bigint", "views": "bigint"},
+    _region_users_delta, _region_users, combine={"mask": "or"},
+    key_types={"area_code": "bigint", "word": "bigint"})
+
+
 TOPUP_METRICS = {m.name: m for m in (DAILY_OVERVIEW, MINUTE_TREND, HOURLY_PROVINCE_FAILURES,
                                      PROVINCE_SUCCESS, PROVINCE_TOP10, HOURLY_AMOUNT)}
 ORDER_METRICS = {m.name: m for m in (ORDER_TOTAL, ORDER_BY_CATEGORY, ORDER_BY_PROVINCE)}

@@ -212,6 +212,7 @@ ORACLE.update({
     "ledger_resume": ORACLE["daily_overview"],
     "word_count_complete": ORACLE["word_count"],
     "catalog_overwrite_region": ORACLE["browse_region_stats"],
+    "browse_region_stream": ORACLE["browse_region_stats"],
     "quarantine_append": """
       SELECT CASE WHEN event_id % 50 <> 0 THEN strftime(ts, '%Y%m%d%H%M%S%g') || lpad(CAST(event_id AS VARCHAR), 8, '0') END
                AS request_id,

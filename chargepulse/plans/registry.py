@@ -132,7 +132,7 @@ def queries() -> dict[str, Query]:
         q[fn.__name__] = fn
     from . import stream_queries as S
 
-    for fn in (S.stream_overview, S.stream_orders, S.stream_payments, S.upsert_failures, S.upsert_province, S.upsert_hour,
+    for fn in (S.stream_overview, S.stream_orders, S.stream_payments, S.browse_region_stream, S.upsert_failures, S.upsert_province, S.upsert_hour,
                S.counter_merge, S.counter_ttl, S.offset_ledger, S.offset_restore, S.ledger_resume,
                S.word_count_stream, S.word_count_complete, S.quarantine_append, S.json_append, S.catalog_overwrite,
                S.catalog_overwrite_region):

@@ -20,7 +20,8 @@ from ..sources.catalog import read_json, read_table, save_bucketed
 from ..sources.dims import parse_code_dim, parse_ip_ranges
 from ..sources.segments import record_segments, segment_stream
 from ..sources.streams import record_file_stream, text_stream
-from ..streaming.jobs import IndicatorJob, WordCountJob, offset_tracking_job, order_job, payment_job, topup_job
+from ..streaming.jobs import (BROWSE_SCHEMA, IndicatorJob, WordCountJob, browse_job, offset_tracking_job, order_job,
+                              payment_job, topup_job)
 from ..streaming.sinks import (append_files, append_table, create_partitioned_table, ledger_from_legacy,
                                ledger_rows, newest_partition, overwrite_insert, starting_offsets,
                                starting_offsets_by_topic)
@@ -82,6 +83,22 @@ def stream_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_lines(spark, job, fx.payment_json(spark, sf_dir).select("value"), "payments").result("daily_payment")
 
 
+def browse_region_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG13 as a stream: distinct users by region and day, kept as exact bit masks.  Facts
+    of odd categories come after a first run, with the same users and days, and a second
+    run goes on from the checkpoint."""
+    src, ckpt = scratch_path(spark, "streams", "browse"), scratch_path(spark, "ckpt", "browse")
+    fact = fx.browse_fact(spark, sf_dir)
+    job = browse_job(spark, scratch_path(spark, "state", "browse"), fx.region_dim(spark, sf_dir))
+    for odd in (0, 1):
+        part = fact.where(F.col("category_id") % 2 == odd).select(F.col("area_code").cast("bigint"), "bdp_day",
+                                                                   F.col("user_id").cast("bigint"))
+        part.write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(src)
+        stream = record_file_stream(spark, src, schema=BROWSE_SCHEMA, max_bytes_per_trigger=TRIGGER_BYTES)
+        _await(job.start(stream, ckpt, trigger={"availableNow": True}))
+    return job.result("browse_region_users")
+
+
 # ------------------------------------------------------ single indicators, counters
 
 def _upsert(key: str, name: str):

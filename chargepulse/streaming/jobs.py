@@ -254,6 +254,21 @@ def payment_job(spark: SparkSession, state_root: str, clock: Clock = utc_now,
                         clock=clock, **kw)
 
 
+BROWSE_SCHEMA = "area_code bigint, bdp_day string, user_id bigint"
+
+
+def _browse_rows(facts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return facts.select("area_code", "bdp_day", "user_id", *keep)
+
+
+def browse_job(spark: SparkSession, state_root: str, region: DataFrame, clock: Clock = utc_now,
+               **kw) -> IndicatorJob:
+    """Browse facts: views and exact distinct users by region and day, as they arrive.
+    The region dimension is joined when a result is read."""
+    return IndicatorJob(spark, state_root, _browse_rows, [M.BROWSE_REGION_USERS], ctx={"region": region},
+                        clock=clock, **kw)
+
+
 # ---------------------------------------------------------------- word count
 
 class WordCountJob(StreamJob):

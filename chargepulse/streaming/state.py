@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 POSITION = "struct<topic:string,partition:int,until_offset:bigint>"
 LOG = f"query string, fold boolean, since int, clock timestamp, positions array<{POSITION}>, gen int, batch bigint"
 TIMES = {"first_update": F.min, "last_update": F.max}
+#: How measures of batches are put together.
+COMBINE = {"sum": F.sum, "max": F.max, "or": F.bit_or}
 
 
 def read_folder(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -109,8 +111,8 @@ class CommitLog:
 class KeyedState:
     """A keyed table of additive measures, folded from deltas when it is read.
 
-    ``measures`` maps column -> SQL type; ``combine`` maps column -> ``sum`` (default) or
-    ``max``.  ``ttl`` with ``ttl_keys`` (the columns of one expiring group; default all
+    ``measures`` maps column -> SQL type; ``combine`` maps column -> ``sum`` (default),
+    ``max`` or ``or`` (bit masks).  ``ttl`` with ``ttl_keys`` (the columns of one expiring group; default all
     keys) enables expiry.  States of one job share its ``log``.
     """
 
@@ -135,10 +137,12 @@ class KeyedState:
         kw.setdefault("key_types", spec.key_types)
         return cls(spark, f"{root.rstrip('/')}/{spec.store}", spec.keys, spec.measures, spec.combine, **kw)
 
+    def _combined(self) -> list:
+        return [COMBINE[self.combine.get(m, "sum")](m).cast(t).alias(m) for m, t in self.measures.items()]
+
     def _sum(self, df: DataFrame) -> DataFrame:
-        aggs = [(F.max if self.combine.get(m) == "max" else F.sum)(m).cast(t).alias(m) for m, t in self.measures.items()]
         block = ["_block"] if self.ttl is not None else []
-        return df.groupBy(*self.keys, *block).agg(*aggs, *[f(t).alias(t) for t, f in TIMES.items()])
+        return df.groupBy(*self.keys, *block).agg(*self._combined(), *[f(t).alias(t) for t, f in TIMES.items()])
 
     # ------------------------------------------------------------------ read
     def _rows(self, before: int | None = None) -> DataFrame:
@@ -155,8 +159,7 @@ class KeyedState:
         if self.ttl is not None:
             now = now or self.log.clock()
             rows = self.last_life(rows, now) if now else rows
-            rows = rows.groupBy(*self.keys).agg(*[(F.max if self.combine.get(m) == "max" else F.sum)(m).cast(t).alias(m)
-                                                  for m, t in self.measures.items()], F.max("last_update").alias("last_update"))
+            rows = rows.groupBy(*self.keys).agg(*self._combined(), F.max("last_update").alias("last_update"))
         return rows.select(*self.keys, *self.measures, "last_update")
 
     def last_life(self, rows: DataFrame, now: dt.datetime) -> DataFrame:
