@@ -25,7 +25,8 @@ the JVM's Unicode version does not: both are asked once, for every code point.
 Null text counts as empty: no ids, empty bytes.  Repeated rows give repeated
 results, an empty table an empty result.  Only the id and text columns are
 read, so further columns of any name do not matter.  A word of n bytes costs
-up to n steps over n entries; no text is cut.
+up to n steps; a step looks at all symbols of a word of up to ``LONG_WORD`` bytes
+and at about sqrt(n) of a longer one, kept in blocks.  No text is cut.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, stored
+from .common import stored
 
 #: Unicode White_Space, as the inside of a Java character class.
 _SPACE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -46,12 +47,20 @@ SLOTS = 1 << 19
 DICTIONARY_WORD = 32
 MAX_RANK_FILE = 64 << 20
 RUN = 256
+#: Words of more bytes are folded by blocks.
+LONG_WORD = 256
 ID_BITS = 20
 NO_PAIR = (1 << 40) - 1
 NUMBERS = "array<bigint>"
 WORDS = "struct<words:array<string>,ids:array<array<int>>>"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once.  An aggregate hands its state on as it
+    is; a transform would copy the result, with all that is nested in it."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda own, _: own, body)
+
+
 def _ranges(chars: set[str]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for c in sorted(map(ord, chars)):
@@ -214,32 +223,107 @@ def _symbol(own: Column, rank: Column) -> Column:
     return F.shiftleft(rank, ID_BITS).bitwiseOR(own)
 
 
-def fold_word(word: Column, ranks: Ranks) -> Column:
-    """Ids of one non-empty word, by folding ranked merges over its bytes."""
+def _at(array: Column, i: Column) -> Column:
+    """Entry ``i`` of an array, from 0; null outside."""
+    return F.when(i >= 0, F.get(array, i))
+
+
+def _merge(s: Column, i: Column, low: Column, beyond: Column | None, ranks: Ranks) -> Column:
+    """Symbols ``i`` and ``i + 1`` of ``s``, from 0, become the one of id ``low`` (the rank of
+    the pair); ``beyond`` is the symbol that follows ``s``, if there may be one."""
+    after = F.get(s, i + 2) if beyond is None else F.coalesce(F.get(s, i + 2), beyond)
+    return F.transform(F.filter(s, lambda x, j: j != i + 1), lambda x, j: F.when(
+        j == i - 1, _symbol(_id(x), ranks.of(_id(x), low))).when(
+        j == i, _symbol(low, F.when(after.isNotNull(), ranks.of(low, _id(after))).otherwise(F.lit(NO_PAIR))))
+        .otherwise(x))
+
+
+def _lowest(ranks_: Column) -> Column:
+    """The lowest rank of an array and its first position, from 0."""
+    return let(F.array_min(ranks_), lambda low: F.struct(
+        low.alias("low"), (F.array_position(ranks_, low) - 1).cast("int").alias("at")))
+
+
+def _cut(s: Column, i: Column, n: Column) -> Column:
+    """``n`` entries from entry ``i`` on, from 0."""
+    return F.slice(s, i + 1, n)
+
+
+def _rank(s: Column) -> Column:
+    return F.transform(s, lambda x: F.shiftright(x, ID_BITS))
+
+
+def _block(s: Column) -> Column:
+    return F.struct(F.shiftright(F.array_min(s), ID_BITS).alias("low"), s.alias("s"))
+
+
+def _fold_short(start: Column, n: Column, ranks: Ranks) -> Column:
+    """Symbols after all merges; a step looks at all symbols."""
+    def step(s: Column, _i: Column) -> Column:
+        low = F.shiftright(F.array_min(s), ID_BITS)
+        at = F.array_position(_rank(s), low) - 1
+        return F.when(low < NO_PAIR, let(F.struct(low.alias("low"), at.cast("int").alias("at")),
+                                         lambda p: _merge(s, p["at"], p["low"], None, ranks))).otherwise(s)
+    return F.aggregate(F.sequence(F.lit(1), n), start, step)
+
+
+def _fold_long(start: Column, n: Column, ranks: Ranks) -> Column:
+    """The same by blocks that know their lowest rank: a step looks at one number of each
+    block and at the symbols of up to three blocks, of sqrt(n) / 3 each."""
+    none = F.array().cast(NUMBERS)
+
+    def step(blocks: Column, _i: Column) -> Column:
+        return let(_lowest(blocks["low"]), lambda p: F.when(
+            p["low"] < NO_PAIR, merged(blocks, p["low"], p["at"])).otherwise(blocks))
+
+    def merged(blocks: Column, low: Column, k: Column) -> Column:
+        def inside(b: Column) -> Column:
+            at = (F.array_position(_rank(b), low) - 1).cast("int")
+            # the block before matters if the pair begins the block, the next ones if it reaches its end
+            return let(at, lambda i: let(F.struct(
+                b.alias("b"), i.alias("at"),
+                F.when(i == 0, F.coalesce(_at(blocks, k - 1)["s"], none)).otherwise(none).alias("a"),
+                F.when(i + 2 >= F.size(b), F.coalesce(F.get(blocks, k + 1)["s"], none)).otherwise(none).alias("c")), rebuilt))
+
+        def rebuilt(w: Column) -> Column:
+            na, nb, nc = F.size(w["a"]), F.size(w["b"]), F.size(w["c"])
+            beyond = F.when(nc > 0, F.get(F.get(blocks, k + 2)["s"], F.lit(0)))
+            i = na + w["at"]
+            before = F.least(i, F.lit(1))   # symbols before the pair that change
+
+            def joined(s: Column) -> Column:
+                near = let(_cut(s, i - before, before + 3), lambda x: _merge(x, before, low, beyond, ranks))
+                return F.concat(_cut(s, F.lit(0), i - before), near, _cut(s, i + 3, F.size(s)))
+
+            # the pair's own block gets one symbol less, its neighbours keep their sizes
+            new = let(let(F.concat(w["a"], w["b"], w["c"]), joined), lambda x: F.filter(F.array(
+                _block(_cut(x, F.lit(0), na)), _block(_cut(x, na, nb - 1)), _block(_cut(x, na + nb - 1, nc))),
+                lambda b: F.size(b["s"]) > 0))
+            first, last = k - F.least(na, F.lit(1)), k + F.least(nc, F.lit(1))
+            return F.concat(_cut(blocks, F.lit(0), first), new, _cut(blocks, last + 1, F.size(blocks)))
+        return let(F.get(blocks, k)["s"], inside)
+
+    width = F.greatest(F.lit(1), (F.sqrt(n) / 3).cast("int"))   # symbols cost more than blocks
+    blocks = let(start, lambda s: F.transform(F.sequence(F.lit(1), n, width), lambda i: _block(F.slice(s, i, width))))
+    return F.flatten(F.transform(F.aggregate(F.sequence(F.lit(1), n), blocks, step), lambda b: b["s"]))
+
+
+def fold_word(word: Column, ranks: Ranks, long_word: int = LONG_WORD) -> Column:
+    """Ids of one non-empty word, by folding ranked merges over its bytes; words of over
+    ``long_word`` bytes by blocks, with the same result."""
     def start(b: Column) -> Column:
         ids = F.transform(F.sequence(F.lit(1), F.length(b)), lambda i: F.get(
             ranks.bytes, F.ascii(F.substring(b, i, F.lit(1)))).cast("long"))
         return let(ids, lambda x: F.transform(x, lambda a, i: _symbol(a, F.coalesce(
             F.when(i + 1 < F.size(x), ranks.of(a, F.get(x, i + 1))), F.lit(NO_PAIR)))))
 
-    def joined(s: Column, low: Column, i: Column) -> Column:
-        # symbols i and i + 1, from 0, become one; its id is the rank of the pair
-        after = F.get(s, i + 2)
-        return F.transform(F.filter(s, lambda x, j: j != i + 1), lambda x, j: F.when(
-            j == i - 1, _symbol(_id(x), ranks.of(_id(x), low))).when(
-            j == i, _symbol(low, F.when(after.isNotNull(), ranks.of(low, _id(after))).otherwise(F.lit(NO_PAIR))))
-            .otherwise(x))
-
-    def step(s: Column, _i: Column) -> Column:
-        low = F.shiftright(F.array_min(s), ID_BITS)
-        at = F.array_position(F.transform(s, lambda x: F.shiftright(x, ID_BITS)), low) - 1
-        return F.when(low < NO_PAIR, let(F.struct(low.alias("low"), at.cast("int").alias("at")),
-                                         lambda p: joined(s, p["low"], p["at"]))).otherwise(s)
+    def fold(b: Column) -> Column:
+        n = F.length(b)
+        symbols = F.when(n > long_word, _fold_long(start(b), n, ranks)).otherwise(_fold_short(start(b), n, ranks))
+        return F.transform(symbols, lambda x: _id(x).cast("int"))
 
     # one character for each byte, so that substring and ascii see bytes
-    folded = let(F.decode(word.cast("binary"), "ISO-8859-1"), lambda b: F.aggregate(
-        F.sequence(F.lit(1), F.length(b)), start(b), step,
-        lambda s: F.transform(s, lambda x: _id(x).cast("int"))))
+    folded = let(F.decode(word.cast("binary"), "ISO-8859-1"), fold)
     if ranks.odd is None:
         return folded
     own = F.try_element_at(ranks.odd, word)
