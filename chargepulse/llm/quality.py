@@ -8,8 +8,8 @@ the largest remaining gain get two-dimensional tables the same way.  A score
 is the sigmoid of the intercept plus the looked-up bins, added up in arrays.
 
 Training rows: labelled documents that are not held out, at most about
-``TRAIN_ROWS`` of them, chosen by a hash of the id (a documented bound; all
-documents are scored).  Documents of one id share the weight of its label
+``TRAIN_ROWS`` of them, chosen by 63 bits of a hash of the id (a documented
+bound; all documents are scored; if no id is chosen, training raises).  Documents of one id share the weight of its label
 rows, and equal features are one training row.  If ids are repeated with so
 many different texts that the rows would pass the bound, an id's rows are put
 by a hash into as many slots as the bound leaves, and one row stands for its
@@ -208,9 +208,12 @@ def train(featured: DataFrame, labels: DataFrame, id_col: str, features_col: str
     """A model from at most about ``rows`` labelled rows that are not held out."""
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
              .select(id_col, F.col(label_col).cast("double").alias("y")))
-    share = min(1.0, rows / max(1, known.count()))
-    chosen = (known.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(share * (1 << 20)))
-              .groupBy(id_col).agg(F.avg("y").alias("y"), F.count("*").alias("n_labels")))
+    n_known = known.count()
+    if n_known > rows:  # of the 2^63 values of the hash, the share that leaves about ``rows`` rows
+        known = known.where(F.shiftrightunsigned(F.xxhash64(id_col), 1) < F.lit(rows * 2 ** 63 // n_known))
+    chosen = known.groupBy(id_col).agg(F.avg("y").alias("y"), F.count("*").alias("n_labels"))
+    if n_known > rows and chosen.isEmpty():
+        raise ValueError(f"no training row is left of {n_known}: too few different ids are labelled")
     # distinct features of the labelled ids with their number of rows, before anything is joined or collected
     own = (featured.join(chosen.select(id_col), id_col, "left_semi")
            .groupBy(id_col, features_col).agg(F.count("*").alias("n_rows")))
