@@ -3,6 +3,7 @@ ties, repeated rows, empty tables and further columns of clashing names."""
 
 import base64
 import hashlib
+import math
 import random
 import re
 import struct
@@ -18,6 +19,7 @@ from chargepulse.llm import (bpe_fold, chat_format, chat_template, decontaminate
                              simhash, token_count, token_files, topk, url_rules)
 
 
+SF_MID = "/root/testdata/sf0.01"
 WORDS = "the of and to in that it was for on are with as his they at be this have from".split()
 
 
@@ -188,6 +190,29 @@ def test_url_rules(spark):
         best = max(fits, key=lambda r: (r.host.count("."), len(r.path)), default=None)
         assert (host, path, rule, verdict) == (h, p, best and best.name, best.verdict if best else "allow")
     assert url_rules.judge_urls(pages.limit(0), queries.URL_RULES).count() == 0
+    joined = url_rules.judge_urls(pages, queries.URL_RULES, max_trie=10).collect()
+    assert sorted(map(tuple, joined)) == sorted(got)
+    assert url_rules.judge_urls(pages.limit(0), queries.URL_RULES, max_trie=10).count() == 0
+
+
+def test_url_rules_beyond_the_trie(spark):
+    """A broadcast trie and the joins judge alike: random rules, ties, empty hosts and paths, deep rules."""
+    rng = random.Random(4)
+    hosts = ["", "a", "b.a", "c.b.a", "net", ".net", "a.", "x.y.z.net"]
+    paths = ["", "/", "/p", "/p/", "/p/q", "/p/qr", "/p/q/", "//", "/é/日", "p"]
+    rules = [url_rules.Rule(rng.choice(["allow", "block"]), rng.choice(hosts), rng.choice(paths)) for _ in range(60)]
+    rules += [url_rules.Rule("block", ".".join("d" * 2000), "/e" * 2000)]
+    urls = [f"h://{rng.choice(['', 'w.', '.'])}{rng.choice(hosts)}{rng.choice(paths[1:-1])}{rng.choice(['', 'q', '/r', '?/p'])}"
+            for _ in range(400)] + [None, "h://f." + ".".join("d" * 2000) + "/e" * 2000 + "/g"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for some in (rules, [r for r in rules if r.host], []):
+        in_trie = sorted(url_rules.judge_urls(pages, some, "block").collect())
+        by_join = sorted(url_rules.judge_urls(pages, some, "block", max_trie=-1).collect())
+        assert in_trie == by_join
+        for _, host, path, rule, verdict in in_trie:
+            fits = [r for r in some if (not r.host or host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+            best = max(fits, key=lambda r: (len(r.host.split(".")) if r.host else 0, len(r.path)), default=None)
+            assert (rule, verdict) == ((best.name, best.verdict) if best else (None, "block"))
 
 
 # ------------------------------------------------------------ 5 token files
@@ -269,6 +294,37 @@ def test_quality_model(spark, docs):
     assert quality.score_quality(df.limit(0), lab).count() == 0
 
 
+def test_quality_scores_by_hand(spark):
+    """Scores added up bin by bin in plain loops; the held-out rows of the given labels are told apart."""
+    docs, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
+    featured = quality.with_features(docs.select("doc_id", "text"), "text", "features")
+    model = quality.train(featured, labels, "doc_id", "features")
+    of_id = {r.doc_id: r for r in quality.score_quality(docs, labels).collect()}
+    rows = featured.collect()
+    assert len(of_id) == len(rows) == docs.count()
+    for r in rows:
+        at = [sum(cut <= x for cut in cuts) for cuts, x in zip(model.cuts, r.features)]
+        total = model.base + sum(table[k] for table, k in zip(model.tables, at))
+        total += sum(table[at[a]][at[b]] for a, b, table in model.pairs)
+        assert of_id[r.doc_id].score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+    held = [(of_id[r.doc_id].score, r.quality) for r in labels.collect()
+            if r.quality is not None and r.doc_id in of_id and of_id[r.doc_id].held_out]
+    good, bad = [s for s, y in held if y == 1], [s for s, y in held if y == 0]
+    auc = sum((a > b) + (a == b) / 2 for a in good for b in bad) / (len(good) * len(bad))
+    assert auc > 0.95, (auc, len(good), len(bad))
+
+
+def test_training_rows_of_very_many_labels(spark):
+    """The share of chosen rows may be tiny, but never rounds to nothing unseen."""
+    rows = [(i, [float(i % 2)] * len(quality.FEATURES)) for i in range(4000)]
+    featured = spark.createDataFrame(rows, "doc_id long, features array<double>")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, quality int")
+    assert not quality.train(featured, labels, "doc_id", "features", rows=300).empty
+    same = spark.range(1 << 16).select(F.lit(1).cast("long").alias("doc_id"), F.lit(1).alias("quality"))
+    with pytest.raises(ValueError, match="no training row"):
+        quality.train(featured, same, "doc_id", "features", rows=1)
+
+
 def test_training_rows_of_a_repeated_id(spark, monkeypatch):
     """One labelled id over most of the rows neither passes the bound nor outweighs the other labels."""
     seen = []
