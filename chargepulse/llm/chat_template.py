@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, is_dataclass
 
 Piece = tuple[str, bool]
 _TAG = re.compile(r"\{\{(.*?)\}\}|\{%(.*?)%\}", re.S)
@@ -367,6 +367,26 @@ def _step(node, filters) -> Callable[[dict, bool], Iterator[Piece]]:
     return loop
 
 
+def _names(node) -> Iterator[str]:
+    """All variables that a part of the tree reads."""
+    if isinstance(node, Name):
+        yield node.name
+    elif isinstance(node, (list, tuple)):
+        for part in node:
+            yield from _names(part)
+    elif is_dataclass(node):
+        for f in fields(node):
+            yield from _names(getattr(node, f.name))
+
+
+def by_item(source: str, filters: Mapping[str, Callable[[str], str]], sequence: str) -> bool:
+    """Whether the output for ``sequence`` is that of its items one after the other: the
+    whole template is a loop over it that looks neither at its place nor at the sequence."""
+    nodes = fold_block(parse(source), filters)
+    return (len(nodes) == 1 and isinstance(nodes[0], For) and nodes[0].of == Name(sequence)
+            and not {"loop", sequence} & set(_names(nodes[0].body)))
+
+
 def compile_template(source: str, filters: Mapping[str, Callable[[str], str]]) -> Callable[..., Iterator[Piece]]:
     """A function of the template's variables that yields (text, generated) pieces."""
     run = _block(fold_block(parse(source), filters), filters)

@@ -368,6 +368,36 @@ def test_chat_round_trip(spark):
     assert chat_format.format_and_read(df.limit(0)).count() == 0
 
 
+def test_hot_conversation_is_rendered_by_several_tasks(spark):
+    """One conversation of most turns, with equal turns, over several tasks; the text is that of one task."""
+    rows = [(7, i % 5000, "assistant" if i % 2 else "user", f"turn {i % 9} \\ " + "é" * (i % 50)) for i in range(12_000)]
+    rows += [(c, 0, "user", "x") for c in range(40)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = chat_format.format_conversations(df).where("conv_id = 7").orderBy("chunk").collect()
+        whole = chat_format.format_conversations(df, chat_format.TEMPLATE + "{{ none }}").where("conv_id = 7").orderBy("chunk").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r.chunk >> 32 for r in out}) > 3
+    assert "".join(r.text for r in out) == "".join(r.text for r in whole)
+    got = {r.conv_id: r for r in chat_format.format_and_read(df).collect()}
+    own = sorted(r for r in rows if r[0] == 7)
+    assert len(got) == 40 and got[7].n_turns == len(own)
+    assert got[7].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in own).encode()).hexdigest()
+    loss = "".join(t for _, _, r, t in own if r == "assistant")
+    assert (got[7].loss_chars, got[7].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def test_templates_that_render_turn_by_turn():
+    def one(source):
+        return chat_template.by_item(source, chat_format.FILTERS, "messages")
+    assert one(chat_format.TEMPLATE) and one("{% for m in messages %}{% for p in m.parts %}{{ p }}{% endfor %}{% endfor %}")
+    for other in ("a{% for m in messages %}{{ m.text }}{% endfor %}", "{% for m in messages %}{% if loop.last %}x{% endif %}{% endfor %}",
+                  "{% for m in others %}{{ m.text }}{% endfor %}", "{% for m in messages %}{% for n in messages %}x{% endfor %}{% endfor %}", ""):
+        assert not one(other)
+
+
 def test_template_language():
     run = chat_template.compile_template(
         "{% for m in ms %}{% if loop.first and not m.x %}<{% elif 'a' ~ 'b' == 'ab' %},{% endif %}{{ m.t | up }}"
