@@ -14,8 +14,9 @@ group members are sorted by (group, Gray rank) into range partitions, which
 splits a group of any size; consecutive members form leaves, whose shared
 masked bit patterns form upper nodes, and two nodes are compared only if the
 bits fixed in both differ in ``distance`` places at most.  A group that spans
-several blocks is finished by a join of its blocks, dealt over ``SALT``
-squared cells and pruned by the blocks' patterns.  From each comparison only a
+several blocks is finished by a join of its blocks, pruned by the blocks'
+patterns and dealt over cells: as many, squared, as leave about ``CELL``
+blocks on each side of a cell, and at least ``SALT`` squared.  From each comparison only a
 spanning set of the links is kept, which leaves the components unchanged.
 
 Components are found by rounds of contraction over written tables; nothing
@@ -47,6 +48,7 @@ MAX_DISTANCE = 4
 LEAF = 64
 BLOCK = 16384
 SALT = 6
+CELL = 8
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -265,10 +267,12 @@ def links(nodes: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
                    .select("grp", "fp").mapInArrow(_link_runs(distance), _FOUND), "simhash-links")
     one = F.aggregate("members", F.lit(-1).cast("long"), lambda s, x: s.bitwiseAND(x))
     some = F.aggregate("members", F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(x))
-    blocks = found.where(F.col("members").isNotNull()).select(
-        "grp", "members", F.get("members", F.lit(0)).alias("head"), one.alias("one"),
-        F.bitwise_not(some).alias("none"), F.pmod(F.hash("members"), F.lit(SALT)).alias("cell"))
-    cells = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
+    whole = found.where(F.col("members").isNotNull())
+    salts = whole.groupBy("grp").agg(F.greatest(F.lit(SALT), F.ceil(F.count("*") / CELL).cast("int")).alias("salt"))
+    blocks = whole.join(salts, "grp").select(
+        "grp", "members", "salt", F.get("members", F.lit(0)).alias("head"), one.alias("one"),
+        F.bitwise_not(some).alias("none"), F.pmod(F.hash("members"), F.col("salt")).alias("cell"))
+    cells = F.explode(F.sequence(F.lit(0), F.col("salt") - 1))
     left = blocks.select("*", cells.alias("other")).alias("l")
     right = blocks.select("*", cells.alias("other")).alias("r")
     differ = (F.col("l.one").bitwiseAND(F.col("r.none"))).bitwiseOR(F.col("l.none").bitwiseAND(F.col("r.one")))

@@ -118,6 +118,7 @@ def test_simhash_groups(docs):
 @pytest.mark.parametrize("block", [16, 16384])
 def test_links_across_blocks_and_chains(spark, monkeypatch, block):
     monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "CELL", 8 if block > 16 else 0.25)  # more cells than SALT
     rng = random.Random(3)
     prints = set()
     for _ in range(6):  # chains of steps of up to four bits, and lone prints
