@@ -21,12 +21,11 @@ def java_split_tokens(col, sep: str = " ") -> Column:
     import re
 
     c = _c(col)
-    esc = re.escape(sep)
+    kept = F.rtrim(c, F.lit(sep))
     return (
         F.when(c == "", F.array(F.lit("")))
-        .when(F.regexp_replace(c, f"{esc}+\\z", "") == "",
-              F.array().cast("array<string>"))
-        .otherwise(F.split(F.regexp_replace(c, f"{esc}+\\z", ""), esc))
+        .when(kept == "", F.array().cast("array<string>"))
+        .otherwise(F.split(kept, re.escape(sep)))
     )
 
 
