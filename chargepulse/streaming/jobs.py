@@ -276,12 +276,14 @@ class WordCountJob(StreamJob):
 
     Spark's own state store keeps the running counts; each trigger's changed
     rows (``update`` mode) or the whole table (``complete`` mode) carry
-    absolute counts, folded with ``max`` as counts only grow.
+    absolute counts, folded with ``max`` as counts only grow.  A whole table
+    stands for all before it, so reading takes the newest one alone.
     """
 
     def __init__(self, spark: SparkSession, state_root: str, clock: Clock = utc_now, fold_every: int = 20):
         super().__init__(spark, f"{state_root.rstrip('/')}/word_count", clock)
         self.fold_every = fold_every
+        self.whole = False
         self.state = KeyedState(spark, f"{self.state_root}/table", ["value"], {"count": "bigint"},
                                 combine={"count": "max"}, fold_every=fold_every, log=self.log)
 
@@ -291,12 +293,13 @@ class WordCountJob(StreamJob):
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
         now = self.clock(batch_id)
-        self.log.commit(batch_id, self.state.write(batch, batch_id, now), now)
+        self.log.commit(batch_id, self.state.write(batch, batch_id, now, summed=True, whole=self.whole), now)
 
     def start(self, lines: DataFrame, checkpoint: str, output_mode: str = "update", trigger: dict | None = None,
               reset_state: bool = False) -> StreamingQuery:
         """Start the stream.  A new checkpoint takes its number of state store partitions
         from ``spark.sql.shuffle.partitions`` of the session that read ``lines``."""
+        self.whole = output_mode == "complete"
         return self._start(self.counts(lines).writeStream.outputMode(output_mode), checkpoint, trigger, None, False,
                            reset_state)
 

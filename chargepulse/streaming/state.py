@@ -26,6 +26,7 @@ blocks.  Sums, first and last times add up over batches in any order.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -79,8 +80,11 @@ class CommitLog:
                              "start from its ledger with resume=True, with reset_state=True, or elsewhere")
 
     def commit(self, batch: int, fold: bool, clock: dt.datetime, positions: Sequence[tuple] = ()) -> None:
-        row = [(self.query, fold, self.since, clock, list(positions))]
-        (self.spark.createDataFrame(row, LOG.rsplit(", gen", 1)[0]).coalesce(1)
+        reached = json.dumps([dict(zip(("topic", "partition", "until_offset"), p, strict=True)) for p in positions])
+        row = [F.lit(self.query), F.lit(fold), F.lit(self.since), F.lit(clock), F.from_json(F.lit(reached), f"array<{POSITION}>")]
+        names = [c.split()[0] for c in LOG.split(", ")]
+        # literals, so that no Python worker takes part in a batch's commit
+        (self.spark.range(0, 1, 1, 1).select(*[v.alias(n) for v, n in zip(row, names, strict=False)])
          .write.mode("overwrite").parquet(f"{self.path}/gen={self.gen}/batch={batch}"))
 
     def valid(self, before: int | None = None, after_fold: bool = True) -> DataFrame:
@@ -178,20 +182,23 @@ class KeyedState:
         return rows.join(lives, on, "left_semi").drop("_group")
 
     # ----------------------------------------------------------------- write
-    def write(self, delta: DataFrame, batch_id: int, now: dt.datetime) -> bool:
+    def write(self, delta: DataFrame, batch_id: int, now: dt.datetime, summed: bool = False,
+              whole: bool = False) -> bool:
         """Write the batch's delta, not yet committed; returns whether it holds a fold.
         ``delta`` has keys and measures, any number of rows per key, and may have the
         times of its writes as ``first_update`` and ``last_update``, at most a quarter of
-        the ttl apart; else ``now`` is the time of all."""
+        the ttl apart; else ``now`` is the time of all.  A ``summed`` delta has one row per
+        key; a ``whole`` one has the final measures of every key, so it is a fold and no
+        older batch is read."""
         at = F.lit(_aware(now)).cast("timestamp")
         times = [F.coalesce(F.col(t), at).alias(t) if t in delta.columns else at.alias(t) for t in TIMES]
         d = delta.select(*self.keys, *[F.col(m).cast(t).alias(m) for m, t in self.measures.items()], *times)
         if self.ttl is not None:
             half = int(self.ttl / dt.timedelta(microseconds=2))
             d = d.withColumn("_block", F.floor(F.unix_micros("first_update") / F.lit(half)).cast("bigint"))
-        d = self._sum(d)
-        fold = (batch_id + 1) % self.fold_every == 0
-        if fold:
+        d = d if summed else self._sum(d)
+        fold = whole or (batch_id + 1) % self.fold_every == 0
+        if fold and not whole:
             older = self._rows(before=batch_id)
             if self.ttl is not None:
                 older = self.last_life(older, now)
