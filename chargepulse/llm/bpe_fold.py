@@ -34,8 +34,8 @@ from __future__ import annotations
 import base64
 import re
 import uuid
-from functools import cache
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,38 +61,50 @@ def let(value: Column, body) -> Column:
     return F.aggregate(F.array().cast("array<int>"), value, lambda own, _: own, body)
 
 
-def _ranges(chars: set[str]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for c in sorted(map(ord, chars)):
-        if out and out[-1][1] == c - 1:
-            out[-1][1] = c
-        else:
-            out.append([c, c])
-    return [(a, b) for a, b in out]
+def _code_points(chars: str) -> np.ndarray:
+    return np.frombuffer(chars.encode("utf-32-le"), dtype="<u4")
 
 
-@cache
-def _library_has(name: str) -> frozenset[str]:
-    """All characters of a Unicode class, as the tiktoken library splits them."""
+def _ranges(points: np.ndarray) -> list[tuple[int, int]]:
+    """First and last of each run of ascending numbers."""
+    cuts = np.flatnonzero(np.diff(points.astype(np.int64)) != 1) + 1
+    return [(int(run[0]), int(run[-1])) for run in np.split(points, cuts) if len(run)]
+
+
+_EVERY = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+_ADDED: dict[str, str] = {}
+
+
+def _library_text(name: str) -> str:
+    """All characters of a Unicode class, as the tiktoken library splits them, in order."""
     import tiktoken
 
     own = tiktoken.Encoding("class", pat_str=rf"\p{{{name}}}", mergeable_ranks={bytes([i]): i for i in range(256)},
                             special_tokens={})
-    return frozenset(own.decode(own.encode_ordinary(_EVERY)))
+    return own.decode(own.encode_ordinary(_EVERY))
 
 
-_EVERY = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-_ADDED: dict[str, str] = {}
+def _library_has(name: str) -> frozenset[str]:
+    return frozenset(_library_text(name))
+
+
+def _java_text(spark: SparkSession, name: str) -> str:
+    """All characters of a Unicode class, as the JVM has them, in order.  The characters are made from
+    their numbers: as a literal, all of them would stand in the plan and in each of its descriptions."""
+    points = spark.range(0x110000).where(~F.col("id").between(0xD800, 0xDFFF))
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    inside = points.select(char.alias("c")).where(F.col("c").rlike(rf"^\p{{{name}}}$"))
+    return inside.agg(F.array_join(F.array_sort(F.collect_list("c")), "")).first()[0]
 
 
 def unicode_class(spark: SparkSession, name: str) -> str:
     """``\\p{name}`` for the inside of a Java class, with what Java's tables lack.  Below
     the first added character a look at one range is enough."""
     if name not in _ADDED:
-        java = spark.range(1).select(F.regexp_replace(F.lit(_EVERY), rf"[^\p{{{name}}}]", "")).first()[0]
-        if set(java) - _library_has(name):
+        java, library = _code_points(_java_text(spark, name)), _code_points(_library_text(name))
+        if len(np.setdiff1d(java, library)):
             raise ValueError("the JVM's Unicode tables are newer than the library's")
-        more = _ranges(_library_has(name) - set(java))
+        more = _ranges(np.setdiff1d(library, java))
         inner = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in more)
         _ADDED[name] = rf"[\x{{{more[0][0]:X}}}-\x{{{more[-1][1]:X}}}&&[{inner}]]" if more else ""
     return rf"\p{{{name}}}{_ADDED[name]}"
