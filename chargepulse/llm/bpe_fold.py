@@ -9,14 +9,14 @@ is an array addressed by two remainders of the pair of ids.
 
 Words repeat, so distinct words are folded once into a dictionary that is used
 like the rank map: of the words that fall into one of its ``SLOTS`` slots by
-hash, the one that occurs most often in the whole table (of at most
+hash, the ``WAYS`` that occur most often in the whole table (of at most
 ``DICTIONARY_WORD`` bytes, so its size is bounded).  Every other word is
 folded where it stands; the dictionary changes cost, never a result.  A word
 that is a piece has that piece's id even if the merges do not lead to it; such
 pieces are found when the ranks are read (there are none in usual files).
 
-Decoding looks the ids up in the array of binary pieces and concatenates
-them, in runs of ``RUN`` and then the runs.
+Decoding looks the ids up in the array of pieces and joins them.  Pieces are
+held as strings of any bytes, which array_join copies as they are.
 
 The split pattern runs in Java's regex engine, with the Unicode white-space set
 written out and with the letters and numbers that the tiktoken library knows and
@@ -36,23 +36,28 @@ import re
 import uuid
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import stored
 
 #: Unicode White_Space, as the inside of a Java character class.
 _SPACE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-SLOTS = 1 << 19
+SLOTS = 1 << 17
+#: Words of a slot.
+WAYS = 4
 DICTIONARY_WORD = 32
 MAX_RANK_FILE = 64 << 20
-RUN = 256
 #: Words of more bytes are folded by blocks.
 LONG_WORD = 256
 ID_BITS = 20
-NO_PAIR = (1 << 40) - 1
+#: A rank above all others.
+NO_PAIR = 1 << ID_BITS
+#: Symbols of short words hold their position between id and rank.
+AT_BITS = 22
+RANK_AT = ID_BITS + AT_BITS
+NO_ROW = (1 << 62) - 1
 NUMBERS = "array<bigint>"
-WORDS = "struct<words:array<string>,ids:array<array<int>>>"
 
 
 def let(value: Column, body) -> Column:
@@ -175,7 +180,7 @@ def two_slots(entries: dict[int, int]) -> tuple[list[int], int, int]:
             if row is not None:
                 break
         else:
-            return [-1 if r is None else r for r in rows], m, n
+            return [NO_ROW if r is None else r for r in rows], m, n
 
 
 class Ranks:
@@ -184,7 +189,9 @@ class Ranks:
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int], names: list[str] | None = None):
         self.ranks = ranks
+        self.names = [] if names is None else names
         self.size = max(ranks.values()) + 1
+        self.stride = self.size + 1   # the id ``size`` stands for both ends of a word
         if self.size >= 1 << ID_BITS:
             raise ValueError(f"more than {1 << ID_BITS} pieces")
         pairs: dict[int, int] = {}
@@ -192,16 +199,20 @@ class Ranks:
             for k in range(1, len(piece)):
                 a, b = ranks.get(piece[:k]), ranks.get(piece[k:])
                 if a is not None and b is not None:
-                    pairs[a * self.size + b] = rank
+                    pairs[a * self.stride + b] = rank
         pieces: list[bytes | None] = [None] * self.size
         for piece, rank in ranks.items():
             pieces[rank] = piece
         rows, self.m, self.n = two_slots(pairs)
-        self.names = [] if names is None else names
         self.pairs = literal(spark.createDataFrame([(rows,)], f"v {NUMBERS}"), NUMBERS, self.names)
-        self.pieces = literal(spark.createDataFrame([(pieces,)], "v array<binary>"),
-                              "array<binary>", self.names)
-        self.bytes = F.lit([ranks[bytes([i])] for i in range(256)])
+        # bytes as strings, which array_join puts together as they are
+        self.pieces = literal(spark.createDataFrame([(pieces,)], "v array<binary>").select(F.col("v").cast("array<string>").alias("v")),
+                              "array<string>", self.names)
+        ids = [*[ranks[bytes([i])] for i in range(256)], self.size]
+        self.bytes = F.lit(ids[:256])
+        # symbols without position, by a byte and the next one; 256 stands for both ends of a word
+        first = [pairs.get(a * self.stride + b, NO_PAIR) << RANK_AT | a for a in ids for b in ids]
+        self.first = literal(spark.createDataFrame([(first,)], f"v {NUMBERS}"), NUMBERS, self.names)
         odd = {piece.decode(): rank for piece, rank in ranks.items()
                if len(piece) > 1 and not self._reached(piece, pairs) and _is_text(piece)}
         self.odd = F.create_map(*[F.lit(x) for item in odd.items() for x in item]) if odd else None
@@ -210,7 +221,7 @@ class Ranks:
         """Whether the merges of the piece's own bytes end in the piece."""
         ids = [self.ranks[piece[k:k + 1]] for k in range(len(piece))]
         while len(ids) > 1:
-            low, at = min((pairs.get(a * self.size + b, NO_PAIR), k)
+            low, at = min((pairs.get(a * self.stride + b, NO_PAIR), k)
                           for k, (a, b) in enumerate(zip(ids, ids[1:], strict=False)))
             if low == NO_PAIR:
                 return False
@@ -218,13 +229,13 @@ class Ranks:
         return True
 
     def of(self, a: Column, b: Column) -> Column:
-        """Rank of the pair of ids ``a``, ``b``."""
-        key = a * self.size + b
-
-        def at(slot: Column) -> Column:
-            return let(F.get(self.pairs, slot.cast("int")), lambda row: F.when(
-                F.shiftright(row, ID_BITS) == key, row.bitwiseAND(F.lit((1 << ID_BITS) - 1))))
-        return F.coalesce(at(key % self.m), at(key % self.n + self.m), F.lit(NO_PAIR))
+        """Rank of the pair of ids ``a``, ``b``; ``NO_PAIR`` if there is none or an id is null."""
+        def found(key: Column) -> Column:
+            # a row of the same key leaves its rank, any other row more than NO_PAIR
+            def at(slot: Column) -> Column:
+                return F.get(self.pairs, slot.cast("int")).bitwiseXOR(F.shiftleft(key, ID_BITS))
+            return F.least(at(key % self.m), at(key % self.n + self.m), F.lit(NO_PAIR))
+        return let(a * self.stride + b, found)
 
 
 def _id(symbol: Column) -> Column:
@@ -240,10 +251,10 @@ def _at(array: Column, i: Column) -> Column:
     return F.when(i >= 0, F.get(array, i))
 
 
-def _merge(s: Column, i: Column, low: Column, beyond: Column | None, ranks: Ranks) -> Column:
+def _merge(s: Column, i: Column, low: Column, beyond: Column, ranks: Ranks) -> Column:
     """Symbols ``i`` and ``i + 1`` of ``s``, from 0, become the one of id ``low`` (the rank of
     the pair); ``beyond`` is the symbol that follows ``s``, if there may be one."""
-    after = F.get(s, i + 2) if beyond is None else F.coalesce(F.get(s, i + 2), beyond)
+    after = F.coalesce(F.get(s, i + 2), beyond)
     return F.transform(F.filter(s, lambda x, j: j != i + 1), lambda x, j: F.when(
         j == i - 1, _symbol(_id(x), ranks.of(_id(x), low))).when(
         j == i, _symbol(low, F.when(after.isNotNull(), ranks.of(low, _id(after))).otherwise(F.lit(NO_PAIR))))
@@ -269,14 +280,36 @@ def _block(s: Column) -> Column:
     return F.struct(F.shiftright(F.array_min(s), ID_BITS).alias("low"), s.alias("s"))
 
 
-def _fold_short(start: Column, n: Column, ranks: Ranks) -> Column:
-    """Symbols after all merges; a step looks at all symbols."""
+def _fold_short(word: Column, ranks: Ranks) -> Column:
+    """Ids after all merges, from a character for each byte, between two ends.  A symbol holds the
+    rank of its pair, its position and its id, so the least symbol is the leftmost pair of the
+    lowest rank.  Nothing is searched for: outside of generated code array_position ends its
+    search by an exception, which took most of a step."""
+    low_bits = F.lit((1 << RANK_AT) - 1)
+
+    def symbol(rank: Column, rest: Column) -> Column:
+        return F.shiftleft(rank, RANK_AT).bitwiseOR(rest)
+
+    def start(b: Column) -> Column:
+        return F.transform(b, lambda a, i: F.get(ranks.first, a * 257 + F.coalesce(F.get(b, i + 1), F.lit(256)))
+                           .bitwiseOR(F.shiftleft(i.cast("long"), ID_BITS)))
+
     def step(s: Column, _i: Column) -> Column:
-        low = F.shiftright(F.array_min(s), ID_BITS)
-        at = F.array_position(_rank(s), low) - 1
-        return F.when(low < NO_PAIR, let(F.struct(low.alias("low"), at.cast("int").alias("at")),
-                                         lambda p: _merge(s, p["at"], p["low"], None, ranks))).otherwise(s)
-    return F.aggregate(F.sequence(F.lit(1), n), start, step)
+        return let(F.array_min(s), lambda m: F.when(m < NO_PAIR << RANK_AT, let(
+            F.shiftright(m.bitwiseAND(low_bits), ID_BITS).cast("int"),
+            lambda i: merged(s, m, i))).otherwise(s))
+
+    def merged(s: Column, m: Column, i: Column) -> Column:
+        low = F.shiftright(m, RANK_AT)
+        # symbols differ, so the second of the pair is removed by its value
+        return F.transform(F.array_remove(s, F.get(s, i + 1)), lambda x, j: F.when(j > i, x - (1 << ID_BITS)).when(
+            j == i, symbol(ranks.of(low, _id(F.get(s, i + 2))), F.shiftleft(i.cast("long"), ID_BITS).bitwiseOR(low))).when(
+            j == i - 1, symbol(ranks.of(_id(x), low), x.bitwiseAND(low_bits))).otherwise(x))
+
+    def inner(s: Column) -> Column:
+        return F.transform(F.slice(s, F.lit(2), F.size(s) - 2), lambda x: _id(x).cast("int"))
+    codes = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.ascii(F.substring(word, i, F.lit(1))))
+    return let(F.aggregate(F.sequence(F.lit(3), F.length(word)), let(codes, start), step), inner)
 
 
 def _fold_long(start: Column, n: Column, ranks: Ranks) -> Column:
@@ -326,13 +359,14 @@ def fold_word(word: Column, ranks: Ranks, long_word: int = LONG_WORD) -> Column:
     def start(b: Column) -> Column:
         ids = F.transform(F.sequence(F.lit(1), F.length(b)), lambda i: F.get(
             ranks.bytes, F.ascii(F.substring(b, i, F.lit(1)))).cast("long"))
-        return let(ids, lambda x: F.transform(x, lambda a, i: _symbol(a, F.coalesce(
-            F.when(i + 1 < F.size(x), ranks.of(a, F.get(x, i + 1))), F.lit(NO_PAIR)))))
+        return let(ids, lambda x: F.transform(x, lambda a, i: _symbol(a, ranks.of(a, F.get(x, i + 1)))))
 
     def fold(b: Column) -> Column:
         n = F.length(b)
-        symbols = F.when(n > long_word, _fold_long(start(b), n, ranks)).otherwise(_fold_short(start(b), n, ranks))
-        return F.transform(symbols, lambda x: _id(x).cast("int"))
+        long = F.transform(_fold_long(start(b), n, ranks), lambda x: _id(x).cast("int"))
+        # the character after those of the bytes stands for an end
+        return F.when(n > long_word, long).otherwise(
+            let(F.concat(F.lit("\u0100"), b, F.lit("\u0100")), lambda x: _fold_short(x, ranks)))
 
     # one character for each byte, so that substring and ascii see bytes
     folded = let(F.decode(word.cast("binary"), "ISO-8859-1"), fold)
@@ -348,40 +382,43 @@ def _words(text: Column, pattern: str) -> Column:
 
 
 def _slot(word: Column) -> Column:
-    return F.pmod(F.hash(word), F.lit(SLOTS)).cast("int")
+    """First place of the word's slot."""
+    return F.hash(word).bitwiseAND(F.lit(SLOTS - 1)) * WAYS
 
 
-def dictionary(docs: DataFrame, ranks: Ranks, pattern: str, text_col: str = "text") -> Column:
-    """Words (by a pattern for Java) and their ids by slot, as a literal.  Words are counted over all documents."""
+def dictionary(docs: DataFrame, ranks: Ranks, pattern: str, text_col: str = "text") -> tuple[Column, Column]:
+    """Words (by a pattern for Java) and their ids, ``WAYS`` for each slot, as literals.  Words are counted over all documents."""
     spark = docs.sparkSession
     counts = (docs.select(F.explode(_words(F.col(text_col), pattern)).alias("word"))
               .where(F.octet_length("word") <= DICTIONARY_WORD)
               .groupBy("word").count().where(F.col("count") > 1))
-    counts = stored(counts.groupBy(_slot(F.col("word")).alias("slot"))
-                    .agg(F.max_by("word", F.struct("count", "word")).alias("word")), "bpe-counts")
-    kept = stored(counts.select("slot", "word", fold_word(F.col("word"), ranks).alias("ids")), "bpe-dictionary")
-    slots = (spark.range(SLOTS).select(F.col("id").cast("int").alias("slot")).join(kept, "slot", "left")
-             .select(F.struct("slot", "word", "ids").alias("x")))
-    rows = slots.agg(F.array_sort(F.collect_list("x")).alias("x"))
-    return literal(rows.select(F.struct(F.col("x.word").alias("words"), F.col("x.ids").alias("ids")).alias("v")), WORDS, ranks.names)
-
-
-def encode(text: Column, ranks: Ranks, words: Column, pattern: str) -> Column:
+    best = Window.partitionBy("slot").orderBy(F.desc("count"), "word")
+    counts = stored(counts.withColumn("slot", _slot(F.col("word"))).withColumn("way", F.row_number().over(best))
+                    .where(F.col("way") <= WAYS).select((F.col("slot") + F.col("way") - 1).alias("at"), "word"), "bpe-counts")
+    kept = stored(counts.select("at", "word", fold_word(F.col("word"), ranks).alias("ids")), "bpe-dictionary")
+    places = (spark.range(SLOTS * WAYS).select(F.col("id").cast("int").alias("at")).join(kept, "at", "left")
+              .select(F.struct("at", "word", "ids").alias("x")))
+    rows = stored(places.agg(F.array_sort(F.collect_list("x")).alias("x")), "bpe-places")
+    return (literal(rows.select(F.col("x.word").alias("v")), "array<string>", ranks.names),
+            literal(rows.select(F.col("x.ids").alias("v")), "array<array<int>>", ranks.names))
+
+
+def encode(text: Column, ranks: Ranks, words: tuple[Column, Column], pattern: str) -> Column:
     """Ids of a text: its words' ids one after the other."""
+    def known(w: Column, at: Column) -> Column:
+        found = F
+        for k in range(WAYS):
+            found = found.when(F.get(words[0], at + k) == w, F.get(words[1], at + k))
+        return found
+
     def one(w: Column) -> Column:
-        return F.coalesce(let(_slot(w), lambda at: F.when(F.get(words["words"], at) == w, F.get(words["ids"], at))),
-                          fold_word(w, ranks))
+        return F.coalesce(let(_slot(w), lambda at: known(w, at)), fold_word(w, ranks))
     return F.flatten(F.transform(_words(text, pattern), one))
 
 
 def decode(ids: Column, pieces: Column) -> Column:
     """The binary pieces of ``ids``, concatenated."""
-    def join(parts: Column) -> Column:
-        return F.aggregate(parts, F.lit(b""), lambda acc, x: F.concat(acc, x))
-    n = F.size(ids)
-    runs = F.transform(F.sequence(F.lit(1), n, F.lit(RUN)), lambda i: join(
-        F.transform(F.slice(ids, i, F.lit(RUN)), lambda x: F.get(pieces, x))))
-    return F.when(n > 0, join(runs)).otherwise(F.lit(b""))
+    return F.array_join(F.transform(ids, lambda x: F.get(pieces, x)), "").cast("binary")
 
 
 def bpe(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",
