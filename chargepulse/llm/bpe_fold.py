@@ -45,7 +45,7 @@ from .common import stored
 _SPACE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 SLOTS = 1 << 17
 #: Words of a slot.
-WAYS = 4
+WAYS = 6
 DICTIONARY_WORD = 32
 MAX_RANK_FILE = 64 << 20
 #: Words of more bytes are folded by blocks.

@@ -20,6 +20,7 @@ def own():
 
 def test_a_slot_holds_its_most_frequent_words(spark, own, monkeypatch):
     monkeypatch.setattr(bpe_fold, "SLOTS", 1)
+    monkeypatch.setattr(bpe_fold, "WAYS", 4)
     text = "".join(f" thonre{x}" * n for x, n in zip("abcdef", (9, 8, 7, 6, 5, 1)))
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     ranks = bpe_fold.Ranks(spark, bpe_fold.read_ranks(PATH))
